@@ -25,6 +25,6 @@ def line_fields(value: Column) -> Column:
     return F.split(value, FIELD_DELIMITER)
 
 
-def count_value(text: Column) -> Column:
-    """Whole number as BIGINT; anything else, or a number out of range, is NULL."""
-    return F.when(text.rlike(COUNT_PATTERN), text.try_cast("bigint"))
+def count_value(text: str) -> str:
+    """SQL for a whole number as BIGINT; anything else, or a number out of range, is NULL."""
+    return f"CASE WHEN rlike({text}, '{COUNT_PATTERN}') THEN try_cast({text} AS BIGINT) END"

@@ -32,12 +32,16 @@ def term_words(normalised_term: Column) -> Column:
     return F.split(normalised_term, " ")
 
 
+def _word_list(words: tuple[str, ...]) -> Column:
+    return F.expr("array(" + ", ".join(f"'{w}'" for w in words) + ")")
+
+
 def index_tokens(name: Column) -> Column:
     """Distinct index words of a page name, tested against the stop list before and after lower-casing."""
-    words = F.split(F.regexp_replace(name, "[^a-zA-Z0-9 ]", " "), " +")
-    kept = F.filter(words, lambda w: (w != "") & ~w.isin(*INDEX_EXCLUDES))
-    lowered = F.transform(kept, F.lower)
-    return F.array_distinct(F.filter(lowered, lambda w: ~w.isin(*INDEX_EXCLUDES)))
+    excluded = _word_list(("", *INDEX_EXCLUDES))
+    words = F.split(F.regexp_replace(name, "[^a-zA-Z0-9 ]", " "), " ")
+    kept = F.array_join(F.array_except(words, excluded), " ")
+    return F.array_except(F.split(F.lower(kept), " "), excluded)
 
 
 def title_case(name: Column) -> Column:

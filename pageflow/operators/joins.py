@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -18,6 +18,8 @@ def _row_bytes(df: DataFrame) -> Column:
     for field in df.schema.fields:
         if isinstance(field.dataType, StringType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, ArrayType):
+            width = width + F.coalesce(F.octet_length(F.to_json(field.name)), F.lit(0))
     return width.cast("bigint")
 
 

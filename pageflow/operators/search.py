@@ -30,7 +30,9 @@ class Keyed:
     """A table found by one column.
 
     With ``buckets`` set, its files lie in ``bucket`` folders by the hash of that
-    column, and a lookup names the bucket too, so other folders are not read.
+    column, and a lookup names the bucket too, so other folders are not read. No
+    key is blank; saying so makes the lookup side selective, which is what lets
+    Spark prune folders at run time.
     """
 
     rows: DataFrame
@@ -40,7 +42,7 @@ class Keyed:
     def find(self, wanted: DataFrame) -> DataFrame:
         if self.buckets is None:
             return lookup_join(self.rows, wanted, self.key)
-        placed = wanted.withColumn("bucket", bucket_of(F.col(self.key), self.buckets))
+        placed = wanted.where(F.col(self.key) != "").withColumn("bucket", bucket_of(F.col(self.key), self.buckets))
         return lookup_join(self.rows, placed, ["bucket", self.key]).drop("bucket")
 
     def find_one(self, value: str) -> DataFrame:

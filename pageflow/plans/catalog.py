@@ -116,6 +116,11 @@ def _keyed_index(spark: SparkSession, sf: str) -> op.Keyed:
     return op.Keyed(page_index(spark, sf), "word")
 
 
+def _pinned_tables(spark: SparkSession, sf: str) -> op.SearchTables:
+    edges = pin(edge_table(spark, sf), "edges")
+    return op.SearchTables.of(edges, op.build_index(edges))
+
+
 def _search_tables(spark: SparkSession, sf: str) -> op.SearchTables:
     return write_search_tables(edge_table(spark, sf), work_path(spark, "store"))
 
@@ -158,19 +163,17 @@ def search_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def direct_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    edges = edge_table(spark, sf)
-    tables = op.SearchTables.of(edges, op.build_index(edges))
-    return op.direct_lookup(tables, _terms(spark, sf))
+    return op.direct_lookup(_pinned_tables(spark, sf), _terms(spark, sf))
 
 
 def search_incoming(spark: SparkSession, sf: str) -> DataFrame:
-    tables = _search_tables(spark, sf)
+    tables = _pinned_tables(spark, sf)
     found = op.incoming(tables, _resolved(spark, sf, tables))
     return _long(op.by_traffic(found, "referrer").drop("status"), "rank")
 
 
 def search_outgoing(spark: SparkSession, sf: str) -> DataFrame:
-    tables = _search_tables(spark, sf)
+    tables = _pinned_tables(spark, sf)
     found = op.outgoing(tables, _resolved(spark, sf, tables))
     return _long(op.by_traffic(found, "resource").drop("status"), "rank")
 
@@ -182,7 +185,7 @@ def title_case(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def traffic_series(spark: SparkSession, sf: str) -> DataFrame:
-    tables = _search_tables(spark, sf)
+    tables = _pinned_tables(spark, sf)
     return _long(op.traffic_series(tables, _resolved(spark, sf, tables)), "rank")
 
 
@@ -234,6 +237,7 @@ def monthly_traffic(spark: SparkSession, sf: str) -> DataFrame:
         .select("value", "month")
         .write.partitionBy("month")
         .option("compression", "gzip")
+        .option("maxRecordsPerFile", 5_000_000)
         .text(root)
     )
     return (

@@ -5,7 +5,7 @@ Every line source has ``value`` and the arrival order ``(src, id, pos)``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import SENTINEL_REFERRERS
 from ..sources.ledger import ANCHOR_TEXT
@@ -34,72 +34,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _sentinel(number: Column) -> Column:
-    names = F.array(*[F.lit(s) for s in SENTINEL_REFERRERS])
-    return F.get(names, (number % len(SENTINEL_REFERRERS)).cast("int"))
+SENTINEL_ARRAY = "array(" + ", ".join(f"'{s}'" for s in SENTINEL_REFERRERS) + ")"
 
 
-def _line(*fields: Column) -> Column:
-    return F.concat_ws("\t", *[f.cast("string") for f in fields])
+def _sentinel(number: str) -> str:
+    return f"get({SENTINEL_ARRAY}, int({number} % {len(SENTINEL_REFERRERS)}))"
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
     """A walk over each page's links in order; titles take three written forms in turn."""
-    links = pages.select(
+    titled = pages.select(
         "page_id", F.regexp_extract_all("html", F.lit(ANCHOR_TEXT), F.lit(1)).alias("links")
+    ).selectExpr(
+        "page_id AS id",
+        """transform(links, (text, at) -> CASE at % 3
+             WHEN 0 THEN text
+             WHEN 1 THEN concat(text, '_', get(links, at - 1))
+             ELSE concat(text, '_(', get(links, at - 1), ')') END) AS titles""",
     )
-
-    def title(text: Column, at: Column) -> Column:
-        before = F.get("links", at - 1)
-        return (
-            F.when(at % 3 == 0, text)
-            .when(at % 3 == 1, F.concat(text, F.lit("_"), before))
-            .otherwise(F.concat(text, F.lit("_("), before, F.lit(")")))
-        )
-
-    titled = links.select("page_id", F.transform("links", title).alias("titles"))
-    steps = F.transform(
-        "titles",
-        lambda name, at: F.struct((at + 1).alias("pos"), F.get("titles", at - 1).alias("previous"), name.alias("name")),
-    )
-    walk = titled.select(F.col("page_id").alias("id"), F.inline(steps))
-    first = F.col("pos") == 1
-    kind = (
-        F.when(first, "external")
-        .when(F.floor(F.col("id") / 10) % 5 == 0, "other")
-        .otherwise("link")
+    walk = titled.selectExpr(
+        "id",
+        """inline(transform(titles, (name, at) ->
+             struct(at + 1 AS pos, get(titles, at - 1) AS previous, name)))""",
     )
-    return walk.select(
-        F.lit(PAGES).alias("src"),
+    return walk.selectExpr(
+        f"{PAGES} AS src",
         "id",
         "pos",
-        _line(
-            F.when(first, _sentinel(F.col("id"))).otherwise(F.col("previous")),
-            F.col("name"),
-            kind,
-            10 + (F.col("id") * 7 + F.col("pos") * 13) % 100,
-        ).alias("value"),
+        f"""concat_ws('\t',
+              if(pos = 1, {_sentinel("id")}, previous),
+              name,
+              CASE WHEN pos = 1 THEN 'external' WHEN (id div 10) % 5 = 0 THEN 'other' ELSE 'link' END,
+              string(10 + (id * 7 + pos * 13) % 100)) AS value""",
     )
 
 
 def catalogue_lines(part: DataFrame) -> DataFrame:
     """A walk per part: entry page, its type, its name, its name with the brand in brackets."""
-    name = F.replace(F.col("p_name"), F.lit(" "), F.lit("_"))
-    branded = F.concat(name, F.lit("_("), F.col("p_brand"), F.lit(")"))
-
-    def step(pos: int, source: Column, target: Column, kind: str) -> Column:
-        return F.struct(F.lit(pos).alias("pos"), source.alias("a"), target.alias("b"), F.lit(kind).alias("kind"))
-
-    steps = F.array(
-        step(1, _sentinel(F.col("p_partkey")), F.col("p_type"), "external"),
-        step(2, F.col("p_type"), name, "link"),
-        step(3, name, branded, "link"),
+    named = part.selectExpr("p_partkey", "p_type", "p_size", "p_brand", "replace(p_name, ' ', '_') AS name")
+    steps = named.selectExpr(
+        "p_partkey AS id",
+        "p_size",
+        f"""stack(3,
+              1, {_sentinel("p_partkey")}, p_type, 'external',
+              2, p_type, name, 'link',
+              3, name, concat(name, '_(', p_brand, ')'), 'link') AS (pos, a, b, kind)""",
     )
-    return part.select("p_partkey", "p_size", F.inline(steps)).select(
-        F.lit(CATALOGUE).alias("src"),
-        F.col("p_partkey").alias("id"),
-        "pos",
-        _line(F.col("a"), F.col("b"), F.col("kind"), F.col("p_size") + F.col("pos")).alias("value"),
+    return steps.selectExpr(
+        f"{CATALOGUE} AS src", "id", "pos", "concat_ws('\t', a, b, kind, string(p_size + pos)) AS value"
     )
 
 
@@ -109,17 +91,15 @@ def traffic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_lines(lines: DataFrame) -> DataFrame:
     """The same lines with five kinds of damage, chosen by ``id * 37 + pos``."""
-    k = F.col("id") * 37 + F.col("pos")
-    value = F.col("value")
-    without_last = F.regexp_replace(value, "\t[^\t]*$", "")
-    return lines.withColumn(
-        "value",
-        F.when(k % 17 == 0, without_last)
-        .when(k % 19 == 0, F.concat(without_last, F.lit("\tx")))
-        .when(k % 23 == 0, F.concat(value, F.lit("\textra")))
-        .when(k % 29 == 0, F.concat(F.lit("  "), value, F.lit("\t")))
-        .when(k % 31 == 0, F.regexp_replace(value, "^[^\t]*\t", "\t"))
-        .otherwise(value),
+    return lines.selectExpr(
+        *[c for c in lines.columns if c != "value"],
+        r"""CASE
+              WHEN (id * 37 + pos) % 17 = 0 THEN regexp_replace(value, '\t[^\t]*$', '')
+              WHEN (id * 37 + pos) % 19 = 0 THEN concat(regexp_replace(value, '\t[^\t]*$', ''), '\tx')
+              WHEN (id * 37 + pos) % 23 = 0 THEN concat(value, '\textra')
+              WHEN (id * 37 + pos) % 29 = 0 THEN concat('  ', value, '\t')
+              WHEN (id * 37 + pos) % 31 = 0 THEN regexp_replace(value, '^[^\t]*\t', '\t')
+              ELSE value END AS value""",
     )
 
 
@@ -128,26 +108,19 @@ def bigram_lines(documents: DataFrame) -> DataFrame:
     words = documents.select(
         "doc_id", F.split(F.regexp_replace("text", "[\t\n\r]", "_"), " ").alias("words")
     )
-    steps = F.transform(
-        "words", lambda w, at: F.struct(at.alias("pos"), F.get("words", at - 1).alias("previous"), w.alias("word"))
+    steps = words.selectExpr(
+        "doc_id AS id",
+        "inline(transform(words, (word, at) -> struct(at AS pos, get(words, at - 1) AS previous, word)))",
     )
-    return (
-        words.select(F.col("doc_id").alias("id"), F.inline(steps))
-        .where(F.col("pos") > 0)
-        .select(
-            F.lit(TEXTS).alias("src"),
-            "id",
-            "pos",
-            _line(F.col("previous"), F.col("word"), F.lit("link"), F.lit(1)).alias("value"),
-        )
+    return steps.where("pos > 0").selectExpr(
+        f"{TEXTS} AS src", "id", "pos", "concat_ws('\t', previous, word, 'link', '1') AS value"
     )
 
 
 def event_lines(events: DataFrame) -> DataFrame:
     """One line per event, with its event time."""
-    return events.select(
-        F.col("ts").cast("timestamp").alias("ts"),
-        _line(_sentinel(F.col("event_id")), F.col("event_type"), F.lit("link"), F.lit(1)).alias("value"),
+    return events.selectExpr(
+        "timestamp(ts) AS ts", f"concat_ws('\t', {_sentinel('event_id')}, event_type, 'link', '1') AS value"
     )
 
 

@@ -60,22 +60,22 @@ def parse_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
     take the line apart again for every condition.
     """
     kept = [c for c in lines.columns if c != "value"]
-    parsed = (
-        lines.select(*kept, strip_line(F.col("value")).alias("value"))
-        .select(*kept, "value", F.explode(F.array(line_fields(F.col("value")))).alias("fields"))
-        .withColumn("referrer", F.get("fields", F.lit(0)))
-        .withColumn("resource", F.get("fields", F.lit(1)))
-        .withColumn("type", F.get("fields", F.lit(2)))
-        .withColumn("count", count_value(F.get("fields", F.lit(3))))
+    taken_apart = lines.select(*kept, strip_line(F.col("value")).alias("value")).select(
+        *kept, "value", F.explode(F.array(line_fields(F.col("value")))).alias("fields")
     )
-    valid = (
-        F.col("count").isNotNull()
-        & (F.coalesce("referrer", F.lit("")) != "")
-        & (F.coalesce("resource", F.lit("")) != "")
+    parsed = taken_apart.selectExpr(
+        *kept,
+        "value",
+        "get(fields, 0) AS referrer",
+        "get(fields, 1) AS resource",
+        "get(fields, 2) AS type",
+        f"{count_value('get(fields, 3)')} AS count",
+        "size(fields) AS n_fields",
     )
+    valid = "count IS NOT NULL AND coalesce(referrer, '') <> '' AND coalesce(resource, '') <> ''"
     if strict:
-        valid = valid & (F.size("fields") == 4)
-    return parsed.withColumn("valid", F.coalesce(valid, F.lit(False))).drop("fields")
+        valid += " AND n_fields = 4"
+    return parsed.withColumn("valid", F.expr(valid)).drop("n_fields")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
