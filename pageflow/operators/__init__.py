@@ -23,8 +23,10 @@ from .search import (
     ranked_pages,
     related_pages,
     response_pages,
-    resolve_terms,
+    response_json,
     response_rows,
+    response_text,
+    resolve_terms,
     search,
     select_first,
     select_pages,
@@ -50,9 +52,11 @@ __all__ = [
     "prepare_terms",
     "ranked_pages",
     "related_pages",
+    "response_json",
     "response_pages",
     "resolve_terms",
     "response_rows",
+    "response_text",
     "search",
     "select_first",
     "select_pages",

@@ -226,27 +226,70 @@ def response_rows(tables: SearchTables, resolved: DataFrame) -> DataFrame:
 
 
 def response_pages(rows: DataFrame, resolved: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Arrays of at most ``page_rows`` findings, numbered so that pages in order are the whole answer.
+    """One nested answer per term and page; pages in order are the whole answer.
 
-    Every term has at least page 0 of each section, empty where nothing was found.
+    Page ``n`` holds the findings ranked ``n * page_rows + 1`` and on of all three
+    sections, so no array has more than ``page_rows`` elements however much
+    traffic a page has. Every term has page 0, empty where nothing was found.
     """
-    entry = F.struct("rank", "resource", "referrer", "type", "count")
     placed = rows.select(
-        "term", "status", "selected", "section",
-        F.floor((F.col("rank") - 1) / F.lit(page_rows)).cast("int").alias("page"),
-        entry.alias("entry"),
+        "term", "status", "selected",
+        F.floor((F.col("rank") - 1) / F.lit(page_rows)).cast("bigint").alias("page"),
+        "section",
+        F.struct("rank", "resource", "referrer", "type", "count").alias("entry"),
     )
     empty = resolved.select(
-        "term", "status", "selected",
-        F.explode(F.array(*[F.lit(s) for s in SECTIONS])).alias("section"),
-        F.lit(0).alias("page"),
+        "term", "status", "selected", F.lit(0).cast("bigint").alias("page"),
+        F.lit(None).cast("string").alias("section"),
         F.lit(None).cast(placed.schema["entry"].dataType).alias("entry"),
     )
+
+    def collected(section: str) -> Column:
+        return F.sort_array(F.collect_list(F.when(F.col("section") == section, F.col("entry")))).alias(section)
+
+    def without_rank(section: str) -> Column:
+        fields = ("referrer", "resource", "type", "count")
+        return F.transform(section, lambda e: F.struct(*[e[f].alias(f) for f in fields])).alias(section)
+
     return (
         placed.unionByName(empty)
-        .groupBy("term", "status", "selected", "section", "page")
-        .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
-        .withColumn("selected", title_case(F.col("selected")))
+        .groupBy("term", "status", "selected", "page")
+        .agg(*[collected(s) for s in SECTIONS])
+        .select(
+            "term", "status", "page", title_case(F.col("selected")).alias("selected"),
+            F.transform(RELATED, lambda e: e["resource"]).alias(RELATED),
+            without_rank(INCOMING),
+            without_rank(OUTGOING),
+        )
+    )
+
+
+def response_json(pages: DataFrame) -> DataFrame:
+    """Answers as JSON text; an invalid term gets an error object."""
+    answer = F.to_json(
+        F.struct(
+            F.col(RELATED).alias("relatedResources"),
+            F.struct(F.col("selected").alias("selectedResource"), INCOMING, OUTGOING).alias("selectedResourceData"),
+        ),
+        {"ignoreNullFields": "false"},
+    )
+    error = F.lit('{"error":"Search term is required"}')
+    return pages.select("term", "page", F.when(F.col("status") == "ok", answer).otherwise(error).alias("json"))
+
+
+def response_text(pages: DataFrame) -> DataFrame:
+    """Answers as lines of text: names joined by comma and blank, edges with their fields joined by bars."""
+
+    def edges(section: str) -> Column:
+        line = F.transform(
+            section,
+            lambda e: F.concat_ws("|", e["referrer"], e["resource"], e["type"], e["count"].cast("string")),
+        )
+        return F.array_join(line, ", ").alias(section)
+
+    return pages.select(
+        "term", "status", "page", "selected",
+        F.array_join(RELATED, ", ").alias(RELATED), edges(INCOMING), edges(OUTGOING),
     )
 
 

@@ -189,26 +189,12 @@ def traffic_series(spark: SparkSession, sf: str) -> DataFrame:
     return _long(op.traffic_series(tables, _resolved(spark, sf, tables)), "rank")
 
 
-def response_text(pages: DataFrame) -> DataFrame:
-    """Response pages with each array as one line of text; related pages are joined by comma and blank."""
-    names = F.transform("entries", lambda e: e["resource"])
-    edges = F.transform(
-        "entries",
-        lambda e: F.concat_ws("|", e["referrer"], e["resource"], e["type"], e["count"].cast("string")),
-    )
-    text = F.when(F.col("section") == "related", F.array_join(names, ", ")).otherwise(F.array_join(edges, ", "))
-    return pages.select(
-        "term", "status", "selected", "section", F.col("page").cast("bigint").alias("page"),
-        F.size("entries").cast("bigint").alias("n_entries"), text.alias("entries"),
-    )
-
-
 RESPONSE_PAGE_ROWS = 100
 
 
 def search_response(spark: SparkSession, sf: str) -> DataFrame:
     tables = _search_tables(spark, sf)
-    return response_text(op.search(tables, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS))
+    return op.response_text(op.search(tables, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS))
 
 
 # --- months ------------------------------------------------------------------
@@ -334,7 +320,7 @@ def volume_search_index(spark: SparkSession, sf: str) -> DataFrame:
 
 def volume_search_response(spark: SparkSession, sf: str) -> DataFrame:
     tables = write_search_tables(volume_edges(spark, sf), work_path(spark, "store"))
-    return response_text(op.search(tables, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS))
+    return op.response_text(op.search(tables, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS))
 
 
 # --- registry ----------------------------------------------------------------

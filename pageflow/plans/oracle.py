@@ -181,13 +181,13 @@ entries AS (
   UNION ALL SELECT term, 'outgoing', rank,
     concat_ws('|', {_display("referrer")}, {_display("resource")}, type, count::VARCHAR) FROM outgoing),
 paged AS (
-  SELECT term, section, (rank - 1) // {RESPONSE_PAGE_ROWS} AS page, rank, entry FROM entries
-  UNION ALL SELECT term, section, 0, NULL, NULL
-  FROM prepared, (VALUES ('related'), ('incoming'), ('outgoing')) AS v(section)),
+  SELECT term, section, ((rank - 1) // {RESPONSE_PAGE_ROWS})::BIGINT AS page, rank, entry FROM entries
+  UNION ALL SELECT term, NULL, 0, NULL, NULL FROM prepared),
 response AS (
-  SELECT p.term, q.status, {_display("s.selected")} AS selected, p.section, p.page::BIGINT AS page,
-    count(p.entry)::BIGINT AS n_entries,
-    coalesce(string_agg(p.entry, ', ' ORDER BY p.rank) FILTER (WHERE p.entry IS NOT NULL), '') AS entries
+  SELECT p.term, q.status, p.page, {_display("s.selected")} AS selected,
+    coalesce(string_agg(p.entry, ', ' ORDER BY p.rank) FILTER (WHERE section = 'related'), '') AS related,
+    coalesce(string_agg(p.entry, ', ' ORDER BY p.rank) FILTER (WHERE section = 'incoming'), '') AS incoming,
+    coalesce(string_agg(p.entry, ', ' ORDER BY p.rank) FILTER (WHERE section = 'outgoing'), '') AS outgoing
   FROM paged p JOIN prepared q ON q.term = p.term LEFT JOIN selection s ON s.term = p.term
   GROUP BY ALL)
 """

@@ -1,10 +1,11 @@
 """Search semantics on a few pages, and the stored layouts."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from pageflow import operators as op
-from pageflow.plans.catalog import response_text
 from pageflow.plans.store import write_search_tables
 
 from conftest import rows
@@ -97,15 +98,15 @@ def test_direct_lookup_needs_no_index(spark, tables):
 
 
 def answer(df, term, section):
-    pages = response_text(df).where((F.col("term") == term) & (F.col("section") == section))
-    return [r["entries"] for r in pages.orderBy("page").collect()]
+    pages = op.response_text(df).where(F.col("term") == term)
+    return [r[section] for r in pages.orderBy("page").collect()]
 
 
 def test_response(spark, tables):
     terms = spark.createDataFrame([("abba",), ("!!!",), ("nothing",), ("the abba",)], "term string")
     found = op.search(tables, terms, page_rows=2).cache()
-    assert answer(found, "abba", "related") == ["Abba Band , Abba Gold", "Bandana Abba"]
-    assert answer(found, "abba", "incoming") == ["other-search|Abba|external|50, Abba Gold|Abba|link|9"]
+    assert answer(found, "abba", "related") == ["Abba Band , Abba Gold", "Bandana Abba", ""]
+    assert answer(found, "abba", "incoming") == ["other-search|Abba|external|50, Abba Gold|Abba|link|9", "", ""]
     assert [p.count(", ") + 1 for p in answer(found, "abba", "outgoing")] == [2, 2, 2]
     states = {(r["term"], r["status"], r["selected"]) for r in found.collect()}
     assert states == {
@@ -113,15 +114,33 @@ def test_response(spark, tables):
     }
     for term in ("!!!", "nothing"):
         assert all(answer(found, term, s) == [""] for s in ("related", "incoming", "outgoing"))
-    assert len(answer(found, "the abba", "related")) == 2
-    assert found.where(F.size("entries") > 2).count() == 0
+    assert sum(found.where("term = 'the abba'").select(F.size("related")).toPandas().iloc[:, 0]) == 4
+    assert found.where("size(related) > 2 OR size(incoming) > 2 OR size(outgoing) > 2").count() == 0
+
+
+def test_json_answers(spark, tables):
+    terms = spark.createDataFrame([("abba gold",), ("!!!",), ("nothing",)], "term string")
+    answers = {r["term"]: json.loads(r["json"]) for r in op.response_json(op.search(tables, terms)).collect()}
+    assert answers["!!!"] == {"error": "Search term is required"}
+    assert answers["nothing"] == {
+        "relatedResources": [],
+        "selectedResourceData": {"selectedResource": None, "incoming": [], "outgoing": []},
+    }
+    assert answers["abba gold"] == {
+        "relatedResources": ["Abba", "Abba Band ", "Bandana Abba", "Gold The Rush"],
+        "selectedResourceData": {
+            "selectedResource": "Abba Gold",
+            "incoming": [{"referrer": "Abba", "resource": "Abba Gold", "type": "link", "count": 7}],
+            "outgoing": [{"referrer": "Abba Gold", "resource": "Abba", "type": "link", "count": 9}],
+        },
+    }
 
 
 def test_stored_layouts_answer_alike_and_prune(spark, tables, tmp_path):
     stored = write_search_tables(tables.by_resource.rows, f"file://{tmp_path}/s", buckets=5)
     terms = spark.createDataFrame([("abba",), ("gold rush",)], "term string")
-    plain = response_text(op.search(tables, terms))
-    assert rows(response_text(op.search(stored, terms))) == rows(plain)
+    plain = op.response_text(op.search(tables, terms))
+    assert rows(op.response_text(op.search(stored, terms))) == rows(plain)
     one = stored.by_referrer.find_one("abba gold")
     assert rows(one) == [("abba gold", "abba", "link", 9)]
     plan = one._jdf.queryExecution().executedPlan().toString()
