@@ -35,15 +35,17 @@ def lookup_join(
     on: str | Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_split: int = ROWS_PER_SPLIT,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Inner join on the columns ``on``.
 
     A lookup table measured as small is broadcast, so the big side is not moved
     and no key is hot. Any other is joined by a shuffle in which the big side's
-    frequent keys are spread over several tasks.
+    frequent keys are spread over several tasks. ``fits`` is the outcome of an
+    earlier :func:`fits_broadcast` on rows at least as many and as wide.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(lookup, broadcast_rows):
+    if fits_broadcast(lookup, broadcast_rows) if fits is None else fits:
         return big.join(F.broadcast(lookup), keys)
     return split_join(big, lookup, keys, rows_per_split)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import display_name, is_sentinel, norm_term, term_words, title_case
 from ..session import pin
-from .joins import lookup_join
+from .joins import fits_broadcast, lookup_join
 from .ranking import number_rows
 
 RELATED, INCOMING, OUTGOING = "related", "incoming", "outgoing"
@@ -39,11 +39,11 @@ class Keyed:
     key: str
     buckets: int | None = None
 
-    def find(self, wanted: DataFrame) -> DataFrame:
+    def find(self, wanted: DataFrame, fits: bool | None = None) -> DataFrame:
         if self.buckets is None:
-            return lookup_join(self.rows, wanted, self.key)
+            return lookup_join(self.rows, wanted, self.key, fits=fits)
         placed = wanted.where(F.col(self.key) != "").withColumn("bucket", bucket_of(F.col(self.key), self.buckets))
-        return lookup_join(self.rows, placed, ["bucket", self.key]).drop("bucket")
+        return lookup_join(self.rows, placed, ["bucket", self.key], fits=fits).drop("bucket")
 
     def find_one(self, value: str) -> DataFrame:
         found = self.rows.where(F.col(self.key) == value)
@@ -81,9 +81,9 @@ def query_words(prepared: DataFrame) -> DataFrame:
     return prepared.select("*", F.posexplode("words").alias("position", "word"))
 
 
-def hits(index: Keyed, prepared: DataFrame) -> DataFrame:
+def hits(index: Keyed, prepared: DataFrame, fits: bool | None = None) -> DataFrame:
     """One row per query word and page that holds it."""
-    return index.find(query_words(prepared))
+    return index.find(query_words(prepared), fits)
 
 
 def related_pages(index: Keyed, prepared: DataFrame) -> DataFrame:
@@ -146,20 +146,20 @@ def _selected_as(resolved: DataFrame, end: str) -> DataFrame:
     )
 
 
-def incoming(tables: SearchTables, resolved: DataFrame) -> DataFrame:
+def incoming(tables: SearchTables, resolved: DataFrame, fits: bool | None = None) -> DataFrame:
     """Edges that lead to each term's selected page."""
-    found = tables.by_resource.find(_selected_as(resolved, "resource"))
+    found = tables.by_resource.find(_selected_as(resolved, "resource"), fits)
     return found.select("term", "status", "selected", "resource", "referrer", "type", "count")
 
 
-def outgoing(tables: SearchTables, resolved: DataFrame) -> DataFrame:
+def outgoing(tables: SearchTables, resolved: DataFrame, fits: bool | None = None) -> DataFrame:
     """Edges that leave each term's selected page.
 
     A page name holds no hyphen, so it never equals a sentinel: those referrers,
     the busiest of all, are left out before the join.
     """
     pages = replace(tables.by_referrer, rows=tables.by_referrer.rows.where(~is_sentinel(F.col("referrer"))))
-    found = pages.find(_selected_as(resolved, "referrer"))
+    found = pages.find(_selected_as(resolved, "referrer"), fits)
     return found.select("term", "status", "selected", "resource", "referrer", "type", "count")
 
 
@@ -198,8 +198,11 @@ def response_rows(tables: SearchTables, resolved: DataFrame) -> DataFrame:
     Related pages come in the order their words were looked up, without the
     selected page; edges come by count.
     """
+    # Three lookups follow. Every term has a word, and its rows here repeat the selected page next to the term's
+    # words, so the widest lookup table stands for all.
+    fits = fits_broadcast(query_words(resolved.withColumn("wanted", F.col("selected"))))
     related = (
-        hits(tables.index, resolved)
+        hits(tables.index, resolved, fits)
         .where(~F.col("resource").eqNullSafe(F.lower("selected")))
         .groupBy("term", "status", "selected", "resource")
         .agg(F.min("position").alias("first_word"))
@@ -218,8 +221,8 @@ def response_rows(tables: SearchTables, resolved: DataFrame) -> DataFrame:
             "resource", "referrer", "type", "count",
         )
 
-    findings = related.unionByName(section(incoming(tables, resolved), INCOMING, "referrer")).unionByName(
-        section(outgoing(tables, resolved), OUTGOING, "resource")
+    findings = related.unionByName(section(incoming(tables, resolved, fits), INCOMING, "referrer")).unionByName(
+        section(outgoing(tables, resolved, fits), OUTGOING, "resource")
     )
     ranked = number_rows(findings, ["term", "section"], [F.desc("weight"), F.asc("tie")])
     return displayed(ranked.drop("weight", "tie"))
