@@ -122,7 +122,7 @@ def _pinned_tables(spark: SparkSession, sf: str) -> op.SearchTables:
 
 
 def _search_tables(spark: SparkSession, sf: str) -> op.SearchTables:
-    return write_search_tables(edge_table(spark, sf), work_path(spark, "store"))
+    return write_search_tables(pin(edge_table(spark, sf), "edges"), work_path(spark, "store"))
 
 
 def _resolved(spark: SparkSession, sf: str, tables: op.SearchTables) -> DataFrame:
@@ -319,7 +319,7 @@ def volume_search_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def volume_search_response(spark: SparkSession, sf: str) -> DataFrame:
-    tables = write_search_tables(volume_edges(spark, sf), work_path(spark, "store"))
+    tables = write_search_tables(pin(volume_edges(spark, sf), "edges"), work_path(spark, "store"))
     return op.response_text(op.search(tables, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS))
 
 

@@ -130,7 +130,8 @@ def search_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = part.select(
         F.explode(F.array(F.upper("p_name"), F.col("p_brand"), F.col("p_type"))).alias("term")
     )
-    extra = spark.createDataFrame([(t,) for t in EXTRA_TERMS], "term string")
+    listed = ", ".join(f"'{t}'" for t in EXTRA_TERMS)
+    extra = spark.sql(f"SELECT explode(array({listed})) AS term")
     return vocabulary.unionByName(extra).distinct()
 
 

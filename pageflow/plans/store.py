@@ -119,6 +119,27 @@ class EdgeStore:
         snapshot = read_or_empty(spark, self.snapshots, self._partials("upto")).where(F.col("upto") == upto)
         return snapshot.drop("upto").unionByName(fresh.drop("batch_id"))
 
+    def expire(self, spark: SparkSession) -> None:
+        """Delete the deltas and snapshots that the newest snapshot replaces.
+
+        Keeps reads at the cost of one snapshot and the batches since. Run it when
+        no query planned before that snapshot is still reading.
+        """
+        upto = self.snapshot_batch(spark)
+        jvm = spark._jvm
+        for table, partition, covered in (
+            (self.deltas, "batch_id=", lambda n: n <= upto),
+            (self.snapshots, "upto=", lambda n: n < upto),
+        ):
+            path = jvm.org.apache.hadoop.fs.Path(table)
+            files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            if not files.exists(path):
+                continue
+            for entry in files.listStatus(path):
+                name = entry.getPath().getName()
+                if name.startswith(partition) and covered(int(name.removeprefix(partition))):
+                    files.delete(entry.getPath(), True)
+
     def write_index_delta(self, spark: SparkSession, batch_id: int) -> None:
         """Index rows of the pages in one written batch."""
         batch = self.read_deltas(spark).where(F.col("batch_id") == batch_id)
@@ -157,14 +178,17 @@ def default_buckets(spark: SparkSession) -> int:
 
 
 def write_search_tables(edges: DataFrame, root: str, buckets: int | None = None) -> SearchTables:
-    """Lay edges out by each end, build the index from the stored pages, and open all three."""
+    """Lay edges out by each end, build the index from their pages, and open all three.
+
+    Give a stored table: each layout reads its keys once to find the ranges and
+    then all columns once to write, and a plan in its place would run each time.
+    """
     spark = edges.sparkSession
     buckets = buckets or default_buckets(spark)
     table = edges.select(*EDGE.fieldNames())
     write_layout(table, "resource", "referrer", f"{root}/by_resource", buckets)
-    stored = spark.read.schema(EDGE).parquet(f"{root}/by_resource")
-    write_layout(stored, "referrer", "resource", f"{root}/by_referrer", buckets)
-    write_layout(build_index(stored), "word", "resource", f"{root}/search_index", buckets)
+    write_layout(table, "referrer", "resource", f"{root}/by_referrer", buckets)
+    write_layout(build_index(table), "word", "resource", f"{root}/search_index", buckets)
     return open_search_tables(spark, root, buckets)
 
 

@@ -73,6 +73,13 @@ def test_replayed_batch_counts_once(spark, tmp_path):
     assert store.compact(spark) == 2
     assert rows(store.edges(spark)) == [("a", "b", "late", 15), ("c", "d", "link", 1)]
 
+    store.expire(spark)
+    assert store.read_deltas(spark).count() == 0
+    assert spark.read.parquet(store.snapshots).select("upto").distinct().count() == 1
+    store.write_delta(batch(("a", "b", "x", 1, 9)), 3)
+    assert rows(store.edges(spark)) == [("a", "b", "late", 16), ("c", "d", "link", 1)]
+    assert store.compact(spark) == 3
+
 
 def test_empty_store(spark, tmp_path):
     store = EdgeStore(f"file://{tmp_path}/none", ORD)
