@@ -29,6 +29,7 @@ HEADLINE = (
     "search_select",
     "search_ranked",
     "search_response",
+    "search_stored",
     "monthly_traffic",
     "stream_edge_upsert",
     "trending_windowed",

@@ -98,7 +98,7 @@ def key_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_count(spark: SparkSession, sf: str) -> DataFrame:
-    return op.word_count(fx.table(spark, sf, "documents"), "text")
+    return op.word_count(spread(fx.table(spark, sf, "documents").select("text")), "text")
 
 
 # --- index and search --------------------------------------------------------
@@ -116,13 +116,11 @@ def _keyed_index(spark: SparkSession, sf: str) -> op.Keyed:
     return op.Keyed(page_index(spark, sf), "word")
 
 
-def _pinned_tables(spark: SparkSession, sf: str) -> op.SearchTables:
-    edges = pin(edge_table(spark, sf), "edges")
-    return op.SearchTables.of(edges, op.build_index(edges))
-
-
-def _search_tables(spark: SparkSession, sf: str) -> op.SearchTables:
-    return write_search_tables(pin(edge_table(spark, sf), "edges"), work_path(spark, "store"))
+def _pinned_tables(edges: DataFrame, index_too: bool = False) -> op.SearchTables:
+    """Edges stored for the two lookups at their ends; the index too where it is read more than once."""
+    stored = pin(edges, "edges")
+    index = op.build_index(stored)
+    return op.SearchTables.of(stored, pin(index, "index") if index_too else index)
 
 
 def _resolved(spark: SparkSession, sf: str, tables: op.SearchTables) -> DataFrame:
@@ -163,17 +161,17 @@ def search_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def direct_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return op.direct_lookup(_pinned_tables(spark, sf), _terms(spark, sf))
+    return op.direct_lookup(_pinned_tables(edge_table(spark, sf)), _terms(spark, sf))
 
 
 def search_incoming(spark: SparkSession, sf: str) -> DataFrame:
-    tables = _pinned_tables(spark, sf)
+    tables = _pinned_tables(edge_table(spark, sf))
     found = op.incoming(tables, _resolved(spark, sf, tables))
     return _long(op.by_traffic(found, "referrer").drop("status"), "rank")
 
 
 def search_outgoing(spark: SparkSession, sf: str) -> DataFrame:
-    tables = _pinned_tables(spark, sf)
+    tables = _pinned_tables(edge_table(spark, sf))
     found = op.outgoing(tables, _resolved(spark, sf, tables))
     return _long(op.by_traffic(found, "resource").drop("status"), "rank")
 
@@ -185,18 +183,28 @@ def title_case(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def traffic_series(spark: SparkSession, sf: str) -> DataFrame:
-    tables = _pinned_tables(spark, sf)
+    tables = _pinned_tables(edge_table(spark, sf))
     return _long(op.traffic_series(tables, _resolved(spark, sf, tables)), "rank")
 
 
 RESPONSE_PAGE_ROWS = 100
 
 
-def search_response(spark: SparkSession, sf: str) -> DataFrame:
-    tables = _search_tables(spark, sf)
+def _answers(spark: SparkSession, sf: str, tables: op.SearchTables) -> DataFrame:
     return op.response_text(op.search(tables, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS))
 
 
+def search_response(spark: SparkSession, sf: str) -> DataFrame:
+    """One set of terms over a fresh edge table: writing layouts first would cost more than it saves."""
+    return _answers(spark, sf, _pinned_tables(edge_table(spark, sf), index_too=True))
+
+
+def search_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The same answers from the stored layouts that serve many searches."""
+    edges = pin(edge_table(spark, sf), "edges")
+    return _answers(spark, sf, write_search_tables(edges, work_path(spark, "store")))
+
+
 # --- months ------------------------------------------------------------------
 
 
@@ -319,8 +327,7 @@ def volume_search_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def volume_search_response(spark: SparkSession, sf: str) -> DataFrame:
-    tables = write_search_tables(pin(volume_edges(spark, sf), "edges"), work_path(spark, "store"))
-    return op.response_text(op.search(tables, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS))
+    return _answers(spark, sf, _pinned_tables(volume_edges(spark, sf), index_too=True))
 
 
 # --- registry ----------------------------------------------------------------
@@ -350,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "title_case": title_case,
     "traffic_series": traffic_series,
     "search_response": search_response,
+    "search_stored": search_stored,
     "extract_anchors": extract_anchors,
     "new_months": months_to_load,
     "updated_ledger": updated_ledger,

@@ -347,3 +347,4 @@ ORACLE: dict[str, str] = {
     ),
 }
 ORACLE["batched_word_count"] = ORACLE["word_count"]
+ORACLE["search_stored"] = ORACLE["search_response"]
