@@ -50,32 +50,45 @@ def lookup_join(
     return split_join(big, lookup, keys, rows_per_split)
 
 
+def _hot_keys(df: DataFrame, keys: list[str], rows_per_split: int, slices: str) -> DataFrame:
+    """Keys with more rows than the limit, and how many slices each needs.
+
+    Small enough to broadcast whatever the size of ``df``: the limit is raised
+    until at most ``MOST_HOT_KEYS`` keys can exceed it.
+    """
+    limit = max(rows_per_split, df.count() // MOST_HOT_KEYS + 1)
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > limit)
+        .select(*keys, F.ceil(F.col("n") / limit).cast("int").alias(slices))
+    )
+
+
 def split_join(
     big: DataFrame, lookup: DataFrame, on: Sequence[str], rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
-    """Inner join that cuts each key with more than ``rows_per_split`` rows into slices.
+    """Inner join that cuts keys with many rows on either side into slices.
 
-    The other side is copied once per slice of those keys only. The list of hot
-    keys is small enough to broadcast whatever the size of ``big``: the limit is
-    raised until at most ``MOST_HOT_KEYS`` keys can exceed it.
+    Each row takes one slice of its own side and is copied to every slice of the
+    other, so that any two rows of a key meet in exactly one task. Keys that are
+    hot on neither side are neither cut nor copied. The slice is a hash of the
+    row, so a retried task sends it where it went before.
     """
     keys = list(on)
-    rest = [c for c in big.columns if c not in keys]
-    limit = max(rows_per_split, big.count() // MOST_HOT_KEYS + 1)
-    hot = (
-        big.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > limit)
-        .select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("slices"))
-    )
-    sliced = (
-        big.join(F.broadcast(hot), keys, "left")
-        .withColumn("slice", F.pmod(F.xxhash64(*rest), F.coalesce("slices", F.lit(1))).cast("int"))
-        .drop("slices")
-    )
-    copied = (
-        lookup.join(F.broadcast(hot), keys, "left")
-        .withColumn("slice", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)))
-        .drop("slices")
-    )
-    return sliced.join(copied, [*keys, "slice"]).drop("slice")
+    hot_big = _hot_keys(big, keys, rows_per_split, "big_slices")
+    hot_lookup = _hot_keys(lookup, keys, rows_per_split, "lookup_slices")
+
+    def place(df: DataFrame, own: str, other: str) -> DataFrame:
+        rest = [c for c in df.columns if c not in keys]
+        marked = df.join(F.broadcast(hot_big), keys, "left").join(F.broadcast(hot_lookup), keys, "left")
+        mine = F.pmod(F.xxhash64(*rest), F.coalesce(f"{own}_slices", F.lit(1))).cast("int")
+        copies = F.sequence(F.lit(0), F.coalesce(f"{other}_slices", F.lit(1)) - 1)
+        return (
+            marked.withColumn(f"{own}_slice", mine)
+            .withColumn(f"{other}_slice", F.explode(copies))
+            .drop("big_slices", "lookup_slices")
+        )
+
+    slices = ["big_slice", "lookup_slice"]
+    return place(big, "big", "lookup").join(place(lookup, "lookup", "big"), [*keys, *slices]).drop(*slices)

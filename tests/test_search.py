@@ -1,6 +1,7 @@
 """Search semantics on a few pages, and the stored layouts."""
 
 import json
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,6 +150,17 @@ def test_stored_layouts_answer_alike_and_prune(spark, tables, tmp_path):
     assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_many_terms_join_by_shuffle_alike(spark, tables, monkeypatch):
+    terms = spark.createDataFrame([("abba",), ("gold rush",), ("abba gold",), ("!!!",)], "term string")
+    expected = rows(op.response_text(op.search(tables, terms)))
+    joins, searching = sys.modules["pageflow.operators.joins"], sys.modules["pageflow.operators.search"]
+    split = joins.split_join
+    for module in (joins, searching):
+        monkeypatch.setattr(module, "fits_broadcast", lambda *args: False)
+    monkeypatch.setattr(joins, "split_join", lambda big, lookup, on, _: split(big, lookup, on, rows_per_split=1))
+    assert rows(op.response_text(op.search(tables, terms))) == expected
+
+
 def test_hot_referrer_covers_several_files(many_partitions, tmp_path):
     spark = many_partitions
     edges = spark.range(4000).select(

@@ -36,6 +36,19 @@ def test_hot_key_is_cut_into_slices(many_partitions):
     assert spread > 4
 
 
+def test_keys_hot_on_either_or_both_sides(many_partitions):
+    spark = many_partitions
+    big = skewed(spark, 600)
+    many = spark.range(300).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.lit("k1")).otherwise(F.lit("k2")).alias("k"),
+        F.col("id").alias("t"),
+        F.array(F.col("id")).alias("words"),
+    )
+    joined = split_join(big, many, ["k"], rows_per_split=30)
+    assert sorted(joined.columns) == ["k", "t", "v", "w", "words"]
+    assert rows(joined, "k", "v", "w", "t") == rows(big.join(many, "k"), "k", "v", "w", "t")
+
+
 def test_fits_broadcast_looks_at_rows_and_bytes(spark):
     df = spark.createDataFrame([("x" * 1000, ["y" * 1000])] * 10, "a string, b array<string>")
     assert fits_broadcast(df)
