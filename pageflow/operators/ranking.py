@@ -17,7 +17,8 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], na
     sequence. A row's number is its place in its own slice plus the rows of the
     same group in earlier slices. Only groups that begin in an earlier slice need
     that second part, and a slice starts inside at most one group, so the offset
-    table has no more rows than there are slices and may be broadcast.
+    table has no more rows than there are slices and may be broadcast. Group
+    columns must not be NULL.
     """
     keys = [F.col(c) for c in group]
     laid_out = pin(
