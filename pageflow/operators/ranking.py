@@ -9,36 +9,37 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import pin
 
 
-def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
+def number_rows(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str = "rank", stored: bool = False
+) -> DataFrame:
     """Number the rows of each group from 1 in the given (total) order.
 
     A window over the group would sort a whole group in one task. Here rows are
     range-partitioned by group *and* order, so a large group covers many tasks in
-    sequence. A row's number is its place in its own slice plus the rows of the
-    same group in earlier slices. Only groups that begin in an earlier slice need
-    that second part, and a slice starts inside at most one group, so the offset
-    table has no more rows than there are slices and may be broadcast. Group
-    columns must not be NULL.
+    sequence. Ids of a slice are consecutive, so a row's number is its id less the
+    first id of its group in the slice, plus the rows of the group in earlier
+    slices. Both are one row per group and slice, joined back by the columns the
+    slices are made of. Group columns must not be NULL.
+
+    Range partitioning samples its input, so ``df`` is stored first unless the
+    caller says that it is a stored table already.
     """
     keys = [F.col(c) for c in group]
+    source = df if stored else pin(df, "unnumbered")
     laid_out = pin(
-        df.repartitionByRange(*keys, *order)
+        source.repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_slice", F.shiftright("_at", 33)),
         "numbered",
     )
-    sizes = laid_out.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = laid_out.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sizes.withColumn("_before", F.sum("_n").over(earlier))
-        .where(F.col("_before").isNotNull())
-        .drop("_n")
+    starts = sizes.select(
+        *group, "_slice", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1 - F.col("_first")).alias("_shift")
     )
-    place = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy("_at"))
     return (
-        laid_out.withColumn("_place", place)
-        .join(F.broadcast(offsets), [*group, "_slice"], "left")
-        .withColumn(name, F.col("_place") + F.coalesce("_before", F.lit(0)))
-        .drop("_place", "_before", "_at", "_slice")
+        laid_out.join(starts, [*group, "_slice"])
+        .withColumn(name, F.col("_at") + F.col("_shift"))
+        .drop("_shift", "_at", "_slice")
     )
