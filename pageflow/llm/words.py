@@ -127,12 +127,15 @@ def hash_words(data: np.ndarray, words: Words, lower: bool = True) -> np.ndarray
     begin, total = 0, len(words.start)
     while begin < total:
         end = int(np.searchsorted(words.start, words.start[begin] + _HASH_BYTES, "left"))
-        out[begin:end] = _hash_some(data, words.start[begin:end], words.end[begin:end], lower)
+        out[begin:end] = hash_ranges(data, words.start[begin:end], words.end[begin:end], lower)
         begin = end
     return out
 
 
-def _hash_some(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool) -> np.ndarray:
+def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """A 64-bit hash of each range of bytes. No range may be empty."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
     length = end - start
     ahead = np.cumsum(length) - length
     place = np.arange(int(length.sum())) - np.repeat(ahead, length)
