@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageflow.llm import mixing, secrets
+from pageflow.llm import mixing, secret_links
 from pageflow.session import pin
 
 ORACLE_SQL = None
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.drop_secret_rows(docs)
+    return secret_links.drop_secret_rows(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import pin
-from . import mixing, rules, secrets
+from . import language, mixing, quality, rules, secret_links
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,7 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op4_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(table(spark, sf_dir, "documents"))
+    return secret_links.digest(table(spark, sf_dir, "documents"))
+
+
+def op5_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +33,14 @@ def op9_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_links": op4_secret_links,
+    "op5_ftrl_quality": op5_ftrl_quality,
     "op8_source_mix": op8_source_mix,
     "op9_weak_rules": op9_weak_rules,
+    "op10_byte_language": op10_byte_language,
 }
