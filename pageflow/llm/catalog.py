@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import pin
-from . import language, mixing, quality, rules, secret_links
+from . import language, mixing, quality, rules, secret_links, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,12 @@ def op5_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified"
+    )
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = mixing.with_size(table(spark, sf_dir, "documents")).select("doc_id", "source", "size")
     return mixing.mix_sources(pin(sized, "mix-sizes")).select("doc_id", "size", "source_size", "target", "taken")
@@ -40,6 +46,7 @@ def op10_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_links": op4_secret_links,
     "op5_ftrl_quality": op5_ftrl_quality,
+    "op7_warc_round_trip": op7_warc_round_trip,
     "op8_source_mix": op8_source_mix,
     "op9_weak_rules": op9_weak_rules,
     "op10_byte_language": op10_byte_language,
