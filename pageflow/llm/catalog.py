@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import pin
-from . import language, mixing, quality, rules, secret_links, warc
+from . import language, main_text, mixing, quality, rules, secret_links, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_links.digest(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tag_path_text": op1_tag_path_text,
     "op4_secret_links": op4_secret_links,
     "op5_ftrl_quality": op5_ftrl_quality,
     "op7_warc_round_trip": op7_warc_round_trip,
