@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import pin
-from . import language, main_text, mixing, quality, rules, secret_links, warc
+from . import language, main_text, mixing, quality, rules, secret_links, suffix_tree, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op5_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified"
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tag_path_text": op1_tag_path_text,
     "op4_secret_links": op4_secret_links,
     "op5_ftrl_quality": op5_ftrl_quality,
+    "op6_suffix_tree_scores": op6_suffix_tree_scores,
     "op7_warc_round_trip": op7_warc_round_trip,
     "op8_source_mix": op8_source_mix,
     "op9_weak_rules": op9_weak_rules,
