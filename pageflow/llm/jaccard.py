@@ -71,9 +71,9 @@ def count_parts(docs: DataFrame, n: int) -> np.ndarray:
         part = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["part", "n"])
 
-    table = map_arrow(docs.select("text"), run, "part int, n long").groupBy("part").agg(F.sum("n").alias("n")).toPandas()
+    table = map_arrow(docs.select("text"), run, "part int, n long").groupBy("part").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << PART_BITS, np.int64)
-    counts[table["part"].to_numpy(dtype=np.int64)] = table["n"].to_numpy(dtype=np.int64)
+    counts[table["part"].to_numpy()] = table["n"].to_numpy()
     return counts
 
 

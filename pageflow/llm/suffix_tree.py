@@ -180,26 +180,29 @@ def grow(counted: DataFrame, symbols: np.ndarray) -> Tree:
         .select("depth", "context")
     )
     retained = {(0, 0)}
-    for row in tested.collect():  # at most DEPTH / LEAST_SHARE contexts
-        for d in range(row["depth"] + 1):
-            retained.add((d, row["context"] & ((1 << _BITS * d) - 1)))
+    found = tested.toArrow()  # at most DEPTH / LEAST_SHARE contexts
+    for depth, context in zip(found["depth"].to_pylist(), found["context"].to_pylist(), strict=True):
+        retained.update((d, context & ((1 << _BITS * d) - 1)) for d in range(depth + 1))
     nodes = sorted(retained)
     number = {c: i for i, c in enumerate(nodes)}
-    wanted = counted.sparkSession.createDataFrame([(d, c) for d, c in nodes], "depth int, context long")
-    table = kept.join(F.broadcast(wanted), ["depth", "context"]).select("depth", "context", "next", "n").toPandas()
-    counts = np.zeros((len(nodes), OTHER + 1))
-    at = [number[(d, c)] for d, c in zip(table["depth"].tolist(), table["context"].tolist(), strict=True)]
-    counts[at, table["next"].to_numpy(dtype=int)] = table["n"].to_numpy(dtype=float)
-    return _tree(symbols, nodes, number, counts)
+    wanted = counted.sparkSession.createDataFrame(
+        pa.table({"depth": pa.array([d for d, _ in nodes], pa.int32()), "context": pa.array([c for _, c in nodes], pa.int64())})
+    )
+    table = kept.join(F.broadcast(wanted), ["depth", "context"]).select("depth", "context", "next", "n").toArrow()
+    counts = np.zeros((len(nodes), OTHER + 1), np.float32)
+    at = np.fromiter((number[key] for key in zip(table["depth"].to_pylist(), table["context"].to_pylist(), strict=True)), np.int64, len(table))
+    counts[at, table["next"].to_numpy()] = table["n"].to_numpy()
+    return _tree(symbols, number, counts)
 
 
-def _tree(symbols: np.ndarray, nodes: list[tuple[int, int]], number: dict, counts: np.ndarray) -> Tree:
-    size, kinds = len(nodes), OTHER + 1
+def _tree(symbols: np.ndarray, number: dict[tuple[int, int], int], counts: np.ndarray) -> Tree:
+    """``number`` counts the retained (depth, context) in order, so a suffix comes before what extends it."""
+    size, kinds = counts.shape
     alive = np.zeros(kinds, bool)
     alive[symbols] = True
-    share = np.zeros((size, kinds))
-    step = np.arange(2 * size, dtype=np.int32)[:, None].repeat(kinds, 1)
-    step[:size] += size
+    share = np.zeros((size, kinds), np.float32)
+    step = np.empty((2 * size, kinds), np.int32)
+    step[:] = (np.arange(2 * size, dtype=np.int32) % size + size)[:, None]
     for (depth, context), i in number.items():
         below = alive / alive.sum() if depth == 0 else share[number[(depth - 1, context & ((1 << _BITS * (depth - 1)) - 1))]]
         share[i] = (counts[i] + PRIOR * below) / (counts[i].sum() + PRIOR)
@@ -208,7 +211,7 @@ def _tree(symbols: np.ndarray, nodes: list[tuple[int, int]], number: dict, count
             step[above, context >> _BITS * (depth - 1)] = i
     escape = -np.log10(max(int((symbols == OTHER).sum()), 1))
     with np.errstate(divide="ignore"):
-        return Tree(symbols, step.ravel(), np.log10(share).astype(np.float32), float(escape))
+        return Tree(symbols, step.ravel(), np.log10(share, out=share), float(escape))
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -289,7 +292,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     ends = texts.count()
     tokens, distinct = (sums["n"] or 0) + ends, sums["v"] + (1 if ends else 0)
     least = max(FREQUENT_SHARE * tokens, 1)
-    frequent = {bytes(r["word"]): r["n"] for r in vocabulary.where(F.col("n") >= least).limit(int(1 / FREQUENT_SHARE)).collect()}
+    often = vocabulary.where(F.col("n") >= least).toArrow()  # at most 1 / FREQUENT_SHARE words
+    frequent = dict(zip(often["word"].to_pylist(), often["n"].to_pylist(), strict=True))
     rows = pin(score_rows(docs, tree, frequent), "suffix-rows")
     others = rows.select("row", F.explode(F.arrays_zip("rare", "numbers")).alias("r")).select(
         "row", F.col("r.rare").alias("word"), F.col("r.numbers").alias("k")
