@@ -1,28 +1,57 @@
-"""The corpus pipeline: five operators applied to ``documents`` one after the other."""
+"""The corpus pipeline: five operators applied to ``documents`` one after the other.
+
+Each stage reads what its predecessor kept and returns the columns of
+``documents``; the last adds what the mix says of each row. Rows with null ids,
+null texts and repeated rows pass through the stages as the operators define.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageflow.llm import mixing, secret_links
+from pageflow.llm import decontaminate, jaccard, language, mixing, secret_links
 from pageflow.session import pin
 
+#: Texts whose most likely language scores lower are rejected, as are texts without a letter.
+LEAST_LANGUAGE_SCORE = 0.5
+
+#: A trained network, hashes of passages and a latent space are nothing that SQL can express.
 ORACLE_SQL = None
 
 
-def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = language.identify(docs)
+    certain = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    return found.where(certain).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_first(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_leaking_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secret_links.drop_secret_rows(docs)
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.repeat_rows(mixing.mix_sources(mixing.with_size(docs)))
 
 
-STAGES = [("secret scans", scan_secrets), ("mixing sources to target weights", mix_sources)]
+STAGES = [
+    ("language ID", known_language),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", without_benchmark),
+    ("secret scans", without_secrets),
+    ("mixing sources to target weights", mixed),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = pin(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = pin(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
     return docs

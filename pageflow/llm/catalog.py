@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import pin
-from . import jaccard, language, main_text, mixing, quality, rules, secret_links, suffix_tree, warc
+from . import decontaminate, jaccard, language, main_text, mixing, quality, rules, secret_links, suffix_tree, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op3_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "cosine", "item_share", "answer_share")
+
+
 def op4_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_links.digest(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def op10_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tag_path_text": op1_tag_path_text,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_latent_leaks": op3_latent_leaks,
     "op4_secret_links": op4_secret_links,
     "op5_ftrl_quality": op5_ftrl_quality,
     "op6_suffix_tree_scores": op6_suffix_tree_scores,

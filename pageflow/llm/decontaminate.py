@@ -35,7 +35,7 @@ PASSAGE_WORDS = 32
 RANK = 32
 STEP_WORDS = 4
 ITEM_BLOCK = 2_000
-COSINE = 0.55
+COSINE = 0.58
 FULL_SHARE, PART_SHARE, ANSWER_SHARE = 0.8, 0.6, 0.5
 SEED = 11
 
@@ -251,8 +251,14 @@ class Search:
     def leaks(self, held: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
         """For each (row, item) found: cosine, shares of the item and of its answer in the best window."""
         found: dict[tuple[int, int], tuple[float, float, float]] = {}
-        for r, first, stop, item, cosine in self.candidates(held, bounds):
+        seen: dict[tuple[int, int], set[int]] = defaultdict(set)
+        for r, first, stop, item, cosine in sorted(self.candidates(held, bounds), key=lambda c: -c[4]):
             pattern, answer = self.items.terms[item], self.items.answers[item]
+            # neighbours of a window that is nearer to the item overlap it by half or more
+            stretch = first // (len(pattern) // 2 + 1)
+            if not seen[r, item].isdisjoint((stretch - 1, stretch, stretch + 1)):
+                continue
+            seen[r, item].add(stretch)
             share = common_length(pattern, held[first:stop]) / len(pattern)
             if share < PART_SHARE:
                 continue

@@ -161,7 +161,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent:
 
 
 def similar_groups(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> DataFrame:
-    """``row``, ``doc_id``, ``n_shingles``, ``component_id`` of every row, and ``first``: the row that stands for its component.
+    """``row``, ``doc_id``, ``text_hash``, ``n_shingles`` and ``component_id`` of every row, and ``first``: it stands for its component.
 
     ``component_id`` is the least id of the component, null if it has none but
     null ids. A null or empty text, or one without words, has an empty set and is
@@ -174,8 +174,8 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> D
     folded = held.where("size > 0").groupBy(*same).agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("_n"))
     repeats = pin(folded.where("_n > 1").drop("_n"), "jaccard-equal")
     members = pin(
-        held.select("row", "doc_id", "size", "one", "two").join(_maybe_broadcast(repeats), same, "left").select(
-            "row", "doc_id", "size", F.coalesce("node", "row").alias("node")
+        held.select("row", "doc_id", "text_hash", "size", "one", "two").join(_maybe_broadcast(repeats), same, "left").select(
+            "row", "doc_id", "text_hash", "size", F.coalesce("node", "row").alias("node")
         ),
         "jaccard-members",
     )
@@ -223,7 +223,7 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> D
     more = verify(pin(rest, "jaccard-rest"), nodes, docs, n, percent)
     final = connected_components(links.union(more)) if more.limit(1).count() else labels
     named = members.join(_maybe_broadcast(final), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = pin(named.select("row", "doc_id", "size", "component"), "jaccard-named")
+    named = pin(named.select("row", "doc_id", "text_hash", "size", "component"), "jaccard-named")
     # only components of several rows need a look at their other rows
     joint = named.where((F.col("size") > 0)).groupBy("component").agg(
         F.min("doc_id").alias("_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("_first"), F.count(F.lit(1)).alias("_n")
@@ -232,7 +232,33 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> D
     return named.join(_maybe_broadcast(joint), "component", "left").select(
         "row",
         "doc_id",
+        "text_hash",
         F.col("size").alias("n_shingles"),
         F.when(F.col("_joint"), F.col("_id")).otherwise(F.col("doc_id")).alias("component_id"),
         (F.coalesce("_row", "row") == F.col("row")).alias("first"),
     )
+
+
+def keep_first(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> DataFrame:
+    """``docs`` with one row of each group of similar texts: the one with the least id.
+
+    Rows are told apart by id and text. Of repeated rows, equal in both, one
+    stays if they stand for their group. Texts without words are in no group and
+    all stay.
+    """
+    groups = similar_groups(docs, percent, n)
+    standing = F.count_if("first")
+    keys = groups.groupBy("doc_id", "text_hash").agg(standing.alias("_first"), F.count(F.lit(1)).alias("_n"))
+    keys = pin(
+        keys.where(F.col("_first") < F.col("_n")).select(
+            F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), (F.col("_first") > 0).alias("_again")
+        ),
+        "jaccard-gone",
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    kept = docs.join(_maybe_broadcast(keys), same, "left_anti")
+    again = keys.where("_again")
+    if not again.limit(1).count():
+        return kept
+    once = docs.join(_maybe_broadcast(again), same).dropDuplicates(["_id", "_hash"])
+    return kept.unionByName(once.select(*docs.columns))
