@@ -2,7 +2,9 @@ from .edges import (
     fold_edges,
     key_report,
     last_write_wins,
+    last_writes,
     merge_edges,
+    newest_writes,
     pairs,
     symmetric_pairs,
     trending,
@@ -43,8 +45,10 @@ __all__ = [
     "incoming",
     "key_report",
     "last_write_wins",
+    "last_writes",
     "lookup_join",
     "merge_edges",
+    "newest_writes",
     "new_index_rows",
     "number_rows",
     "outgoing",

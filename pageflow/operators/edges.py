@@ -41,14 +41,22 @@ def _fold(rows: DataFrame) -> DataFrame:
 
 def last_write_wins(edges: DataFrame, order: Sequence[str]) -> DataFrame:
     """Rows keyed by page, source and type; the latest arrival overwrites the count."""
-    rows = edges.select(
+    return last_writes(edges, order).drop("ord")
+
+
+def last_writes(edges: DataFrame, order: Sequence[str]) -> DataFrame:
+    """:func:`last_write_wins` with the arrival ``ord`` of each row, for :func:`newest_writes` to fold again."""
+    return newest_writes(edges.select(
         F.col("resource").alias("search_term"),
         F.col("referrer").alias("source"),
         "type",
         "count",
         arrival(*order).alias("ord"),
-    )
-    return rows.groupBy(*DESTINATION_KEY).agg(F.max_by("count", "ord").alias("count"))
+    ))
+
+
+def newest_writes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*DESTINATION_KEY).agg(F.max_by("count", "ord").alias("count"), F.max("ord").alias("ord"))
 
 
 def trending(edges: DataFrame) -> DataFrame:

@@ -22,5 +22,5 @@ def build_index(edges: DataFrame) -> DataFrame:
 
 
 def new_index_rows(index: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Candidate rows that the index does not hold yet."""
-    return candidates.dropDuplicates(list(INDEX_KEY)).join(index, list(INDEX_KEY), "left_anti")
+    """Rows of ``candidates``, which are distinct as :func:`build_index` makes them, that the index does not hold yet."""
+    return candidates.join(index, list(INDEX_KEY), "left_anti")

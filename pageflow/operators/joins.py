@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from ..session import pin
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_SPLIT = 2_000_000
-MOST_HOT_KEYS = 10_000
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -24,9 +25,9 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df``. Reading stops soon after the row limit, so a large table costs little."""
-    head = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    return head["n"] <= rows and (head["b"] or 0) <= size
+    """Measure ``df`` by row count and bytes; each task sends one row of sums."""
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    return seen["n"] <= rows and (seen["b"] or 0) <= size
 
 
 def lookup_join(
@@ -40,9 +41,9 @@ def lookup_join(
     """Inner join on the columns ``on``.
 
     A lookup table measured as small is broadcast, so the big side is not moved
-    and no key is hot. Any other is joined by a shuffle in which the big side's
-    frequent keys are spread over several tasks. ``fits`` is the outcome of an
-    earlier :func:`fits_broadcast` on rows at least as many and as wide.
+    and no key is hot. Any other is joined by a shuffle in which keys that are
+    frequent on either side are spread over several tasks. ``fits`` is the outcome
+    of an earlier :func:`fits_broadcast` on rows at least as many and as wide.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(lookup, broadcast_rows) if fits is None else fits:
@@ -50,13 +51,8 @@ def lookup_join(
     return split_join(big, lookup, keys, rows_per_split)
 
 
-def _hot_keys(df: DataFrame, keys: list[str], rows_per_split: int, slices: str) -> DataFrame:
-    """Keys with more rows than the limit, and how many slices each needs.
-
-    Small enough to broadcast whatever the size of ``df``: the limit is raised
-    until at most ``MOST_HOT_KEYS`` keys can exceed it.
-    """
-    limit = max(rows_per_split, df.count() // MOST_HOT_KEYS + 1)
+def _hot_keys(df: DataFrame, keys: list[str], limit: int, slices: str) -> DataFrame:
+    """Keys with more rows than the limit, and how many slices each needs."""
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
@@ -72,22 +68,32 @@ def split_join(
 
     Each row takes one slice of its own side and is copied to every slice of the
     other, so that any two rows of a key meet in exactly one task. Keys that are
-    hot on neither side are neither cut nor copied. The slice is a hash of the
-    row, so a retried task sends it where it went before.
+    hot on neither side are neither cut nor copied. The limit is fixed, so a slice
+    never grows with the table. Both sides are stored first with a number per
+    row, which gives the slice: rows that agree in all columns spread too, and a
+    retried task sends a row where it went before. At most one key per
+    ``rows_per_split`` rows is hot; their list is stored and broadcast if it is
+    small, else joined by a shuffle.
     """
     keys = list(on)
-    hot_big = _hot_keys(big, keys, rows_per_split, "big_slices")
-    hot_lookup = _hot_keys(lookup, keys, rows_per_split, "lookup_slices")
+    big = pin(big.withColumn("_row", F.monotonically_increasing_id()), "join-big")
+    lookup = pin(lookup.withColumn("_row", F.monotonically_increasing_id()), "join-lookup")
+    hot = pin(
+        _hot_keys(big, keys, rows_per_split, "big_slices").join(
+            _hot_keys(lookup, keys, rows_per_split, "lookup_slices"), keys, "full"
+        ),
+        "join-hot",
+    )
+    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
 
     def place(df: DataFrame, own: str, other: str) -> DataFrame:
-        rest = [c for c in df.columns if c not in keys]
-        marked = df.join(F.broadcast(hot_big), keys, "left").join(F.broadcast(hot_lookup), keys, "left")
-        mine = F.pmod(F.xxhash64(*rest), F.coalesce(f"{own}_slices", F.lit(1))).cast("int")
+        mine = F.pmod(F.xxhash64("_row"), F.coalesce(f"{own}_slices", F.lit(1))).cast("int")
         copies = F.sequence(F.lit(0), F.coalesce(f"{other}_slices", F.lit(1)) - 1)
         return (
-            marked.withColumn(f"{own}_slice", mine)
+            df.join(hot, keys, "left")
+            .withColumn(f"{own}_slice", mine)
             .withColumn(f"{other}_slice", F.explode(copies))
-            .drop("big_slices", "lookup_slices")
+            .drop("big_slices", "lookup_slices", "_row")
         )
 
     slices = ["big_slice", "lookup_slice"]

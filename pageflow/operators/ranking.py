@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import pin
+from .joins import fits_broadcast
 
 
 def number_rows(
@@ -18,8 +19,8 @@ def number_rows(
     range-partitioned by group *and* order, so a large group covers many tasks in
     sequence. Ids of a slice are consecutive, so a row's number is its id less the
     first id of its group in the slice, plus the rows of the group in earlier
-    slices. Both are one row per group and slice, joined back by the columns the
-    slices are made of. Group columns must not be NULL.
+    slices. Both are one row per group and slice; joined back by broadcast if they
+    are few. Group columns must not be NULL.
 
     Range partitioning samples its input, so ``df`` is stored first unless the
     caller says that it is a stored table already.
@@ -35,9 +36,9 @@ def number_rows(
     )
     sizes = laid_out.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        *group, "_slice", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1 - F.col("_first")).alias("_shift")
-    )
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1 - F.col("_first")
+    starts = pin(sizes.select(*group, "_slice", shift.alias("_shift")), "slice-starts")
+    starts = F.broadcast(starts) if fits_broadcast(starts) else starts
     return (
         laid_out.join(starts, [*group, "_slice"])
         .withColumn(name, F.col("_at") + F.col("_shift"))

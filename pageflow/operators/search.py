@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import display_name, is_sentinel, norm_term, term_words, title_case
 from ..session import pin
-from .joins import fits_broadcast, lookup_join
+from .joins import BROADCAST_ROWS, ROWS_PER_SPLIT, fits_broadcast, lookup_join
 from .ranking import number_rows
 
 RELATED, INCOMING, OUTGOING = "related", "incoming", "outgoing"
@@ -38,12 +38,15 @@ class Keyed:
     rows: DataFrame
     key: str
     buckets: int | None = None
+    broadcast_rows: int = BROADCAST_ROWS
+    rows_per_split: int = ROWS_PER_SPLIT
 
     def find(self, wanted: DataFrame, fits: bool | None = None) -> DataFrame:
+        limits = (self.broadcast_rows, self.rows_per_split, fits)
         if self.buckets is None:
-            return lookup_join(self.rows, wanted, self.key, fits=fits)
+            return lookup_join(self.rows, wanted, self.key, *limits)
         placed = wanted.where(F.col(self.key) != "").withColumn("bucket", bucket_of(F.col(self.key), self.buckets))
-        return lookup_join(self.rows, placed, ["bucket", self.key], fits=fits).drop("bucket")
+        return lookup_join(self.rows, placed, ["bucket", self.key], *limits).drop("bucket")
 
     def find_one(self, value: str) -> DataFrame:
         found = self.rows.where(F.col(self.key) == value)
@@ -66,13 +69,13 @@ class SearchTables:
 
 
 def prepare_terms(terms: DataFrame) -> DataFrame:
-    """Distinct terms with their normal form, query words and status; a blank normal form is invalid."""
+    """Distinct terms with their normal form, query words and status; a missing or blank term is invalid."""
     return (
         terms.select("term")
         .distinct()
         .withColumn("norm", norm_term(F.col("term")))
         .withColumn("words", term_words(F.col("norm")))
-        .withColumn("status", F.when(F.col("norm") == "", "invalid").otherwise("ok"))
+        .withColumn("status", F.when(F.coalesce("norm", F.lit("")) == "", "invalid").otherwise("ok"))
     )
 
 
@@ -91,25 +94,32 @@ def related_pages(index: Keyed, prepared: DataFrame) -> DataFrame:
     return hits(index, prepared).groupBy("term", "resource").agg(F.min("position").alias("first_word"))
 
 
-def select_pages(index: Keyed, prepared: DataFrame) -> DataFrame:
-    """One page per term: the exact match, else the shortest page containing every word as a substring."""
-    exact = F.col("resource") == F.col("norm")
+def _fitting(found: DataFrame) -> DataFrame:
+    """Add to hits whether the page is the term itself, and whether it contains every word as a substring."""
     contains_all = F.forall("words", lambda w: F.contains(F.col("resource"), w))
+    return found.withColumn("exact", F.col("resource") == F.col("norm")).withColumn("contains_all", contains_all)
+
+
+def _select(fitting: DataFrame) -> DataFrame:
     order = F.struct(
-        (~exact).alias("fallback"),
+        (~F.col("exact")).alias("fallback"),
         F.length("resource").alias("length"),
         F.col("position").alias("first_word"),
         F.col("resource").alias("resource"),
     )
     return (
-        hits(index, prepared)
-        .where(exact | contains_all)
+        fitting.where("exact OR contains_all")
         .groupBy("term")
         .agg(F.min(order).alias("best"))
         .select("term", F.col("best.resource").alias("selected"), (~F.col("best.fallback")).alias("is_exact"))
     )
 
 
+def select_pages(index: Keyed, prepared: DataFrame) -> DataFrame:
+    """One page per term: the exact match, else the shortest page containing every word as a substring."""
+    return _select(_fitting(hits(index, prepared)))
+
+
 def select_first(index: Keyed, prepared: DataFrame) -> DataFrame:
     """The first related page, unranked."""
     first = F.struct(F.col("position").alias("first_word"), F.col("resource").alias("resource"))
@@ -133,11 +143,13 @@ def ranked_pages(index: Keyed, prepared: DataFrame) -> DataFrame:
     ).withColumn("is_selected", F.col("rank") == 1)
 
 
+def _resolve(prepared: DataFrame, selection: DataFrame) -> DataFrame:
+    return pin(prepared.join(selection.select("term", "selected"), "term", "left"), "resolved")
+
+
 def resolve_terms(index: Keyed, prepared: DataFrame) -> DataFrame:
     """Prepared terms with their selected page; terms without one keep NULL."""
-    return pin(
-        prepared.join(select_pages(index, prepared).select("term", "selected"), "term", "left"), "resolved"
-    )
+    return _resolve(prepared, select_pages(index, prepared))
 
 
 def _selected_as(resolved: DataFrame, end: str) -> DataFrame:
@@ -176,7 +188,7 @@ def displayed(edges: DataFrame) -> DataFrame:
 
 def traffic_series(tables: SearchTables, resolved: DataFrame) -> DataFrame:
     """Chart series: counts labelled by referrer for incoming and by resource for outgoing traffic."""
-    rows = response_rows(tables, resolved).where(F.col("section") != RELATED)
+    rows = _ranked(_edge_sections(tables, resolved, fits_broadcast(_selected_as(resolved, "resource"))))
     label = F.when(F.col("section") == INCOMING, F.col("referrer")).otherwise(F.col("resource"))
     return rows.select("term", "section", "rank", label.alias("label"), "count")
 
@@ -192,17 +204,34 @@ def direct_lookup(tables: SearchTables, prepared: DataFrame) -> DataFrame:
     )
 
 
-def response_rows(tables: SearchTables, resolved: DataFrame) -> DataFrame:
+def _edge_sections(tables: SearchTables, resolved: DataFrame, fits: bool) -> DataFrame:
+    def section(edges: DataFrame, name: str, other_end: str) -> DataFrame:
+        return edges.select(
+            "term", "status", "selected", F.lit(name).alias("section"),
+            F.col("count").alias("weight"), F.col(other_end).alias("tie"),
+            "resource", "referrer", "type", "count",
+        )
+
+    return section(incoming(tables, resolved, fits), INCOMING, "referrer").unionByName(
+        section(outgoing(tables, resolved, fits), OUTGOING, "resource")
+    )
+
+
+def _ranked(findings: DataFrame) -> DataFrame:
+    ranked = number_rows(findings, ["term", "section"], [F.desc("weight"), F.asc("tie")])
+    return displayed(ranked.drop("weight", "tie"))
+
+
+def response_rows(tables: SearchTables, resolved: DataFrame, found: DataFrame, fits: bool) -> DataFrame:
     """All findings of all terms in display form, ranked within ``(term, section)``.
 
     Related pages come in the order their words were looked up, without the
-    selected page; edges come by count.
+    selected page; edges come by count. ``found`` are the stored hits of the
+    terms, ``fits`` tells whether their query words may be broadcast; a term has a
+    word at least, so what is looked up here is no larger.
     """
-    # Three lookups follow. Every term has a word, and its rows here repeat the selected page next to the term's
-    # words, so the widest lookup table stands for all.
-    fits = fits_broadcast(query_words(resolved.withColumn("wanted", F.col("selected"))))
     related = (
-        hits(tables.index, resolved, fits)
+        lookup_join(found.select("term", "position", "resource"), resolved.select("term", "status", "selected"), "term", fits=fits)
         .where(~F.col("resource").eqNullSafe(F.lower("selected")))
         .groupBy("term", "status", "selected", "resource")
         .agg(F.min("position").alias("first_word"))
@@ -213,19 +242,7 @@ def response_rows(tables: SearchTables, resolved: DataFrame) -> DataFrame:
             F.lit(None).cast("bigint").alias("count"),
         )
     )
-
-    def section(edges: DataFrame, name: str, other_end: str) -> DataFrame:
-        return edges.select(
-            "term", "status", "selected", F.lit(name).alias("section"),
-            F.col("count").alias("weight"), F.col(other_end).alias("tie"),
-            "resource", "referrer", "type", "count",
-        )
-
-    findings = related.unionByName(section(incoming(tables, resolved, fits), INCOMING, "referrer")).unionByName(
-        section(outgoing(tables, resolved, fits), OUTGOING, "resource")
-    )
-    ranked = number_rows(findings, ["term", "section"], [F.desc("weight"), F.asc("tie")])
-    return displayed(ranked.drop("weight", "tie"))
+    return _ranked(related.unionByName(_edge_sections(tables, resolved, fits)))
 
 
 def response_pages(rows: DataFrame, resolved: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
@@ -276,6 +293,7 @@ def response_json(pages: DataFrame) -> DataFrame:
         ),
         {"ignoreNullFields": "false"},
     )
+    # fixed value: the answer to a missing term
     error = F.lit('{"error":"Search term is required"}')
     return pages.select("term", "page", F.when(F.col("status") == "ok", answer).otherwise(error).alias("json"))
 
@@ -296,7 +314,18 @@ def response_text(pages: DataFrame) -> DataFrame:
     )
 
 
-def search(tables: SearchTables, terms: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Answer every term: status, selected page, and pages of related, incoming and outgoing findings."""
-    resolved = resolve_terms(tables.index, pin(prepare_terms(terms), "terms"))
-    return response_pages(response_rows(tables, resolved), resolved, page_rows)
+def search(
+    tables: SearchTables, terms: DataFrame, page_rows: int = PAGE_ROWS, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Answer every term: status, selected page, and pages of related, incoming and outgoing findings.
+
+    Up to ``broadcast_rows`` query words are sent to all tasks, more are joined by shuffles.
+    """
+    prepared = pin(prepare_terms(terms), "terms")
+    # a term's rows repeat its words and, later, its selected page, which is no longer than what was asked for the index
+    fits = fits_broadcast(query_words(prepared.withColumn("wanted", F.col("norm"))), broadcast_rows)
+    found = pin(
+        _fitting(hits(tables.index, prepared, fits)).select("term", "position", "resource", "exact", "contains_all"), "hits"
+    )
+    resolved = _resolve(prepared, _select(found))
+    return response_pages(response_rows(tables, resolved, found, fits), resolved, page_rows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,12 +11,16 @@ from .. import operators as op
 from ..functions.text import display_name
 from ..schemas import DESTINATION_KEY, EDGE_KEY, INDEX_KEY
 from ..session import pin, spread, work_path
-from ..sources.ledger import anchor_texts, listed_months, merge_ledger, new_months
-from ..sources.lines import accepted, normalise, parse_lines, read_dumps, read_folder, rejected, valid_edges
+from ..sources.ledger import (
+    anchor_texts, append_ledger, export_ledger, listed_months, merge_ledger, new_months, read_ledger_file, read_ledger_table,
+)
+from ..sources.lines import (
+    DUMP_ORDER, accepted, normalise, parse_lines, parse_pairs, read_dumps, read_folder, rejected, valid_edges,
+)
 from ..sources.topic import publish_to_files, stream_files
-from ..streaming.jobs import edge_stream, pair_streams, trending_stream, word_count_stream
+from ..streaming.jobs import edge_stream, overwrite_stream, pair_streams, trending_stream, word_count_stream
 from . import fixtures as fx
-from .ingest import ingest_metrics
+from .ingest import ingest_metrics, ingest_months
 from .store import EdgeStore, write_search_tables
 
 LINE_ORD = "src INT, id BIGINT, pos INT"
@@ -75,11 +80,15 @@ def last_write_wins(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pair_projection(spark: SparkSession, sf: str) -> DataFrame:
-    return op.pairs(accepted(parse_lines(fx.traffic_lines(spark, sf))))
+    return op.pairs(accepted(parse_pairs(dirty(spark, sf))))
 
 
 def symmetric_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return op.symmetric_pairs(accepted(parse_lines(fx.traffic_lines(spark, sf))))
+    """Both directions, appended to a table by two loads: the page lines, then the catalogue lines."""
+    path = work_path(spark, "symmetric")
+    for lines in (fx.page_lines(fx.table(spark, sf, "pages")), fx.catalogue_lines(fx.table(spark, sf, "part"))):
+        op.symmetric_pairs(accepted(parse_pairs(fx.dirty_lines(lines)))).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
 
 
 def key_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
@@ -194,6 +203,19 @@ def _answers(spark: SparkSession, sf: str, tables: op.SearchTables) -> DataFrame
     return op.response_text(op.search(tables, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS))
 
 
+def search_json(spark: SparkSession, sf: str) -> DataFrame:
+    tables = _pinned_tables(edge_table(spark, sf), index_too=True)
+    return op.response_json(op.search(tables, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS))
+
+
+def search_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same answers with every lookup joined by shuffle, and keys of more than a few rows cut."""
+    tables = _pinned_tables(edge_table(spark, sf), index_too=True)
+    limited = [replace(t, broadcast_rows=0, rows_per_split=20) for t in (tables.by_resource, tables.by_referrer, tables.index)]
+    found = op.search(op.SearchTables(*limited), fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS, broadcast_rows=0)
+    return op.response_text(found)
+
+
 def search_response(spark: SparkSession, sf: str) -> DataFrame:
     """One set of terms over a fresh edge table: writing layouts first would cost more than it saves."""
     return _answers(spark, sf, _pinned_tables(edge_table(spark, sf), index_too=True))
@@ -202,7 +224,8 @@ def search_response(spark: SparkSession, sf: str) -> DataFrame:
 def search_stored(spark: SparkSession, sf: str) -> DataFrame:
     """The same answers from the stored layouts that serve many searches."""
     edges = pin(edge_table(spark, sf), "edges")
-    return _answers(spark, sf, write_search_tables(edges, work_path(spark, "store")))
+    buckets = max(1, -(-edges.count() // 1_000_000))
+    return _answers(spark, sf, write_search_tables(edges, work_path(spark, "store"), buckets))
 
 
 # --- months ------------------------------------------------------------------
@@ -218,24 +241,61 @@ def months_to_load(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def updated_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    ledger = fx.loaded_months(spark, sf)
-    return merge_ledger(ledger, new_months(listed_months(fx.month_listing(spark, sf)), ledger))
-
-
-def monthly_traffic(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines staged as gzip dumps, one folder per month, scanned back as one table."""
+    """The ledger table after the new months are recorded, through its text form and back."""
+    table, text = work_path(spark, "ledger"), work_path(spark, "ledger-text")
+    append_ledger(fx.loaded_months(spark, sf), table)
+    fresh = pin(new_months(listed_months(fx.month_listing(spark, sf)), read_ledger_table(spark, table)), "fresh")
+    append_ledger(fresh, table)
+    # the table is read again, not united with its earlier reading: Spark takes two scans of one path for the same
+    export_ledger(merge_ledger(read_ledger_table(spark, table), fresh), text)
+    return read_ledger_file(spark, text)
+
+
+def _staged_dumps(spark: SparkSession, sf: str) -> str:
+    """Lines as gzip dumps, one folder per month; files of a month in arrival order."""
     root = work_path(spark, "dumps")
-    dated = fx.dated_lines(fx.traffic_lines(spark, sf))
+    dated = pin(fx.dated_lines(fx.traffic_lines(spark, sf)), "dated")
     (
         dated.repartitionByRange("month", *ORDER)
+        .sortWithinPartitions("month", *ORDER)
         .select("value", "month")
         .write.partitionBy("month")
         .option("compression", "gzip")
         .option("maxRecordsPerFile", 5_000_000)
         .text(root)
     )
+    return root
+
+
+def dump_edge_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Upsert of staged dumps: the first line of a pair, by month, file and place, gives its type."""
+    lines = read_dumps(spark, _staged_dumps(spark, sf), ordered=True)
+    return op.fold_edges(valid_edges(lines), ["month", *DUMP_ORDER]).drop("ord")
+
+
+def ingest_listed(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of a listing against staged dumps: traffic published, and whether the ledger has the name afterwards.
+
+    Listed are the months of the dumps and one without a file; the ledger holds the first already.
+    """
+    root, ledger, published = (_staged_dumps(spark, sf), work_path(spark, "ledger"), work_path(spark, "published"))
+    months = fx.dated_lines(fx.traffic_lines(spark, sf)).select("month").distinct()
+    listed = months.union(spark.sql("SELECT '2019-13-extra'"))
+    listing = listed.select(F.concat(F.lit("<A href='x'><b>"), "month", F.lit("/</b></A>")).alias("html"))
+    append_ledger(spark.sql("SELECT '2018-01' AS date"), ledger)
+    done = ingest_months(
+        spark, listing, ledger, root, lambda lines: lines.write.text(published), file_pattern="*.txt.gz"
+    )
+    recorded = read_ledger_table(spark, ledger).select("date", F.lit("recorded").alias("state"))
+    traffic = valid_edges(spark.read.text(published)).agg(F.sum("count").alias("n")).select(F.lit("lines").alias("date"), F.lit("traffic").alias("state"), "n")
+    states = recorded.unionByName(done.missing.select("date", F.lit("missing").alias("state")))
+    return states.withColumn("n", F.lit(None).cast("bigint")).unionByName(traffic)
+
+
+def monthly_traffic(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines staged as gzip dumps, one folder per month, scanned back as one table."""
     return (
-        valid_edges(read_dumps(spark, root))
+        valid_edges(read_dumps(spark, _staged_dumps(spark, sf)))
         .groupBy("month")
         .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("count").alias("traffic"))
     )
@@ -259,31 +319,67 @@ def _table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return stream_files(spark, f"{sf}/{name}.parque[t]", schema)
 
 
+def _streamed_store(spark: SparkSession, sf: str, buckets: int = 16) -> EdgeStore:
+    """A store fed by two runs of the stream, compacted between and after them."""
+    lines = dirty(spark, sf)
+    store, progress = EdgeStore(work_path(spark, "store"), LINE_ORD, buckets), work_path(spark, "progress")
+    path = work_path(spark, "lines")
+    for part in (F.col("src") == fx.PAGES, F.col("src") == fx.CATALOGUE):
+        spread(lines.where(part)).write.mode("append").parquet(path)
+        source = stream_files(spark, path, lines.schema, 4)
+        edge_stream(source, store, progress, once=True).awaitTermination()
+        store.compact(spark)
+    return store
+
+
 def stream_edge_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed_store(spark, sf).edges(spark)
+
+
+def stream_index(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed_store(spark, sf).index(spark)
+
+
+def stream_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Search over the layouts that the stream's batches keep up to date."""
+    return _answers(spark, sf, _streamed_store(spark, sf).search_tables(spark))
+
+
+def stream_last_write_wins(spark: SparkSession, sf: str) -> DataFrame:
     lines = dirty(spark, sf)
     path, files = _stage(lines)
-    store = EdgeStore(work_path(spark, "store"), LINE_ORD)
+    out = work_path(spark, "overwrites")
     source = stream_files(spark, path, lines.schema, files)
-    edge_stream(source, store, work_path(spark, "progress"), once=True).awaitTermination()
-    store.compact(spark)
-    return store.edges(spark)
+    overwrite_stream(source, out, ORDER, work_path(spark, "progress"), once=True).awaitTermination()
+    return op.newest_writes(spark.read.parquet(out)).drop("ord")
 
 
 def pair_stream(spark: SparkSession, sf: str) -> DataFrame:
-    lines = fx.traffic_lines(spark, sf)
+    """Pairs in both sinks, and the lines without a pair that were set aside."""
+    lines = dirty(spark, sf)
     path, files = _stage(lines)
-    table, documents = work_path(spark, "pairs"), work_path(spark, "documents")
+    table, documents, aside = (work_path(spark, n) for n in ("pairs", "documents", "aside"))
     source = stream_files(spark, path, lines.schema, files)
-    for query in pair_streams(source, table, documents, work_path(spark, "progress"), once=True):
+    for query in pair_streams(source, table, documents, work_path(spark, "progress"), once=True, aside_path=aside):
         query.awaitTermination()
     schema = "referrer STRING, resource STRING"
     rows = spark.read.schema(schema).parquet(table).withColumn("sink", F.lit("table"))
-    return rows.unionByName(spark.read.schema(schema).json(documents).withColumn("sink", F.lit("documents")))
+    rows = rows.unionByName(spark.read.schema(schema).json(documents).withColumn("sink", F.lit("documents")))
+    left = spark.read.schema("value STRING").parquet(aside)
+    return rows.unionByName(
+        left.select(F.lit(None).cast("string").alias("referrer"), F.col("value").alias("resource"), F.lit("aside").alias("sink"))
+    )
+
+
+BATCH_ROWS = 1000
 
 
 def batched_word_count(spark: SparkSession, sf: str) -> DataFrame:
-    out = work_path(spark, "words")
-    source = _table_stream(spark, sf, "documents")
+    """Word counts by micro-batches of at most ``BATCH_ROWS`` texts, added up over the batches."""
+    texts = fx.table(spark, sf, "documents").select("text")
+    path, out = work_path(spark, "texts"), work_path(spark, "words")
+    texts.write.option("maxRecordsPerFile", BATCH_ROWS).parquet(path)
+    source = stream_files(spark, path, texts.schema, files_per_trigger=1)
     word_count_stream(source, "text", out, work_path(spark, "progress"), once=True).awaitTermination()
     return spark.read.parquet(out).groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -327,7 +423,8 @@ def volume_search_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def volume_search_response(spark: SparkSession, sf: str) -> DataFrame:
-    return _answers(spark, sf, _pinned_tables(volume_edges(spark, sf), index_too=True))
+    tables = _pinned_tables(volume_edges(spark, sf), index_too=True)
+    return op.response_text(op.search(tables, fx.text_terms(spark, sf), RESPONSE_PAGE_ROWS))
 
 
 # --- registry ----------------------------------------------------------------
@@ -358,11 +455,18 @@ QUERIES: dict[str, Query] = {
     "traffic_series": traffic_series,
     "search_response": search_response,
     "search_stored": search_stored,
+    "search_json": search_json,
+    "search_shuffled": search_shuffled,
     "extract_anchors": extract_anchors,
     "new_months": months_to_load,
     "updated_ledger": updated_ledger,
     "monthly_traffic": monthly_traffic,
+    "dump_edge_upsert": dump_edge_upsert,
+    "ingest_months": ingest_listed,
     "stream_edge_upsert": stream_edge_upsert,
+    "stream_index": stream_index,
+    "stream_search": stream_search,
+    "stream_last_write_wins": stream_last_write_wins,
     "pair_stream": pair_stream,
     "batched_word_count": batched_word_count,
     "trending_windowed": trending_windowed,

@@ -8,9 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import SENTINEL_REFERRERS
-from ..sources.ledger import ANCHOR_TEXT
 
 ORDER = ("src", "id", "pos")
+
+# Links as the given pages write them; the walk is defined on these.
+LINK_TEXT = "<a[^>]*>([^<]*)</a>"
 PAGES, CATALOGUE, TEXTS = 0, 1, 2
 
 # Terms the tables do not hold: unknown, blank, repeated words, stop words,
@@ -44,7 +46,7 @@ def _sentinel(number: str) -> str:
 def page_lines(pages: DataFrame) -> DataFrame:
     """A walk over each page's links in order; titles take three written forms in turn."""
     titled = pages.select(
-        "page_id", F.regexp_extract_all("html", F.lit(ANCHOR_TEXT), F.lit(1)).alias("links")
+        "page_id", F.regexp_extract_all("html", F.lit(LINK_TEXT), F.lit(1)).alias("links")
     ).selectExpr(
         "page_id AS id",
         """transform(links, (text, at) -> CASE at % 3
@@ -131,10 +133,17 @@ def search_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.array(F.upper("p_name"), F.col("p_brand"), F.col("p_type"))).alias("term")
     )
     listed = ", ".join(f"'{t}'" for t in EXTRA_TERMS)
-    extra = spark.sql(f"SELECT explode(array({listed})) AS term")
+    extra = spark.sql(f"SELECT explode(array({listed}, CAST(NULL AS STRING))) AS term")
     return vocabulary.unionByName(extra).distinct()
 
 
+def text_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same terms and the first three words of each benchmark item, which the texts hold as words."""
+    words = F.slice(F.split("text", " "), 1, 3)
+    held = table(spark, sf_dir, "benchmark").select(F.explode(words).alias("term"))
+    return search_terms(spark, sf_dir).unionByName(held).distinct()
+
+
 def month_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages with one month folder per order date."""
     orders = table(spark, sf_dir, "orders")

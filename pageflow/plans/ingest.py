@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..schemas import LEDGER
+from ..functions.parse import strip_line
+from ..operators.joins import lookup_join
+from ..schemas import DUMP_FILE_NAME, LEDGER, LINE
+from ..session import pin
 from ..sources.ledger import append_ledger, listed_months, new_months, read_ledger_table
-from ..sources.lines import dump_path, read_dumps
+from ..sources.lines import folder_of_path, list_files
 
-MONTH = r"^20\d{2}-(0[1-9]|1[0-2])$"
 
+@dataclass(frozen=True)
+class Ingested:
+    """Names that had lines and are now in the ledger, and listed names without a file, as tables of ``date``."""
 
-def pending_months(listing: DataFrame, ledger: DataFrame) -> list[str]:
-    """New months that name a calendar month: 1,200 are possible, so they fit the driver."""
-    fresh = new_months(listed_months(listing), ledger).where(F.col("date").rlike(MONTH))
-    return [row["date"] for row in fresh.collect()]
+    loaded: DataFrame
+    missing: DataFrame
 
 
 def ingest_months(
@@ -28,27 +32,38 @@ def ingest_months(
     publish: Callable[[DataFrame], None],
     edition: str = "*",
     partitions: int | None = None,
-) -> list[str]:
-    """Publish the lines of every new month in one job and record the months that had lines.
+    file_pattern: str | None = None,
+) -> Ingested:
+    """Publish the lines of every new listed name in one job and record the names that had lines.
 
-    A month whose file is missing is not recorded, so a later run tries it again.
+    A name is the folder its files lie in; any name the listing offers counts. One
+    whose file is missing is not recorded, so a later run tries it again; it comes
+    back in ``missing``. Only file names are listed before the new ones are read.
     """
-    months = pending_months(listing, read_ledger_table(spark, ledger_path))
-    if not months:
-        return []
-    any_month = "{" + ",".join(months) + "}"
+    fresh = pin(new_months(listed_months(listing), read_ledger_table(spark, ledger_path)), "fresh")
+    pattern = file_pattern or DUMP_FILE_NAME.format(edition=edition, month="*")
     try:
-        lines = read_dumps(spark, dump_path(dump_root, any_month, edition), partitions)
+        files = list_files(spark, dump_root, pattern)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return []
+        files = spark.createDataFrame([], "path STRING, folder STRING")
+    wanted = pin(lookup_join(files, fresh.select(F.col("date").alias("folder")), "folder"), "dump-files")
+    there = wanted.select(F.col("folder").alias("date")).distinct()
+    absent = fresh.join(there, "date", "left_anti")
+    paths = [row["path"] for row in wanted.select("path").collect()]  # file names, as the scan's own planning holds them
+    if not paths:
+        return Ingested(spark.createDataFrame([], LEDGER), absent)
+    lines = spark.read.schema(LINE).text(paths).select(
+        folder_of_path(F.col("_metadata.file_path")).alias("date"), strip_line(F.col("value")).alias("value")
+    )
+    lines = lines.repartition(partitions) if partitions else lines
     seen = Observation("months read")
-    publish(lines.observe(seen, F.collect_set("month").alias("months")).select("value"))
-    loaded = sorted(seen.get["months"])
-    if loaded:
-        append_ledger(spark.createDataFrame([(m,) for m in loaded], LEDGER), ledger_path)
-    return loaded
+    publish(lines.observe(seen, F.collect_set("date").alias("dates")).select("value"))
+    loaded = spark.createDataFrame([(d,) for d in sorted(seen.get["dates"])], LEDGER)
+    if seen.get["dates"]:
+        append_ledger(loaded, ledger_path)
+    return Ingested(loaded, absent)
 
 
 def ingest_metrics(parsed: DataFrame, write: Callable[[DataFrame], None]) -> DataFrame:

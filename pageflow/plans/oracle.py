@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from ..functions.parse import LINE_BLANKS
-from ..schemas import INDEX_EXCLUDES, SENTINEL_REFERRERS
-from .catalog import RESPONSE_PAGE_ROWS
-from .fixtures import EXTRA_TERMS
+# Fixed values, written out here again so that a slip in the library shows.
+SENTINEL_REFERRERS = ("other-internal", "other-search", "other-external", "other-empty", "other-other")
+INDEX_EXCLUDES = tuple(
+    "a an the and or but is are was were be been being have has had do does did not no of off in on at by with about "
+    "into to from up out over under I you he she it we they me my mine our ours your yours his her its their theirs "
+    "other-internal other-search other-external other-empty other-other".split(" ")
+)
+LINE_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+EXTRA_TERMS = (
+    "zzzz no such page", "!!!", "", "ring ring small", "the small ring", "Small_Ring_(Brand#12)", "brand",
+    "The that, Ist", "de la las los", "für", "r",
+)
+RESPONSE_PAGE_ROWS = 100
 
 
 def _literal(text: str) -> str:
@@ -18,7 +27,7 @@ def _list(items: tuple[str, ...]) -> str:
 
 SENTINELS = _list(SENTINEL_REFERRERS)
 EXCLUDES = _list(INDEX_EXCLUDES)
-EXTRA = ", ".join(f"({_literal(t)})" for t in EXTRA_TERMS)
+EXTRA = ", ".join(f"({_literal(t)})" for t in EXTRA_TERMS) + ", (NULL)"
 BLANKS = _literal(LINE_BLANKS)
 
 
@@ -135,11 +144,16 @@ norms AS (
   FROM terms),
 prepared AS (
   SELECT term, norm, string_split(norm, ' ') AS words,
-    CASE WHEN norm = '' THEN 'invalid' ELSE 'ok' END AS status FROM norms),
+    CASE WHEN coalesce(norm, '') = '' THEN 'invalid' ELSE 'ok' END AS status FROM norms),
 query_words AS (
   SELECT *, unnest(words) AS word, unnest(range(0, len(words))) AS position FROM prepared)
 """
 
+TEXT_TERMS = TERMS.replace(
+    "UNION SELECT * FROM (VALUES",
+    "UNION SELECT unnest(string_split(text, ' ')[1:3]) FROM benchmark UNION SELECT * FROM (VALUES",
+)
+
 HITS = """
 hits AS (
   SELECT q.term, q.norm, q.words, q.position, x.resource
@@ -188,7 +202,33 @@ response AS (
     coalesce(string_agg(p.entry, ', ' ORDER BY p.rank) FILTER (WHERE section = 'related'), '') AS related,
     coalesce(string_agg(p.entry, ', ' ORDER BY p.rank) FILTER (WHERE section = 'incoming'), '') AS incoming,
     coalesce(string_agg(p.entry, ', ' ORDER BY p.rank) FILTER (WHERE section = 'outgoing'), '') AS outgoing
-  FROM paged p JOIN prepared q ON q.term = p.term LEFT JOIN selection s ON s.term = p.term
+  FROM paged p JOIN prepared q ON q.term IS NOT DISTINCT FROM p.term LEFT JOIN selection s ON s.term = p.term
+  GROUP BY ALL)
+"""
+
+ANSWER = f"""
+listed AS (
+  SELECT r.term, r.resource,
+    row_number() OVER (PARTITION BY r.term ORDER BY r.first_word, r.resource) AS rank
+  FROM related r LEFT JOIN selection s ON s.term = r.term
+  WHERE r.resource IS DISTINCT FROM s.selected),
+edge_entries AS (
+  SELECT term, 'incoming' AS section, rank, referrer, resource, type, count FROM incoming
+  UNION ALL SELECT term, 'outgoing', rank, referrer, resource, type, count FROM outgoing),
+paged AS (
+  SELECT term, 'related' AS section, rank, {_display("resource")} AS name, NULL AS edge FROM listed
+  UNION ALL SELECT term, section, rank, NULL, json_object('referrer', {_display("referrer")},
+    'resource', {_display("resource")}, 'type', type, 'count', count)::VARCHAR FROM edge_entries
+  UNION ALL SELECT term, NULL, 1, NULL, NULL FROM prepared),
+answer AS (
+  SELECT p.term, ((p.rank - 1) // {RESPONSE_PAGE_ROWS})::BIGINT AS page,
+    CASE WHEN any_value(q.status) = 'invalid' THEN '{{"error":"Search term is required"}}' ELSE
+      '{{"relatedResources":[' || coalesce(string_agg(to_json(name)::VARCHAR, ',' ORDER BY p.rank)
+        FILTER (WHERE section = 'related'), '') || '],"selectedResourceData":{{"selectedResource":'
+      || coalesce(to_json({_display("any_value(s.selected)")})::VARCHAR, 'null') || ',"incoming":['
+      || coalesce(string_agg(edge, ',' ORDER BY p.rank) FILTER (WHERE section = 'incoming'), '') || '],"outgoing":['
+      || coalesce(string_agg(edge, ',' ORDER BY p.rank) FILTER (WHERE section = 'outgoing'), '') || ']}}}}' END AS json
+  FROM paged p JOIN prepared q ON q.term IS NOT DISTINCT FROM p.term LEFT JOIN selection s ON s.term = p.term
   GROUP BY ALL)
 """
 
@@ -226,6 +266,8 @@ def _key_report(name: str, table: str, key: str) -> str:
     )
 
 
+PAIR = "coalesce(referrer, '') <> '' AND coalesce(resource, '') <> ''"
+
 DESTINATIONS = """
 destinations AS (
   SELECT resource AS search_term, referrer AS source, type, arg_max(count, (src, id, pos)) AS count
@@ -246,11 +288,10 @@ ORACLE: dict[str, str] = {
         "SELECT resource AS search_term, sum(count)::BIGINT AS traffic_count FROM normal GROUP BY ALL",
     ),
     "last_write_wins": _with([*CLEAN, DESTINATIONS], "SELECT * FROM destinations"),
-    "pair_projection": _with([TRAFFIC, _parsed("traffic")], "SELECT referrer, resource FROM parsed WHERE valid"),
+    "pair_projection": _with(DAMAGED, f"SELECT referrer, resource FROM parsed WHERE {PAIR}"),
     "symmetric_pairs": _with(
-        [TRAFFIC, _parsed("traffic")],
-        "SELECT referrer, resource FROM parsed WHERE valid "
-        "UNION ALL SELECT resource, referrer FROM parsed WHERE valid",
+        DAMAGED,
+        f"SELECT referrer, resource FROM parsed WHERE {PAIR} UNION ALL SELECT resource, referrer FROM parsed WHERE {PAIR}",
     ),
     "key_uniqueness": _with(
         [*CLEAN, EDGES, _index(), DESTINATIONS,
@@ -310,7 +351,8 @@ ORACLE: dict[str, str] = {
     "extract_anchors": (
         "SELECT page_id, position::BIGINT AS position, trim(a, '/') AS anchor FROM ("
         "SELECT page_id, unnest(l) AS a, unnest(range(0, len(l))) AS position FROM ("
-        "SELECT page_id, regexp_extract_all(html, '<a[^>]*>([^<]*)</a>', 1) AS l FROM pages))"
+        "SELECT page_id, list_transform(regexp_extract_all(html, '(?is)<a(?:\\s[^>]*)?>(.*?)</a\\s*>', 1), "
+        "lambda x: regexp_replace(x, '<[^>]*>', '', 'g')) AS l FROM pages))"
     ),
     "new_months": _with([MONTHS], "SELECT date FROM fresh ORDER BY date"),
     "updated_ledger": _with([MONTHS], "SELECT date FROM ledger UNION SELECT date FROM fresh ORDER BY date"),
@@ -321,10 +363,28 @@ ORACLE: dict[str, str] = {
     ),
     "stream_edge_upsert": _with([*DAMAGED, _normal(), EDGES], "SELECT * FROM edges"),
     "pair_stream": _with(
-        [TRAFFIC, _parsed("traffic")],
-        "SELECT referrer, resource, 'table' AS sink FROM parsed WHERE valid "
-        "UNION ALL SELECT referrer, resource, 'documents' FROM parsed WHERE valid",
+        DAMAGED,
+        f"SELECT referrer, resource, 'table' AS sink FROM parsed WHERE {PAIR} "
+        f"UNION ALL SELECT referrer, resource, 'documents' FROM parsed WHERE {PAIR} "
+        f"UNION ALL SELECT NULL, value, 'aside' FROM parsed WHERE NOT ({PAIR})",
+    ),
+    "stream_last_write_wins": _with([*DAMAGED, _normal(), DESTINATIONS], "SELECT * FROM destinations"),
+    "stream_index": _with([*DAMAGED, _normal(), EDGES, _index()], "SELECT * FROM word_index"),
+    "stream_search": _with(
+        [*DAMAGED, _normal(), EDGES, _index(), TERMS, HITS, SELECTED, FOUND, RESPONSE], "SELECT * FROM response"
+    ),
+    "dump_edge_upsert": _with(
+        [TRAFFIC, _parsed("traffic"), _normal(), EDGES.replace("(src, id, pos)", "(id % 12, src, id, pos)")],
+        "SELECT * FROM edges",
+    ),
+    "ingest_months": _with(
+        [TRAFFIC, _parsed("traffic"),
+         "names AS (SELECT DISTINCT strftime(DATE '2018-01-01' + to_months((id % 12)::INT), '%Y-%m') AS date FROM traffic)"],
+        "SELECT date, 'recorded' AS state, NULL::BIGINT AS n FROM names UNION SELECT '2018-01', 'recorded', NULL "
+        "UNION ALL SELECT '2019-13-extra', 'missing', NULL "
+        "UNION ALL SELECT 'lines', 'traffic', sum(count)::BIGINT FROM parsed WHERE valid AND id % 12 <> 0",
     ),
+    "search_json": _with([*SEARCH, SELECTED, FOUND, ANSWER], "SELECT * FROM answer"),
     "trending_windowed": (
         "SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, "
         "strftime(w + INTERVAL 10 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end, "
@@ -343,8 +403,8 @@ ORACLE: dict[str, str] = {
     "volume_edge_upsert": _with(VOLUME, "SELECT * FROM edges"),
     "volume_search_index": _with([*VOLUME, _index()], "SELECT * FROM word_index"),
     "volume_search_response": _with(
-        [*VOLUME, _index(), TERMS, HITS, SELECTED, FOUND, RESPONSE], "SELECT * FROM response"
+        [*VOLUME, _index(), TEXT_TERMS, HITS, SELECTED, FOUND, RESPONSE], "SELECT * FROM response"
     ),
 }
 ORACLE["batched_word_count"] = ORACLE["word_count"]
-ORACLE["search_stored"] = ORACLE["search_response"]
+ORACLE["search_stored"] = ORACLE["search_shuffled"] = ORACLE["search_response"]

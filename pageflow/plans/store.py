@@ -1,30 +1,38 @@
-"""The edge store: per-batch deltas, snapshots, and the layouts a search reads.
+"""The edge store: per-batch deltas, snapshots in buckets, and the layouts a search reads.
 
 Only files and partition overwrites are needed, no transactional table format.
 A batch is folded to one row per pair and written to its own ``batch_id``
 partition. Writing the same batch again replaces that partition, so a replay
-after a failure changes nothing. The table is the fold of all partials; a
-snapshot is the same fold over the batches up to some number.
+after a failure changes nothing. A table is the fold of all partials.
+
+Snapshots lie in buckets by a hash of one column. Compaction folds the buckets
+that new batches touch and leaves the files of the others alone; a manifest,
+written last, names the version of each bucket. The number of buckets is stored
+with the data, so every session places a key alike.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.edges import merge_edges
-from ..operators.index import build_index
+from ..operators.index import build_index, new_index_rows
 from ..operators.search import Keyed, SearchTables, bucket_of
-from ..schemas import EDGE, INDEX_KEY, SEARCH_INDEX
+from ..schemas import EDGE, INDEX_KEY, LEDGER, RESOURCE_DESTINATION, SEARCH_INDEX, TRENDING
 
-TOPIC_ORD = "timestamp TIMESTAMP, partition INT, offset BIGINT"
+#: The batch comes first: what a later batch brings never changes a type.
+TOPIC_ORD = "batch_id BIGINT, timestamp TIMESTAMP, partition INT, offset BIGINT"
+BUCKETS = 64
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
+    reader = spark.read.schema(schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return (reader.option("basePath", base) if base else reader).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -41,114 +49,223 @@ def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
     )
 
 
+def _folders(spark: SparkSession, path: str, partition: str) -> dict[int, object]:
+    """Partition folders directly below ``path`` by their number; names only, no job."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return {}
+    names = ((e.getPath().getName(), e.getPath()) for e in files.listStatus(at))
+    return {int(n.removeprefix(partition)): p for n, p in names if n.startswith(partition)}
+
+
+def _exists(spark: SparkSession, path) -> bool:
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _delete(spark: SparkSession, path) -> None:
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored_buckets(spark: SparkSession, root: str, default: int) -> int:
+    """The bucket count that lies with the data; the first caller's ``default`` is stored."""
+    schema = T.StructType([T.StructField("buckets", T.LongType())])
+    found = read_or_empty(spark, f"{root}/settings", schema).first()
+    if found is None:
+        spark.createDataFrame([(default,)], schema).coalesce(1).write.parquet(f"{root}/settings")
+        return default
+    return found["buckets"]
+
+
+@dataclass(frozen=True)
+class Folded:
+    """A table kept as one delta per batch and a snapshot in buckets by ``key``.
+
+    ``fold`` makes rows of a table out of partials; folding twice changes nothing.
+    ``other`` orders the rows of a key in the snapshot's files.
+    """
+
+    deltas: str
+    snapshots: str
+    schema: T.StructType
+    key: str
+    other: str
+    fold: Callable[[DataFrame], DataFrame]
+
+    def _with(self, *names: str) -> T.StructType:
+        return T.StructType([*self.schema.fields, *[T.StructField(n, T.LongType()) for n in names]])
+
+    def write_delta(self, partial: DataFrame, batch_id: int) -> None:
+        replace_partitions(partial.withColumn("batch_id", F.lit(batch_id).cast("bigint")), self.deltas, "batch_id")
+
+    def read_deltas(self, spark: SparkSession) -> DataFrame:
+        return read_or_empty(spark, self.deltas, self._with("batch_id"))
+
+    def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """One batch, from its own folder."""
+        return read_or_empty(spark, f"{self.deltas}/batch_id={batch_id}", self._with("batch_id"), self.deltas)
+
+    def versions(self, spark: SparkSession) -> tuple[int, dict[int, int]]:
+        """Highest batch in the newest finished snapshot, or -1, and the version of each bucket."""
+        manifests = _folders(spark, f"{self.snapshots}_manifest", "upto=")
+        done = [n for n, path in manifests.items() if _exists(spark, path.suffix("/_SUCCESS"))]
+        if not done:
+            return -1, {}
+        rows = spark.read.parquet(f"{self.snapshots}_manifest/upto={max(done)}").collect()  # one per bucket
+        return max(done), {r["bucket"]: r["version"] for r in rows}
+
+    def snapshot(self, spark: SparkSession, versions: dict[int, int]) -> DataFrame:
+        """Rows of the given buckets with their ``bucket``; the filter prunes folders."""
+        rows = read_or_empty(spark, self.snapshots, self._with("bucket", "version"))
+        if not versions:
+            return rows.where("false").drop("version")
+        current = F.create_map(*[F.lit(n).cast("bigint") for pair in versions.items() for n in pair])
+        return rows.where(current[F.col("bucket")] == F.col("version")).drop("version")
+
+    def partials(self, spark: SparkSession) -> DataFrame:
+        """The newest snapshot and the deltas after it."""
+        upto, versions = self.versions(spark)
+        later = self.read_deltas(spark).where(F.col("batch_id") > upto).drop("batch_id")
+        return self.snapshot(spark, versions).drop("bucket").unionByName(later)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self.fold(self.partials(spark))
+
+    def compact(self, spark: SparkSession, buckets: int) -> int:
+        """Fold what was committed since the last snapshot into the buckets it touches."""
+        upto, versions = self.versions(spark)
+        last = max(_folders(spark, self.deltas, "batch_id="), default=-1)
+        if last <= upto:
+            return upto
+        fresh = self.read_deltas(spark).where((F.col("batch_id") > upto) & (F.col("batch_id") <= last)).drop("batch_id")
+        place = bucket_of(F.col(self.key), buckets).cast("bigint")
+        touched = [r[0] for r in fresh.select(place).distinct().collect()]
+        old = self.snapshot(spark, {b: v for b, v in versions.items() if b in set(touched)}).drop("bucket")
+        folded = self.fold(old.unionByName(fresh)).withColumn("bucket", place)
+        replace_partitions(
+            folded.repartitionByRange("bucket", self.key, self.other)
+            .sortWithinPartitions("bucket", self.key, self.other)
+            .withColumn("version", F.lit(last).cast("bigint")),
+            self.snapshots, "bucket", "version",
+        )
+        now = sorted((versions | dict.fromkeys(touched, last)).items())
+        manifest = spark.createDataFrame(now, "bucket BIGINT, version BIGINT").coalesce(1)
+        manifest.write.mode("overwrite").parquet(f"{self.snapshots}_manifest/upto={last}")
+        return last
+
+    def expire(self, spark: SparkSession) -> None:
+        """Delete the versions of buckets that the newest snapshot replaces, and old manifests."""
+        newest, versions = self.versions(spark)
+        for bucket, folder in _folders(spark, self.snapshots, "bucket=").items():
+            for version, path in _folders(spark, folder.toString(), "version=").items():
+                if version < versions.get(bucket, -1):
+                    _delete(spark, path)
+        for n, path in _folders(spark, f"{self.snapshots}_manifest", "upto=").items():
+            if n < newest:
+                _delete(spark, path)
+
+    def expire_deltas(self, spark: SparkSession, upto: int) -> None:
+        for n, path in _folders(spark, self.deltas, "batch_id=").items():
+            if n <= upto:
+                _delete(spark, path)
+
+
+def _distinct(rows: DataFrame) -> DataFrame:
+    return rows.select(*INDEX_KEY).distinct()
+
+
 @dataclass(frozen=True)
 class EdgeStore:
-    """Folders of one store. ``ord`` is the DDL of the arrival order kept with each partial."""
+    """Folders of one store. ``ord`` is the DDL of the arrival order kept with each partial.
+
+    Edges are kept twice, in buckets by either end, from the same deltas; pages'
+    words once. ``buckets`` counts for a new store only; choose it so that a
+    bucket's share of the table is some hundred megabytes.
+    """
 
     root: str
     ord: str = TOPIC_ORD
+    buckets: int = BUCKETS
 
     @property
     def order(self) -> list[str]:
         return T.StructType.fromDDL(self.ord).fieldNames()
 
     @property
-    def deltas(self) -> str:
-        return f"{self.root}/edges_delta"
+    def quarantine(self) -> str:
+        return f"{self.root}/quarantine"
 
-    @property
-    def snapshots(self) -> str:
-        return f"{self.root}/edges_snapshot"
+    def _edges(self, key: str, other: str) -> Folded:
+        partial = T.StructType([*EDGE.fields, T.StructField("ord", T.StructType.fromDDL(self.ord))])
+        return Folded(f"{self.root}/edges_delta", f"{self.root}/edges_by_{key}", partial, key, other, merge_edges)
 
     @property
-    def manifest(self) -> str:
-        return f"{self.root}/edges_manifest"
+    def by_resource(self) -> Folded:
+        return self._edges("resource", "referrer")
 
     @property
-    def index_deltas(self) -> str:
-        return f"{self.root}/index_delta"
+    def by_referrer(self) -> Folded:
+        return self._edges("referrer", "resource")
 
     @property
-    def quarantine(self) -> str:
-        return f"{self.root}/quarantine"
-
-    def _partials(self, partition: str) -> T.StructType:
-        ord_field = T.StructField("ord", T.StructType.fromDDL(self.ord))
-        return T.StructType([*EDGE.fields, ord_field, T.StructField(partition, T.LongType())])
+    def words(self) -> Folded:
+        return Folded(f"{self.root}/index_delta", f"{self.root}/index_by_word", SEARCH_INDEX, "word", "resource", _distinct)
 
     def write_delta(self, partial: DataFrame, batch_id: int) -> None:
-        replace_partitions(partial.withColumn("batch_id", F.lit(batch_id).cast("bigint")), self.deltas, "batch_id")
+        self.by_resource.write_delta(partial, batch_id)
 
-    def read_deltas(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.deltas, self._partials("batch_id"))
-
-    def snapshot_batch(self, spark: SparkSession) -> int:
-        """Highest batch in the newest finished snapshot, or -1."""
-        manifest = read_or_empty(spark, self.manifest, T.StructType([T.StructField("upto", T.LongType())]))
-        found = manifest.agg(F.max("upto").alias("upto")).first()["upto"]
-        return -1 if found is None else found
+    def write_index_delta(self, spark: SparkSession, batch_id: int) -> None:
+        """Index rows of the pages in one written batch that the index does not hold yet.
 
-    def partials(self, spark: SparkSession) -> DataFrame:
-        """The newest snapshot and the deltas after it; both filters prune folders."""
-        upto = self.snapshot_batch(spark)
-        later = self.read_deltas(spark).where(F.col("batch_id") > upto).drop("batch_id")
-        if upto < 0:
-            return later
-        snapshot = read_or_empty(spark, self.snapshots, self._partials("upto"))
-        return snapshot.where(F.col("upto") == upto).drop("upto").unionByName(later)
+        Only the buckets of the batch's words are read. Later batches do not count,
+        so that a replay writes what the first run wrote.
+        """
+        rows = build_index(self.by_resource.read_batch(spark, batch_id)).persist()
+        try:
+            upto, versions = self.words.versions(spark)
+            place = bucket_of(F.col("word"), stored_buckets(spark, self.root, self.buckets)).cast("bigint")
+            touched = {r[0] for r in rows.select(place).distinct().collect()}
+            known = self.words.snapshot(spark, {b: v for b, v in versions.items() if b in touched}).select(*INDEX_KEY)
+            later = self.words.read_deltas(spark).where((F.col("batch_id") > upto) & (F.col("batch_id") < batch_id))
+            self.words.write_delta(new_index_rows(known.unionByName(later.select(*INDEX_KEY)), rows), batch_id)
+        finally:
+            rows.unpersist()
 
     def edges(self, spark: SparkSession) -> DataFrame:
-        return merge_edges(self.partials(spark)).drop("ord")
+        return self.by_resource.read(spark).drop("ord")
 
-    def compact(self, spark: SparkSession) -> int:
-        """Fold everything committed so far into a new snapshot; the manifest entry makes it visible."""
-        last = self.read_deltas(spark).agg(F.max("batch_id").alias("last")).first()["last"]
-        upto = self.snapshot_batch(spark)
-        if last is None or last <= upto:
-            return upto
-        folded = merge_edges(self._up_to(spark, last))
-        replace_partitions(folded.withColumn("upto", F.lit(last).cast("bigint")), self.snapshots, "upto")
-        spark.range(last, last + 1).select(F.col("id").alias("upto")).write.mode("append").parquet(self.manifest)
-        return last
+    def index(self, spark: SparkSession) -> DataFrame:
+        return self.words.read(spark)
 
-    def _up_to(self, spark: SparkSession, last: int) -> DataFrame:
-        upto = self.snapshot_batch(spark)
-        fresh = self.read_deltas(spark).where((F.col("batch_id") > upto) & (F.col("batch_id") <= last))
-        if upto < 0:
-            return fresh.drop("batch_id")
-        snapshot = read_or_empty(spark, self.snapshots, self._partials("upto")).where(F.col("upto") == upto)
-        return snapshot.drop("upto").unionByName(fresh.drop("batch_id"))
+    def compact(self, spark: SparkSession) -> int:
+        """Fold everything committed so far into the snapshots of all three tables."""
+        buckets = stored_buckets(spark, self.root, self.buckets)
+        self.words.compact(spark, buckets)
+        self.by_referrer.compact(spark, buckets)
+        return self.by_resource.compact(spark, buckets)
 
     def expire(self, spark: SparkSession) -> None:
-        """Delete the deltas and snapshots that the newest snapshot replaces.
+        """Delete the deltas and bucket versions that the newest snapshots replace.
 
-        Keeps reads at the cost of one snapshot and the batches since. Run it when
-        no query planned before that snapshot is still reading.
+        Run it when no query planned before those snapshots is still reading.
         """
-        upto = self.snapshot_batch(spark)
-        jvm = spark._jvm
-        for table, partition, covered in (
-            (self.deltas, "batch_id=", lambda n: n <= upto),
-            (self.snapshots, "upto=", lambda n: n < upto),
-        ):
-            path = jvm.org.apache.hadoop.fs.Path(table)
-            files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-            if not files.exists(path):
-                continue
-            for entry in files.listStatus(path):
-                name = entry.getPath().getName()
-                if name.startswith(partition) and covered(int(name.removeprefix(partition))):
-                    files.delete(entry.getPath(), True)
+        for table in (self.by_resource, self.by_referrer, self.words):
+            table.expire(spark)
+        folded = min(t.versions(spark)[0] for t in (self.by_resource, self.by_referrer))
+        self.by_resource.expire_deltas(spark, folded)
+        self.words.expire_deltas(spark, self.words.versions(spark)[0])
 
-    def write_index_delta(self, spark: SparkSession, batch_id: int) -> None:
-        """Index rows of the pages in one written batch."""
-        batch = self.read_deltas(spark).where(F.col("batch_id") == batch_id)
-        rows = build_index(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        replace_partitions(rows, self.index_deltas, "batch_id")
+    def search_tables(self, spark: SparkSession) -> SearchTables:
+        """Everything committed so far, laid out for searches: only buckets with news are written."""
+        self.compact(spark)
+        buckets = stored_buckets(spark, self.root, self.buckets)
 
-    def index(self, spark: SparkSession) -> DataFrame:
-        schema = T.StructType([*SEARCH_INDEX.fields, T.StructField("batch_id", T.LongType())])
-        return read_or_empty(spark, self.index_deltas, schema).select(*INDEX_KEY).distinct()
+        def opened(table: Folded, *columns: str) -> Keyed:
+            rows = table.snapshot(spark, table.versions(spark)[1])
+            return Keyed(rows.select(*columns, F.col("bucket").cast("int").alias("bucket")), table.key, buckets)
+
+        edges = EDGE.fieldNames()
+        return SearchTables(opened(self.by_resource, *edges), opened(self.by_referrer, *edges), opened(self.words, *INDEX_KEY))
 
 
 def write_layout(table: DataFrame, key: str, other: str, path: str, buckets: int) -> None:
@@ -172,27 +289,27 @@ def _read_layout(spark: SparkSession, path: str, schema: T.StructType, key: str,
     return Keyed(spark.read.schema(placed).parquet(path), key, buckets)
 
 
-def default_buckets(spark: SparkSession) -> int:
-    """One folder per core, so that a bucket grows with the work of one core and not with the file count."""
-    return max(1, min(1024, spark.sparkContext.defaultParallelism))
-
-
-def write_search_tables(edges: DataFrame, root: str, buckets: int | None = None) -> SearchTables:
+def write_search_tables(edges: DataFrame, root: str, buckets: int = BUCKETS) -> SearchTables:
     """Lay edges out by each end, build the index from their pages, and open all three.
 
     Give a stored table: each layout reads its keys once to find the ranges and
     then all columns once to write, and a plan in its place would run each time.
+    The bucket count is stored with the layouts; it should follow the table's size,
+    not the cluster's. A store that grows by batches refreshes its own layouts:
+    :meth:`EdgeStore.search_tables`.
     """
     spark = edges.sparkSession
-    buckets = buckets or default_buckets(spark)
+    stored_buckets(spark, root, buckets)
     table = edges.select(*EDGE.fieldNames())
     write_layout(table, "resource", "referrer", f"{root}/by_resource", buckets)
     write_layout(table, "referrer", "resource", f"{root}/by_referrer", buckets)
     write_layout(build_index(table), "word", "resource", f"{root}/search_index", buckets)
-    return open_search_tables(spark, root, buckets)
+    return open_search_tables(spark, root)
 
 
-def open_search_tables(spark: SparkSession, root: str, buckets: int) -> SearchTables:
+def open_search_tables(spark: SparkSession, root: str) -> SearchTables:
+    """Layouts that :func:`write_search_tables` wrote, in the buckets they were written in."""
+    buckets = spark.read.parquet(f"{root}/settings").first()["buckets"]
     return SearchTables(
         _read_layout(spark, f"{root}/by_resource", EDGE, "resource", buckets),
         _read_layout(spark, f"{root}/by_referrer", EDGE, "referrer", buckets),
@@ -200,11 +317,8 @@ def open_search_tables(spark: SparkSession, root: str, buckets: int) -> SearchTa
     )
 
 
-def create_tables(spark: SparkSession, database: str) -> None:
-    """Catalog tables of the store, for users who work by name. Keys are kept by the jobs that write them."""
-    from ..schemas import LEDGER, RESOURCE_DESTINATION, TRENDING
-
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_tables(spark: SparkSession, database: str, folders: dict[str, str]) -> None:
+    """Catalog tables over the folders that jobs write, by the contract's table name, for users who work by name."""
     contracts = {
         "referrer_resource": EDGE,
         "search_index": SEARCH_INDEX,
@@ -212,6 +326,7 @@ def create_tables(spark: SparkSession, database: str) -> None:
         "resource_destination": RESOURCE_DESTINATION,
         "trending_topics": TRENDING,
     }
-    for name, schema in contracts.items():
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, folder in folders.items():
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contracts[name].fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet LOCATION '{folder}'")

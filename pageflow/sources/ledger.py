@@ -7,15 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import LEDGER, LINE, MONTH_PREFIX
 
-ANCHOR_TEXT = "<a[^>]*>([^<]*)</a>"
+# Tags in either case; what stands between them may hold tags and line ends.
+ANCHOR = r"(?is)<a(?:\s[^>]*)?>(.*?)</a\s*>"
+INNER_TAG = "<[^>]*>"
 
 
 def anchor_texts(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row per anchor, with its text cleaned of ``/`` at both ends; other columns are kept."""
+    """One row per anchor, with its text freed of tags and of ``/`` at both ends; other columns are kept."""
     kept = [c for c in pages.columns if c != html]
-    found = F.regexp_extract_all(F.col(html), F.lit(ANCHOR_TEXT), F.lit(1))
+    found = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(1))
     return pages.select(*kept, F.posexplode(found).alias("position", "raw")).select(
-        *kept, "position", F.btrim(F.col("raw"), F.lit("/")).alias("anchor")
+        *kept, "position", F.btrim(F.regexp_replace("raw", INNER_TAG, ""), F.lit("/")).alias("anchor")
     )
 
 

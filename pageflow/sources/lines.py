@@ -32,12 +32,37 @@ def month_of_path(path: Column) -> Column:
     return F.regexp_extract(path, MONTH_IN_PATH, 1)
 
 
-def read_dumps(spark: SparkSession, paths: str | Iterable[str], partitions: int | None = None) -> DataFrame:
-    """All dump files at once as ``(month, value)``.
+#: What orders lines of dump files: the file, the part of it that one task reads, the line in that part.
+DUMP_ORDER = ("file", "block", "line")
+
+
+def folder_of_path(path: Column) -> Column:
+    """Name of the folder a file lies in; of a partition folder, its value."""
+    return F.regexp_replace(F.element_at(F.split(path, "/"), -2), "^[^=]*=", "")
+
+
+def list_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """``path`` and ``folder`` of all files below ``root`` with a name that fits; contents are not read."""
+    found = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    )
+    return found.select("path", folder_of_path(F.col("path")).alias("folder"))
+
+
+def read_dumps(
+    spark: SparkSession, paths: str | Iterable[str], partitions: int | None = None, ordered: bool = False
+) -> DataFrame:
+    """All dump files at once as ``(month, value)``; with ``ordered``, also the arrival columns ``DUMP_ORDER``.
 
     A gzip file is one task however large it is, so give ``partitions`` to spread
-    the decoded lines before heavy work.
+    the decoded lines before heavy work. Line numbers rise within the part of a
+    file that a task reads; they are not consecutive.
     """
+    place = [
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    ]
     wanted = [paths] if isinstance(paths, str) else list(paths)
     lines = (
         spark.read.schema(LINE)
@@ -46,11 +71,22 @@ def read_dumps(spark: SparkSession, paths: str | Iterable[str], partitions: int
         .select(
             month_of_path(F.col("_metadata.file_path")).alias("month"),
             strip_line(F.col("value")).alias("value"),
+            *(place if ordered else []),
         )
     )
     return lines.repartition(partitions) if partitions else lines
 
 
+def parse_pairs(lines: DataFrame) -> DataFrame:
+    """Add ``referrer, resource, valid`` from the first two fields of any line; other columns are kept."""
+    kept = [c for c in lines.columns if c != "value"]
+    taken_apart = lines.select(*kept, strip_line(F.col("value")).alias("value")).select(
+        *kept, "value", F.explode(F.array(line_fields(F.col("value")))).alias("fields")
+    )
+    parsed = taken_apart.selectExpr(*kept, "value", "get(fields, 0) AS referrer", "get(fields, 1) AS resource")
+    return parsed.withColumn("valid", F.expr("coalesce(referrer, '') <> '' AND coalesce(resource, '') <> ''"))
+
+
 def parse_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
     """Add ``referrer, resource, type, count, valid``; other columns are kept.
 

@@ -1,9 +1,10 @@
 from .jobs import (
     console_stream,
     edge_stream,
+    overwrite_stream,
     pair_streams,
     trending_stream,
     word_count_stream,
 )
 
-__all__ = ["console_stream", "edge_stream", "pair_streams", "trending_stream", "word_count_stream"]
+__all__ = ["console_stream", "edge_stream", "overwrite_stream", "pair_streams", "trending_stream", "word_count_stream"]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..operators.edges import fold_edges, pairs, trending_by_window, word_count
+from ..operators.edges import fold_edges, last_writes, pairs, trending_by_window, word_count
 from ..plans.store import EdgeStore, replace_partitions
-from ..sources.lines import accepted, normalise, parse_lines, rejected, valid_edges
+from ..sources.lines import accepted, normalise, parse_lines, parse_pairs, rejected, valid_edges
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, once: bool) -> StreamingQuery:
@@ -19,27 +20,53 @@ def _start(writer: DataStreamWriter, checkpoint: str, once: bool) -> StreamingQu
 def edge_stream(lines: DataFrame, store: EdgeStore, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Normalise lines and upsert them into the store, index included; bad lines go to quarantine.
 
-    ``lines`` carries ``value`` and the arrival columns of the store.
+    ``lines`` carries ``value`` and the arrival columns of the store. A batch is
+    fetched and parsed once and kept for both writes.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_lines(batch)
-        store.write_delta(fold_edges(normalise(accepted(parsed)), store.order), batch_id)
+        number = F.lit(batch_id).cast("bigint")
+        parsed = parse_lines(batch).withColumn("batch_id", number).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            store.write_delta(fold_edges(normalise(accepted(parsed)), store.order), batch_id)
+            bad = rejected(parsed).select("value", *{*store.order, "batch_id"})
+            replace_partitions(bad, store.quarantine, "batch_id")
+        finally:
+            parsed.unpersist()
         store.write_index_delta(batch.sparkSession, batch_id)
-        bad = rejected(parsed).select("value", *store.order).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        replace_partitions(bad, store.quarantine, "batch_id")
 
     return _start(lines.writeStream.foreachBatch(upsert), checkpoint, once)
 
 
 def pair_streams(
-    lines: DataFrame, table_path: str, document_path: str, checkpoint: str, once: bool = False
+    lines: DataFrame, table_path: str, document_path: str, checkpoint: str, once: bool = False, aside_path: str | None = None
 ) -> list[StreamingQuery]:
-    """Raw pairs to a table and to JSON documents: two appending queries on one source."""
-    found = pairs(accepted(parse_lines(lines)))
+    """Raw pairs to a table and to JSON documents: two appending queries on one source.
+
+    Any line with two fields has a pair. With ``aside_path``, a third query keeps the other lines.
+    """
+    parsed = parse_pairs(lines)
+    found = pairs(accepted(parsed))
     table = found.writeStream.format("parquet").outputMode("append").option("path", table_path)
     documents = found.writeStream.format("json").outputMode("append").option("path", document_path)
-    return [_start(table, f"{checkpoint}/table", once), _start(documents, f"{checkpoint}/documents", once)]
+    started = [_start(table, f"{checkpoint}/table", once), _start(documents, f"{checkpoint}/documents", once)]
+    if aside_path:
+        aside = rejected(parsed).select("value").writeStream.format("parquet").outputMode("append").option("path", aside_path)
+        started.append(_start(aside, f"{checkpoint}/aside", once))
+    return started
+
+
+def overwrite_stream(lines: DataFrame, path: str, order: list[str], checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Keyed overwrite: the last write per key of each batch, kept apart by ``batch_id``.
+
+    A replayed batch replaces its own rows. ``newest_writes`` reads the table.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        last = last_writes(valid_edges(batch), order).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        replace_partitions(last, path, "batch_id")
+
+    return _start(lines.writeStream.foreachBatch(write), checkpoint, once)
 
 
 def word_count_stream(

@@ -8,7 +8,8 @@ from pageflow.sources import (
     read_ledger_file, read_ledger_table,
 )
 from pageflow.sources.ledger import append_ledger
-from pageflow.sources.lines import dump_path
+from pageflow.operators import fold_edges
+from pageflow.sources.lines import DUMP_ORDER, dump_path, valid_edges
 from pageflow.sources.topic import PRODUCER_OPTIONS, reader_options
 
 from conftest import rows
@@ -31,12 +32,15 @@ def test_new_months_and_union(spark):
 
 
 def test_listing(spark):
-    html = '<a href="../">../</a> <a href="x">2018-01/</a><a>/2018-02</a><A>2018-03/</A><a> 2018-04/</a><a>readme</a>'
+    html = (
+        '<a href="../">../</a> <a href="x">2018-01/</a><a>/2018-02</a><A>2018-03/</A><a> 2018-04/</a><a>readme</a>'
+        "<a><b>2018-05/</b></a><abbr>2018-06</abbr><A\nHREF=x>2018-07</a\n>"
+    )
     page = spark.createDataFrame([(1, html)], "id int, html string")
     assert rows(anchor_texts(page), "position", "anchor") == [
-        (0, ".."), (1, "2018-01"), (2, "2018-02"), (3, " 2018-04"), (4, "readme")
+        (0, ".."), (1, "2018-01"), (2, "2018-02"), (3, "2018-03"), (4, " 2018-04"), (5, "readme"), (6, "2018-05"), (7, "2018-07")
     ]
-    assert rows(listed_months(page)) == [("2018-01",), ("2018-02",)]
+    assert rows(listed_months(page)) == [("2018-01",), ("2018-02",), ("2018-03",), ("2018-05",), ("2018-07",)]
 
 
 def test_ledger_forms(spark, tmp_path):
@@ -75,13 +79,33 @@ def test_only_months_that_were_read_are_recorded(spark, tmp_path):
     def publish(lines):
         lines.write.mode("append").text(published)
 
-    assert ingest_months(spark, listing, ledger, root, publish) == ["2018-01"]
+    def ingest(**options):
+        done = ingest_months(spark, listing, ledger, root, publish, **options)
+        return rows(done.loaded), rows(done.missing)
+
+    assert ingest() == ([("2018-01",)], [("20-notes",), ("2018-02",)])
     assert rows(read_ledger_table(spark, ledger)) == [("2018-01",)]
     assert rows(spark.read.text(published)) == [("a\tb\tlink\t1",)]
-    assert ingest_months(spark, listing, ledger, root, publish) == []
+    assert ingest() == ([], [("20-notes",), ("2018-02",)])
     write_dump(tmp_path / "dumps", "2018-02", ["c\td\tlink\t1"])
-    assert ingest_months(spark, listing, ledger, root, publish, partitions=2) == ["2018-02"]
-    assert rows(read_ledger_table(spark, ledger)) == [("2018-01",), ("2018-02",)]
+    assert ingest(partitions=2) == ([("2018-02",)], [("20-notes",)])
+    write_dump(tmp_path / "dumps", "20-notes", ["e\tf\tlink\t1"])
+    assert ingest() == ([("20-notes",)], [])
+    assert rows(read_ledger_table(spark, ledger)) == [("20-notes",), ("2018-01",), ("2018-02",)]
+
+
+def test_listing_without_any_dump(spark, tmp_path):
+    listing = spark.createDataFrame([("<a>2018-01/</a>",)], "html string")
+    done = ingest_months(spark, listing, f"file://{tmp_path}/ledger", f"file://{tmp_path}/none", lambda lines: None)
+    assert (rows(done.loaded), rows(done.missing)) == ([], [("2018-01",)])
+
+
+def test_dump_lines_keep_their_order(spark, tmp_path):
+    write_dump(tmp_path, "2018-01", [f"a\tb\t{'other' if k else 'link'}\t1" for k in range(5)])
+    write_dump(tmp_path, "2018-02", ["a\tb\tlate\t1"])
+    lines = read_dumps(spark, f"file://{tmp_path}", ordered=True)
+    folded = fold_edges(valid_edges(lines), ["month", *DUMP_ORDER]).drop("ord")
+    assert rows(folded) == [("a", "b", "link", 6)]
 
 
 def test_metrics_of_a_load(spark, tmp_path):

@@ -49,6 +49,20 @@ def test_keys_hot_on_either_or_both_sides(many_partitions):
     assert rows(joined, "k", "v", "w", "t") == rows(big.join(many, "k"), "k", "v", "w", "t")
 
 
+def test_a_side_of_keys_only_and_equal_rows(many_partitions):
+    spark = many_partitions
+    big = spark.range(900).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
+    keys = spark.createDataFrame([("hot",), ("hot",), ("cold",)], "k string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = split_join(big, keys, ["k"], rows_per_split=50)
+        per_task = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r["count"] for r in per_task) == 1800
+    assert max(r["count"] for r in per_task) < 900
+
+
 def test_fits_broadcast_looks_at_rows_and_bytes(spark):
     df = spark.createDataFrame([("x" * 1000, ["y" * 1000])] * 10, "a string, b array<string>")
     assert fits_broadcast(df)

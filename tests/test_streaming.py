@@ -3,10 +3,13 @@ from pyspark.sql import functions as F
 
 from pageflow import operators as op
 from pageflow.plans import fixtures as fx
-from pageflow.plans.store import EdgeStore, create_tables
-from pageflow.sources.lines import accepted, normalise, parse_lines, valid_edges
+from pageflow.plans.store import EdgeStore, create_tables, open_search_tables, write_search_tables
+from pageflow.sources.lines import accepted, normalise, parse_lines, parse_pairs, rejected, valid_edges
+from pageflow.sources.ledger import append_ledger
 from pageflow.sources.topic import stream_files
-from pageflow.streaming import console_stream, edge_stream, pair_streams, trending_stream, word_count_stream
+from pageflow.streaming import (
+    console_stream, edge_stream, overwrite_stream, pair_streams, trending_stream, word_count_stream,
+)
 
 from conftest import SF, rows
 
@@ -40,13 +43,14 @@ def test_stream_equals_batch(spark, staged, tmp_path, files):
     expected = batch_edges(spark, path)
     assert rows(store.edges(spark)) == expected
     assert rows(store.index(spark)) == rows(op.build_index(store.edges(spark)))
+    assert rows(store.words.read_deltas(spark).drop("batch_id")) == rows(store.index(spark))
 
     lines = spark.read.parquet(path)
     bad = spark.read.parquet(store.quarantine).count()
     assert bad == lines.count() - accepted(parse_lines(lines)).count() > 0
 
     last = store.compact(spark)
-    assert last == spark.read.parquet(store.deltas).agg(F.max("batch_id")).first()[0]
+    assert last == store.by_resource.read_deltas(spark).agg(F.max("batch_id")).first()[0]
     assert rows(store.edges(spark)) == expected
     assert store.compact(spark) == last
 
@@ -74,8 +78,9 @@ def test_replayed_batch_counts_once(spark, tmp_path):
     assert rows(store.edges(spark)) == [("a", "b", "late", 15), ("c", "d", "link", 1)]
 
     store.expire(spark)
-    assert store.read_deltas(spark).count() == 0
-    assert spark.read.parquet(store.snapshots).select("upto").distinct().count() == 1
+    assert store.by_resource.read_deltas(spark).count() == 0
+    versions = spark.read.parquet(store.by_resource.snapshots).groupBy("bucket").agg(F.count_distinct("version").alias("n"))
+    assert rows(versions.select("n").distinct()) == [(1,)]
     store.write_delta(batch(("a", "b", "x", 1, 9)), 3)
     assert rows(store.edges(spark)) == [("a", "b", "late", 16), ("c", "d", "link", 1)]
     assert store.compact(spark) == 3
@@ -96,17 +101,94 @@ def test_restarted_stream_takes_only_new_files(spark, staged, tmp_path):
         lines.where(half == k).write.mode("append").parquet(f"file://{source}")
         run(edge_stream(stream_files(spark, f"file://{source}", schema), store, f"file://{tmp_path}/cp", once=True))
     assert rows(store.edges(spark)) == batch_edges(spark, path)
-    assert spark.read.parquet(store.deltas).select("batch_id").distinct().count() == 2
+    assert store.by_resource.read_deltas(spark).select("batch_id").distinct().count() == 2
 
 
 def test_pairs_to_two_sinks(spark, staged, tmp_path):
     path, schema = staged
-    table, documents = f"file://{tmp_path}/t", f"file://{tmp_path}/d"
-    for query in pair_streams(stream_files(spark, path, schema, 3), table, documents, f"file://{tmp_path}/cp", once=True):
+    table, documents, aside = (f"file://{tmp_path}/{n}" for n in "tda")
+    source = stream_files(spark, path, schema, 3)
+    for query in pair_streams(source, table, documents, f"file://{tmp_path}/cp", once=True, aside_path=aside):
         run(query)
-    expected = rows(op.pairs(accepted(parse_lines(spark.read.parquet(path)))))
+    parsed = parse_pairs(spark.read.parquet(path))
+    expected = rows(op.pairs(accepted(parsed)))
     assert rows(spark.read.parquet(table)) == expected
     assert rows(spark.read.json(documents), "referrer", "resource") == expected
+    assert rows(spark.read.parquet(aside)) == rows(rejected(parsed), "value")
+
+
+def test_a_pair_needs_two_fields_only(spark):
+    lines = spark.createDataFrame([(v,) for v in ("a\tb", "a\tb\tlink\tx", "a", "\ta", "a\t\tlink\t1", None)], "value string")
+    assert rows(op.pairs(accepted(parse_pairs(lines)))) == [("a", "b"), ("a", "b")]
+
+
+def test_a_batch_is_fetched_once(spark, staged, tmp_path):
+    path, schema = staged
+    store = EdgeStore(f"file://{tmp_path}/store", ORD)
+    query = edge_stream(stream_files(spark, path, schema, 2), store, f"file://{tmp_path}/cp", once=True)
+    run(query)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == spark.read.parquet(path).count()
+
+
+def test_a_later_batch_never_changes_a_type(spark, tmp_path):
+    """Of a topic's messages the batch counts first, whatever the producer's clock says."""
+    schema = "value string, timestamp timestamp, partition int, offset bigint"
+    store, source = EdgeStore(f"file://{tmp_path}/store"), f"file://{tmp_path}/in"
+    for value, time in (("a\tb\tlink\t2", "2024-01-02 00:00:00"), ("a\tb\tother\t3", "2024-01-01 00:00:00")):
+        row = spark.sql(f"SELECT '{value}' AS value, timestamp'{time}' AS timestamp, 0 AS partition, 0L AS offset")
+        row.write.mode("append").parquet(source)
+        run(edge_stream(stream_files(spark, source, schema), store, f"file://{tmp_path}/cp", once=True))
+    assert rows(store.edges(spark)) == [("a", "b", "link", 5)]
+
+
+def test_compaction_leaves_untouched_buckets_alone(spark, tmp_path):
+    store = EdgeStore(f"file://{tmp_path}/store", "n INT", buckets=8)
+
+    def write(batch, *pages):
+        data = [("r", p, "link", 1, batch) for p in pages]
+        edges = spark.createDataFrame(data, "referrer string, resource string, type string, count bigint, n int")
+        store.write_delta(op.fold_edges(edges, ["n"]), batch)
+        store.write_index_delta(spark, batch)
+        store.compact(spark)
+
+    def files():
+        return {str(f) for f in (tmp_path / "store/edges_by_resource").rglob("*.parquet")}
+
+    write(0, *[f"page {k}" for k in range(40)])
+    before = files()
+    write(1, "page 3")
+    assert before < files()
+    store.expire(spark)
+    assert 0 < len(before - files()) < len(before)
+    found = {r["resource"]: r["count"] for r in store.edges(spark).collect()}
+    assert found == {f"page {k}": 2 if k == 3 else 1 for k in range(40)}
+    # a session that asks for another bucket count keeps the stored one
+    other = EdgeStore(f"file://{tmp_path}/store", "n INT", buckets=3)
+    terms = spark.createDataFrame([(f"page {k}",) for k in range(40)], "term string")
+    answers = op.response_text(op.search(other.search_tables(spark), terms))
+    assert {r["selected"] for r in answers.collect()} == {f"Page {k}" for k in range(40)}
+    assert all(r["incoming"] for r in answers.collect())
+
+
+def test_layouts_open_in_the_buckets_they_were_written_in(spark, tmp_path):
+    data = [("r", f"page {k}", "link", k) for k in range(50)]
+    edges = spark.createDataFrame(data, "referrer string, resource string, type string, count bigint")
+    write_search_tables(edges, f"file://{tmp_path}/layout", buckets=5)
+    tables = open_search_tables(spark, f"file://{tmp_path}/layout")
+    wanted = spark.createDataFrame([(f"page {k}",) for k in range(50)], "resource string")
+    assert tables.by_resource.find(wanted).count() == 50
+    assert tables.by_resource.find_one("page 7").count() == 1
+
+
+def test_keyed_overwrite_stream(spark, tmp_path):
+    source, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    for n, count in enumerate((2, 7, 3)):
+        spark.sql(f"SELECT 'a\tb\tlink\t{count}' AS value, {n} AS n").write.mode("append").parquet(source)
+    stream = stream_files(spark, source, spark.read.parquet(source).schema, files_per_trigger=1)
+    run(overwrite_stream(stream, out, ["n"], f"file://{tmp_path}/cp", once=True))
+    written = spark.read.parquet(out)
+    assert written.select("batch_id").distinct().count() == 3
+    assert rows(op.newest_writes(written).drop("ord")) == [("b", "a", "link", 3)]
 
 
 def test_word_counts_are_per_batch(spark, tmp_path):
@@ -142,8 +224,10 @@ def test_console_sink(spark, staged, tmp_path):
     assert sum(p["numInputRows"] for p in query.recentProgress) == spark.read.parquet(path).count()
 
 
-def test_catalog_tables(spark):
-    create_tables(spark, "pageflow_test")
-    create_tables(spark, "pageflow_test")
-    assert spark.table("pageflow_test.referrer_resource").columns == ["referrer", "resource", "type", "count"]
+def test_catalog_tables(spark, tmp_path):
+    folder = f"file://{tmp_path}/ledger"
+    append_ledger(spark.createDataFrame([("2018-01",)], "date string"), folder)
+    for _ in range(2):
+        create_tables(spark, "pageflow_test", {"dates": folder})
+    assert rows(spark.table("pageflow_test.dates")) == [("2018-01",)]
     spark.sql("DROP DATABASE pageflow_test CASCADE")
