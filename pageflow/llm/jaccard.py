@@ -7,10 +7,11 @@ how both sets spread over parts of the hash range (the suffix filter), and one
 exact comparison.
 
 Groups of copies would make pairs of all their members, although a few links
-hold them together. So each posted n-gram first links its sets to one of them
+hold them together. So each posted n-gram first leads its sets to one of them
 only, the one whose rarest n-gram is the most common (what copies were made
-from has nothing of its own). The links found make components, and then only
-pairs of different components are left to compare. No pair is compared twice
+from has nothing of its own), and each set is compared with the one it is led
+to most often. The links found make components, and then only pairs of
+different components are left to compare. No pair is compared twice
 and none that could join two components is left out, so the components are
 those of all links.
 
@@ -121,6 +122,14 @@ def _positions_allow(a: str, b: str, percent: int) -> Column:
     return long & (rest * (100 + percent) >= (size_a + size_b) * percent)
 
 
+def _unpacked(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    for s in (a, b):
+        packed = F.col(f"packed_{s}")
+        at = F.shiftright(packed, 5).bitwiseAND(F.lit((1 << 28) - 1))
+        pairs = pairs.withColumn(f"size_{s}", F.shiftright(packed, 33)).withColumn(f"at_{s}", at)
+    return pairs
+
+
 def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Those of the distinct ``pairs`` (``a``, ``b``) whose sets reach the similarity.
 
@@ -181,18 +190,26 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> D
     )
     extra = members.where(F.col("node") != F.col("row")).select("row")
     nodes = pin(held.where("size > 0").join(_maybe_broadcast(extra), "row", "left_anti").withColumnRenamed("row", "node"), "jaccard-nodes")
-    posted = nodes.select("node", "size", "common", F.posexplode("prefix").alias("at", "gram"))
-    heads = (
-        posted.groupBy("gram")
-        .agg(F.max(F.struct("common", (-F.col("node")).alias("last"), "size", "at")).alias("head"), F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .select("gram", (-F.col("head.last")).alias("head"), F.col("head.size").alias("size_head"), F.col("head.at").alias("at_head"))
-    )
-    met = pin(
-        posted.select("gram", "node", F.col("size").alias("size_own"), F.col("at").alias("at_own")).join(heads, "gram"), "jaccard-met"
+    # a text has less than 2^30 words; five bits tell how common the rarest n-gram is
+    packed = F.shiftleft("size", 33).bitwiseOR(F.shiftleft("at", 5)).bitwiseOR(F.least(F.floor(F.log2(F.col("common") + 1)), F.lit(31)))
+    posted = nodes.select("node", "size", "common", F.posexplode("prefix").alias("at", "gram")).select(
+        "gram", "node", packed.alias("packed")
+    ).withColumn("packed", F.col("packed").cast("bigint"))
+    shared = posted.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("gram")
+    met = pin(posted.join(shared, "gram"), "jaccard-met")
+    best = F.max(F.struct(F.col("packed").bitwiseAND(F.lit(31)), (-F.col("node")).alias("last"), "packed")).alias("head")
+    heads = met.groupBy("gram").agg(best).select("gram", (-F.col("head.last")).alias("head"), F.col("head.packed").alias("packed_head"))
+    near = (
+        _unpacked(met.join(heads, "gram").withColumnRenamed("packed", "packed_own"), "own", "head")
+        .where((F.col("node") != F.col("head")) & _positions_allow("own", "head", percent))
+        .groupBy("node", "head")
+        .agg(F.count(F.lit(1)).alias("_met"))
     )
+    # of the sets it was led to, each is compared with the one it meets most often
     first = pin(
-        met.where((F.col("node") != F.col("head")) & _positions_allow("own", "head", percent))
+        near.groupBy("node")
+        .agg(F.max(F.struct("_met", (-F.col("head")).alias("head"))).alias("best"))
+        .select("node", (-F.col("best.head")).alias("head"))
         .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
         .distinct(),
         "jaccard-first",
@@ -200,8 +217,7 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> D
     links = verify(first, nodes, docs, n, percent)
     labels = connected_components(links)
     placed = pin(
-        met.select("gram", "node", "size_own", "at_own")
-        .join(_maybe_broadcast(labels), "node", "left")
+        met.join(_maybe_broadcast(labels), "node", "left")
         .withColumn("component", F.coalesce("component", "node")),
         "jaccard-placed",
     )
@@ -209,12 +225,10 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> D
     open_ = pin(placed.join(several.where("_least < _most"), "gram").drop("_least", "_most"), "jaccard-open")
 
     def side(s: str) -> DataFrame:
-        return open_.select(
-            "gram", F.col("node").alias(s), F.col("size_own").alias(f"size_{s}"), F.col("at_own").alias(f"at_{s}"), F.col("component").alias(f"component_{s}")
-        )
+        return open_.select("gram", F.col("node").alias(s), F.col("packed").alias(f"packed_{s}"), F.col("component").alias(f"component_{s}"))
 
     rest = (
-        side("a").join(side("b"), "gram")
+        _unpacked(side("a").join(side("b"), "gram"), "a", "b")
         .where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & _positions_allow("a", "b", percent))
         .select("a", "b")
         .distinct()

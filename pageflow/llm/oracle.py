@@ -3,3 +3,107 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+# Sources in code point order with their weight; the level of the water, found from the sorted caps; the cells and
+# places by which documents are taken once more; and the one document per source that changes sides.
+ORACLE["op8_source_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+keyed AS (
+  SELECT *, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS skey,
+    md5('17:' || coalesce(doc_id::VARCHAR, '')) AS mark, len(size::VARCHAR) * 100 + left(size::VARCHAR, 2)::INT AS class
+  FROM sized),
+sources AS (
+  SELECT skey, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS cap,
+    (row_number() OVER (ORDER BY skey) - 1) % 3 + 1 AS weight
+  FROM keyed GROUP BY skey),
+fills AS (
+  SELECT *, sum(cap) OVER w - cap AS before, sum(weight) OVER (ORDER BY cap / weight DESC, skey DESC) AS open,
+    (SELECT sum(source_size) FROM sources) AS total
+  FROM sources WINDOW w AS (ORDER BY cap / weight, skey)),
+levels AS (SELECT *, (total - before) / open AS level FROM fills),
+water AS (SELECT max(level) AS level FROM (SELECT level FROM levels WHERE cap > weight * level ORDER BY cap / weight, skey LIMIT 1)),
+targets AS (
+  SELECT skey, source_size, least(cap::DOUBLE, weight * coalesce((SELECT level FROM water), 0)) AS target FROM sources),
+rated AS (
+  SELECT k.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+    row_number() OVER (PARTITION BY k.skey ORDER BY class, left(mark, 2), size, mark, doc_id) AS place
+  FROM keyed k JOIN targets t ON t.skey = k.skey),
+drawn AS (
+  SELECT *, floor((rate - floor(rate)) * place + 0.5) - floor((rate - floor(rate)) * (place - 1) + 0.5) AS extra FROM rated),
+missing AS (SELECT skey, any_value(target) - sum((floor(rate) + extra) * size) AS missing FROM drawn GROUP BY skey),
+changes AS (
+  SELECT d.skey, d.place, sign(m.missing) AS change FROM drawn d JOIN missing m ON m.skey = d.skey
+  WHERE rate > floor(rate) AND extra = CASE WHEN missing > 0 THEN 0 ELSE 1 END AND abs(abs(missing) - size) < abs(missing)
+  QUALIFY row_number() OVER (PARTITION BY d.skey ORDER BY abs(abs(missing) - size), d.place) = 1)
+SELECT d.doc_id, d.size, d.source_size, d.target, ((floor(rate) + extra + coalesce(change, 0)) * size)::BIGINT AS taken
+FROM drawn d LEFT JOIN changes c ON c.skey = d.skey AND c.place = d.place
+"""
+
+ORACLE["op7_warc_round_trip"] = """
+WITH bodies AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+digests AS (
+  SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
+    CASE WHEN octet_length(body) >= 1000 THEN max(page_id) OVER (PARTITION BY body) END AS response
+  FROM bodies)
+SELECT page_id, payload_bytes, payload_digest, TRUE AS verified,
+  CASE WHEN response <> page_id OR (page_id IS NULL AND response IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN response <> page_id OR (page_id IS NULL AND response IS NOT NULL) THEN response END AS refers_to
+FROM digests
+"""
+
+# Patterns as the scan has them, but that this dialect knows no look-around: a random-looking value is a whole run of
+# its characters with a digit and letters of both cases in it.
+_KINDS = {
+    "assign": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    "access": r"AKIA[A-Z0-9]{14,}",
+    "hex": r"[0-9a-f]{16,}",
+    "linked_id": r"""\b(?:A(?:SIA|ROA|IDA)[A-Z0-9]{12,}|(?:client_id|user(?:name)?|login|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,})""",
+    "linked_secret": r"[A-Za-z0-9+/_-]{20,}",
+    "linked_endpoint": r"""(?:https?|ftp|s3|jdbc|amqp|redis|mysql|postgres(?:ql)?|mongodb)://[^\s"'<>]+""",
+    "break": r"\n[\x20\x09\r]*\n",
+}
+_KEPT = {
+    "assign": f"len(regexp_extract(match, '{_KINDS['assign'].replace(chr(39), chr(39) * 2)}', 1)) >= 12",
+    "linked_secret": "regexp_matches(match, '[0-9]') AND regexp_matches(match, '[A-Z]') AND regexp_matches(match, '[a-z]')",
+}
+
+
+def _found(order: int, kind: str) -> str:
+    pattern = "'" + _KINDS[kind].replace("'", "''") + "'"
+    return f"""
+  SELECT doc, '{kind}' AS kind, {order} AS kind_order, match, end_ - len(match) AS start_, end_ FROM (
+    SELECT doc, match, sum(len(gap) + len(match)) OVER (PARTITION BY doc ORDER BY n) AS end_ FROM (
+      SELECT doc, unnest(whole) AS match, unnest(gaps[1:len(whole)]) AS gap, unnest(range(len(whole))) AS n FROM (
+        SELECT doc, regexp_extract_all(x, {pattern}) AS whole, string_split_regex(x, {pattern}) AS gaps
+        FROM docs WHERE regexp_matches(x, {pattern})))) WHERE {_KEPT.get(kind, "TRUE")}"""
+
+
+ORACLE["op4_secret_links"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS x FROM documents),
+parts AS ({" UNION ALL ".join(_found(i, k) for i, k in enumerate(_KINDS))}),
+strong AS (SELECT * FROM parts WHERE kind IN ('assign', 'access', 'hex')),
+placed AS (
+  SELECT p.*, CASE WHEN kind IN ('access', 'linked_id') THEN 'id' WHEN kind = 'linked_endpoint' THEN 'endpoint'
+      ELSE 'secret' END AS role,
+    (SELECT count(*) FROM parts b WHERE b.doc = p.doc AND b.kind = 'break' AND b.start_ < p.start_) AS scope
+  FROM parts p WHERE kind <> 'break' AND (kind NOT LIKE 'linked%' OR NOT EXISTS (
+    SELECT 1 FROM strong s WHERE s.doc = p.doc AND s.start_ < p.end_ AND p.start_ < s.end_))),
+near AS (
+  SELECT w.doc, w.kind, w.kind_order, w.start_, w.end_, w.role, bool_or(o.role = 'id') AS has_id, bool_or(o.role = 'secret') AS has_secret
+  FROM placed w JOIN placed o ON o.doc = w.doc AND o.scope = w.scope AND abs(o.start_ - w.start_) <= 300
+  WHERE w.kind LIKE 'linked%' GROUP BY ALL),
+found AS (
+  SELECT doc, kind, kind_order, start_, end_ FROM strong
+  UNION ALL SELECT doc, kind, kind_order, start_, end_ FROM near
+  WHERE CASE role WHEN 'secret' THEN has_id WHEN 'id' THEN has_secret ELSE has_id AND has_secret END),
+digests AS (
+  SELECT doc, string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, kind_order, end_) AS spans,
+    string_agg(kind || ':' || start_ || ':' || end_, ',' ORDER BY start_, kind_order, end_) FILTER (WHERE kind NOT LIKE 'linked%') AS base,
+    count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex
+  FROM found GROUP BY doc)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN digests g ON g.doc = d.doc
+"""
