@@ -19,7 +19,7 @@ def sql():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query_matches_sql(spark, sql, name):
     df = driver.queries()[name](spark, SF)
     columns = sorted(df.columns)
