@@ -40,7 +40,8 @@ FULL_SHARE, PART_SHARE, ANSWER_SHARE = 0.8, 0.6, 0.5
 SEED = 11
 
 TERMS = 1 << TERM_BITS
-_PIECE_WORDS = 200_000
+COMMON_WEIGHT = 3.0
+_PIECE_WORDS = 32_000
 _codes = np.arange(256)
 _ALNUM = (_codes >= 128) | ((_codes >= 48) & (_codes <= 57)) | ((_codes >= 65) & (_codes <= 90)) | ((_codes >= 97) & (_codes <= 122))
 #: Everything but letters and digits separates terms.
@@ -102,7 +103,8 @@ def inverse_frequencies(terms: DataFrame) -> np.ndarray:
         for _, held, bounds in term_pieces(batches):
             if len(held):
                 passage = _passages(bounds)
-                seen = np.unique((passage << TERM_BITS) | held)
+                seen = np.sort(((passage << TERM_BITS) | held).astype(np.int32 if passage[-1] < 1 << 15 else np.int64))
+                seen = seen[np.diff(seen, prepend=-1) > 0]
                 total[:TERMS] += np.bincount(seen & (TERMS - 1), minlength=TERMS)
                 total[TERMS] += passage[-1] + 1
         at = np.flatnonzero(total)
@@ -121,7 +123,8 @@ def latent_space(terms: DataFrame, weight: np.ndarray, rank: int = RANK) -> np.n
     up over tasks; ``Y (R'Y)^-1 Y'`` approximates ``A'A`` and is decomposed.
     """
     random = np.random.default_rng(SEED).normal(size=(TERMS, rank)).astype(np.float32)
-    given = terms.sparkSession.sparkContext.broadcast((random * weight[:, None], weight))
+    table = np.concatenate((random * weight[:, None], np.zeros((1, rank), np.float32)))
+    given = terms.sparkSession.sparkContext.broadcast((table, weight))
     names = [f"y{i}" for i in range(rank)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,11 +136,16 @@ def latent_space(terms: DataFrame, weight: np.ndarray, rank: int = RANK) -> np.n
             passage = _passages(bounds)
             first = np.flatnonzero(np.diff(passage, prepend=-1))
             squared = np.add.reduceat(weight[held] ** 2, first)
-            sums = np.add.reduceat(table[held], first) / squared[:, None]
+            # passages side by side, the rest of a short one filled with a term of no weight
+            padded = np.full((int(passage[-1]) + 1) * PASSAGE_WORDS, TERMS, np.int64)
+            padded[passage * PASSAGE_WORDS + np.arange(len(held)) - first[passage]] = held
+            sums = table[padded].reshape(-1, PASSAGE_WORDS, table.shape[1]).sum(1) / squared[:, None]
             order = np.argsort(held, kind="stable")
             ordered = held[order]
             head = np.flatnonzero(np.diff(ordered.astype(np.int32), prepend=-1))
-            total[ordered[head]] += np.add.reduceat(sums[passage[order]], head) * weight[ordered[head]][:, None]
+            running = np.cumsum(sums[passage[order]], 0, dtype=np.float64)
+            ends = running[np.append(head[1:], len(ordered)) - 1]
+            total[ordered[head]] += np.diff(ends, axis=0, prepend=0) * weight[ordered[head]][:, None]
         at = np.flatnonzero(total.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *[pa.array(total[at, i]) for i in range(len(names))]], ["term", *names])
 
@@ -188,8 +196,8 @@ def _items(rows: pa.Table, space: np.ndarray) -> Items | None:
     classes = defaultdict(list)
     for i, t in enumerate(held):
         steps = max(1, round(len(t) / STEP_WORDS))
-        # windows differ from an item's length by a tenth at most
-        classes[steps if steps <= 6 else round(1.2 ** round(np.log(steps) / np.log(1.2)))].append(i)
+        # windows differ from an item's length by an eighth at most
+        classes[steps if steps <= 5 else round(1.25 ** round(np.log(steps) / np.log(1.25)))].append(i)
     return Items(ids, held, answers, vectors, {k: np.array(v) for k, v in classes.items()})
 
 
@@ -206,8 +214,12 @@ def common_length(pattern: np.ndarray, text: np.ndarray) -> int:
 
 
 class Search:
-    def __init__(self, space: np.ndarray, items: Items):
+    def __init__(self, space: np.ndarray, weight: np.ndarray, items: Items):
         self.items = items
+        common = np.append(weight < COMMON_WEIGHT, True)
+        self.size = np.array([len(t) for t in items.terms])
+        self.common = np.array([int(common[t].sum()) for t in items.terms])
+        self.rare = ~common
         self.space = np.concatenate((space, np.zeros((1, space.shape[1]), np.float32)))
         self.holds = np.zeros((len(items.ids), TERMS + 1), bool)
         for i, t in enumerate(items.terms):
@@ -221,32 +233,37 @@ class Search:
         padded = np.full(int(ahead[-1]) * STEP_WORDS, TERMS, np.int64)
         padded[np.arange(len(held)) + np.repeat(ahead[:-1] * STEP_WORDS - bounds[:-1], counts)] = held
         block = self.space[padded].reshape(-1, STEP_WORDS, self.space.shape[1]).sum(1)
-        sums = np.concatenate((np.zeros((1, block.shape[1])), np.cumsum(block, 0, dtype=np.float64)))
+        sums = np.concatenate((np.zeros((1, block.shape[1]), np.float32), np.cumsum(block, 0)))
         row = np.repeat(np.arange(len(counts)), steps)
         start, last = np.arange(len(row)), ahead[1:][row]
         for length, members in self.items.classes.items():
             end = np.minimum(start + length, last)
-            # a window cut short by the end of its row is inside an earlier one, unless it starts the row
-            whole = np.flatnonzero((end - start == length) | (start == ahead[:-1][row]))
-            window = (sums[end[whole]] - sums[whole]).astype(np.float32)
-            norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-12)
+            # long windows move on by a sixth of their length; the last whole window of a row always counts, and a
+            # window cut short by the end of its row only if it starts the row
+            apart = (start - ahead[:-1][row]) % max(1, length // 6) == 0
+            whole = np.flatnonzero(((end - start == length) & (apart | (end == last))) | (start == ahead[:-1][row]))
+            window = sums[end[whole]] - sums[whole]
+            window /= np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-12)[:, None]
             near = window @ self.items.vectors[members].T
-            at, which = np.nonzero(near >= COSINE * norm[:, None])
+            at, which = np.divmod(np.flatnonzero(near.ravel() >= COSINE), len(members))
             if not len(at):
                 continue
             item = members[which]
-            # a window that does not hold enough of an item's terms cannot have the subsequence
-            size = np.array([len(t) for t in self.items.terms])[item]
+            # a window that does not hold enough of an item's terms cannot have the subsequence; common terms count
+            # as often as the item has any
             first, stop = start[whole[at]], end[whole[at]]
             first, stop = np.maximum(first - length // 2 - 1, ahead[:-1][row[whole[at]]]), np.minimum(stop + length // 2 + 1, last[whole[at]])
-            hits = np.zeros(len(at), np.int64)
+            hits, rare = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
             for k in range(int((stop - first).max()) * STEP_WORDS):
-                inside = first * STEP_WORDS + k < stop * STEP_WORDS
-                hits += inside & self.holds[item, padded[np.minimum(first * STEP_WORDS + k, len(padded) - 1)]]
-            for j in np.flatnonzero(hits >= PART_SHARE * size):
+                word = padded[np.minimum(first * STEP_WORDS + k, len(padded) - 1)]
+                found = (first * STEP_WORDS + k < stop * STEP_WORDS) & self.holds[item, word]
+                hits += found
+                rare += found & self.rare[word]
+            most = np.minimum(hits - rare, self.common[item]) + np.minimum(rare, (self.size - self.common)[item])
+            for j in np.flatnonzero(most >= PART_SHARE * self.size[item]):
                 r = row[whole[at[j]]]
                 shift = bounds[r] - ahead[r] * STEP_WORDS
-                yield r, first[j] * STEP_WORDS + shift, min(stop[j] * STEP_WORDS + shift, bounds[r + 1]), item[j], float(near[at[j], which[j]] / norm[at[j]])
+                yield r, first[j] * STEP_WORDS + shift, min(stop[j] * STEP_WORDS + shift, bounds[r + 1]), item[j], float(near[at[j], which[j]])
 
     def leaks(self, held: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
         """For each (row, item) found: cosine, shares of the item and of its answer in the best window."""
@@ -281,7 +298,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     kind, item_kind = (d.schema[c].dataType.simpleString() for d, c in ((docs, "doc_id"), (benchmark, "item_id")))
     schema = f"row long, doc_id {kind}, text_hash long, item_id {item_kind}, cosine double, item_share double, answer_share double"
     terms = pin(as_terms(docs), "leak-terms")
-    space = latent_space(terms, inverse_frequencies(terms))
+    weight = inverse_frequencies(terms)
+    space = latent_space(terms, weight)
     wanted = benchmark.select("item_id", "text", *[c for c in ("answer",) if c in benchmark.columns])
     blocks = -(-benchmark.count() // ITEM_BLOCK)
     out = spark.createDataFrame([], schema)
@@ -291,12 +309,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             raise ValueError("a block of benchmark items is too large; lower ITEM_BLOCK")
         items = _items(part.toArrow(), space)
         if items:
-            out = out.unionByName(_search(terms, space, items, schema))
+            out = out.unionByName(_search(terms, space, weight, items, schema))
     return out
 
 
-def _search(terms: DataFrame, space: np.ndarray, items: Items, schema: str) -> DataFrame:
-    given = terms.sparkSession.sparkContext.broadcast((space, items))
+def _search(terms: DataFrame, space: np.ndarray, weight: np.ndarray, items: Items, schema: str) -> DataFrame:
+    given = terms.sparkSession.sparkContext.broadcast((space, weight, items))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Search(*given.value)
