@@ -1,15 +1,18 @@
 """Main text of web pages by tag-path ratios.
 
-A text node's tag path is the way from the root to its element. Per page, text
-length, punctuation and link text are added up per path and divided by the
-path's nodes; the ratios are smoothed over sibling paths, fused into one value
-and compared with a threshold taken from the page itself. Paths over it mark
-where the content lies; the part of the page that holds them gives the text, so
-that short paragraphs and headings between long ones stay.
+A block of text lies in one block-level element; its tag path is the way from
+the root to that element. Per page, text length, punctuation and link text are
+added up per path and divided by the path's blocks; the ratios are smoothed over
+sibling paths, fused into one value and compared with a threshold taken from the
+page itself. Blocks on paths over it are content. Headings, and the short
+paragraphs, list items, cells and the like in the part of the page that holds
+the content, are filled in. Blocks that are mostly links are left out, with the
+headings over nothing else.
 
 Elements whose meaning is not content (navigation, forms, adverts, comments and
-the like, by tag, role, class or id) carry no weight, and an ``article`` or
-``main`` element outside of them bounds the content where a page has one.
+the like, by tag, role, class or id) carry no weight. An ``article`` or ``main``
+element outside of them is a prior only: on a page that has one, paths outside
+count by ``OUTSIDE``.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ from .shipping import map_arrow
 
 SMOOTHING = 0.5
 THRESHOLD = 0.8
+#: What a path outside of ``article`` and ``main`` counts, where a page has them.
+OUTSIDE = 0.5
+#: A block with a larger share of link text is left out.
+LINKED = 0.5
 
 # Element kinds of the language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -37,6 +44,9 @@ INLINE = frozenset(
 UNSEEN = frozenset("head script style noscript template textarea select option button form svg math iframe object canvas video audio title dialog".split())
 ASIDE = frozenset("nav footer aside menu".split())
 CONTENT = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold text by their meaning.
+WRITTEN = HEADINGS | frozenset("p li dt dd td th pre blockquote figcaption caption".split())
 #: An element that ends an open one of the same group, up to the boundary element.
 CLOSES = {
     "p": ({"p"}, {"td", "th", "li", "blockquote", "div", "section", "article", "main", "body"}),
@@ -85,18 +95,32 @@ class Node:
     link: bool
 
 
+@dataclass
+class Block:
+    path: int
+    text: str
+    inside: bool
+    linked: int
+
+    @property
+    def link_list(self) -> bool:
+        return self.linked > LINKED * len(self.text)
+
+
 @dataclass
 class Page:
     """Text nodes that may be content, and the paths: parent path and tag of each."""
 
     nodes: list[Node] = field(default_factory=list)
     parents: list[int] = field(default_factory=lambda: [0])
+    tags: list[str] = field(default_factory=lambda: [""])
     numbers: dict[tuple[int, str], int] = field(default_factory=dict)
 
     def path(self, parent: int, tag: str) -> int:
         found = self.numbers.setdefault((parent, tag), len(self.parents))
         if found == len(self.parents):
             self.parents.append(parent)
+            self.tags.append(tag)
         return found
 
 
@@ -141,7 +165,7 @@ class _Reader(HTMLParser):
             if tag in ("br", "hr", "img") and self.page.nodes:
                 self.handle_data(" ")
             return
-        path = self.page.path(above.path, tag)
+        path = above.path if tag in INLINE else self.page.path(above.path, tag)
         self.open.append(Element(tag, path, aside, not aside and (above.inside or content), above.link or tag == "a"))
 
     def _close_open(self, tags: set[str], bounds: set[str]) -> None:
@@ -176,17 +200,33 @@ def parse(html: str) -> Page:
     return reader.page
 
 
-def path_values(page: Page) -> np.ndarray:
-    """The fused value of each path: smoothed text ratio, raised by punctuation, lowered by links."""
-    n = len(page.parents)
-    length, marks, links, count = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
+def text_blocks(page: Page) -> list[Block]:
+    """The blocks that hold text, in page order, with single spaces inside."""
+    held: list[list[Node]] = []
     for node in page.nodes:
-        size = len(node.text.strip())
-        if size:
-            length[node.path] += size
-            marks[node.path] += len(_MARKS.findall(node.text))
-            links[node.path] += size * node.link
-            count[node.path] += 1
+        if not held or node.block != held[-1][0].block:
+            held.append([])
+        held[-1].append(node)
+    blocks = []
+    for nodes in held:
+        text = " ".join("".join(node.text for node in nodes).split())
+        if text:
+            linked = len(" ".join("".join(node.text for node in nodes if node.link).split()))
+            blocks.append(Block(nodes[0].path, text, any(node.inside for node in nodes), linked))
+    return blocks
+
+
+def path_values(page: Page, blocks: list[Block]) -> np.ndarray:
+    """The fused value of each path: smoothed text ratio, raised by punctuation, lowered by links and outside the article."""
+    n = len(page.parents)
+    length, marks, links, inside, count = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
+    for block in blocks:
+        size = len(block.text)
+        length[block.path] += size
+        marks[block.path] += len(_MARKS.findall(block.text))
+        links[block.path] += block.linked
+        inside[block.path] += size * block.inside
+        count[block.path] += 1
     used = np.maximum(count, 1)
     parents = np.array(page.parents)
 
@@ -196,23 +236,12 @@ def path_values(page: Page) -> np.ndarray:
         return (1 - SMOOTHING) * ratio + SMOOTHING * family / np.maximum(members, 1)
 
     text_ratio, mark_ratio = smooth(length / used), smooth(marks / used)
-    return np.where(count > 0, text_ratio * np.sqrt(1 + mark_ratio) * (1 - links / np.maximum(length, 1)), 0.0)
+    value = np.where(count > 0, text_ratio * np.sqrt(1 + mark_ratio) * (1 - links / np.maximum(length, 1)), 0.0)
+    return value * (OUTSIDE + (1 - OUTSIDE) * inside / np.maximum(length, 1)) if inside.any() else value
 
 
-def content_nodes(page: Page) -> list[Node]:
-    """The nodes of the content, in page order."""
-    if any(node.inside and node.text.strip() for node in page.nodes):
-        page.nodes = [node for node in page.nodes if node.inside]
-    value = path_values(page)
-    held = value[value > 0]
-    if not len(held):
-        return [node for node in page.nodes if node.inside]
-    chosen = value >= max(THRESHOLD * held.mean(), held.mean() - held.std(), 1e-9)
-    weight = np.zeros(len(value))
-    for node in page.nodes:
-        if chosen[node.path]:
-            weight[node.path] += len(node.text.strip())
-    # the deepest path below which most of the chosen text lies
+def _root(page: Page, weight: np.ndarray) -> int:
+    """The deepest path below which most of the chosen text lies."""
     total = weight.copy()
     for path in range(len(total) - 1, 0, -1):
         total[page.parents[path]] += total[path]
@@ -225,24 +254,50 @@ def content_nodes(page: Page) -> list[Node]:
         own = weight[root] > 0
         deeper = best is not None and not own and total[best] >= 0.8 * total[root] and best in children
         root = best if deeper else root
-    below = np.zeros(len(value), bool)
-    below[root] = True
+    return root
+
+
+def content_blocks(page: Page) -> list[Block]:
+    """The blocks of the content, in page order."""
+    blocks = text_blocks(page)
+    value = path_values(page, blocks)
+    held = value[value > 0]
+    if not len(held):
+        return [block for block in blocks if block.inside]
+    chosen = value >= max(THRESHOLD * held.mean(), held.mean() - held.std(), 1e-9)
+    tags = [page.tags[block.path] for block in blocks]
+    over = [i for i, block in enumerate(blocks) if chosen[block.path]]
+    # a heading is content through what it stands over
+    main = [i for i in over if not blocks[i].link_list and tags[i] not in HEADINGS] or over
+    own = frozenset(main)
+    weight = np.zeros(len(value))
+    for i in main:
+        weight[blocks[i].path] += len(blocks[i].text)
+    root = _root(page, weight)
+    below, near = np.zeros(len(value), bool), np.zeros(len(value), bool)
+    below[root] = near[page.parents[root]] = True
     for path in range(1, len(value)):
         below[path] |= below[page.parents[path]]
-    return [node for node in page.nodes if node.inside or (below[node.path] and (chosen[node.path] or not node.link))]
+        near[path] |= near[page.parents[path]]
+    kept = np.zeros(len(blocks), bool)
+    kept[main] = True
+    for i, block in enumerate(blocks):
+        if tags[i] in WRITTEN and not block.link_list:
+            # a heading or paragraph may also lie between content, or before it beside the part that holds it
+            beside = tags[i] in HEADINGS or tags[i] == "p"
+            kept[i] |= below[block.path] or (beside and (main[0] < i < main[-1] or (i < main[0] and near[block.path])))
+        elif tags[i] in HEADINGS:
+            kept[i] |= below[block.path] and i + 1 in own
+    for i in np.flatnonzero(kept)[::-1]:
+        if tags[i] in HEADINGS and i not in own:
+            end = next((j for j in range(i + 1, len(blocks)) if tags[j] in HEADINGS and tags[j] <= tags[i]), len(blocks))
+            kept[i] = kept[i + 1 : end].any() or (end == i + 1 and i < main[-1])
+    return [block for block, keep in zip(blocks, kept, strict=True) if keep]
 
 
 def extract(html: str | None) -> str:
     """Blocks of the main text, one per line, with single spaces inside."""
-    blocks: list[list[str]] = []
-    last = None
-    for node in content_nodes(parse(html or "")):
-        if node.block != last:
-            blocks.append([])
-            last = node.block
-        blocks[-1].append(node.text)
-    lines = (" ".join("".join(parts).split()) for parts in blocks)
-    return "\n".join(line for line in lines if line)
+    return "\n".join(block.text for block in content_blocks(parse(html or "")))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
