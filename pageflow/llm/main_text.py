@@ -47,6 +47,8 @@ CONTENT = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold text by their meaning.
 WRITTEN = HEADINGS | frozenset("p li dt dd td th pre blockquote figcaption caption".split())
+#: Elements that are parts of a body and never the whole.
+NO_BODY = WRITTEN | frozenset("ul ol dl table thead tbody tfoot tr figure".split())
 #: An element that ends an open one of the same group, up to the boundary element.
 CLOSES = {
     "p": ({"p"}, {"td", "th", "li", "blockquote", "div", "section", "article", "main", "body"}),
@@ -240,20 +242,23 @@ def path_values(page: Page, blocks: list[Block]) -> np.ndarray:
     return value * (OUTSIDE + (1 - OUTSIDE) * inside / np.maximum(length, 1)) if inside.any() else value
 
 
-def _root(page: Page, weight: np.ndarray) -> int:
-    """The deepest path below which most of the chosen text lies."""
-    total = weight.copy()
-    for path in range(len(total) - 1, 0, -1):
-        total[page.parents[path]] += total[path]
-    root, deeper = 0, True
-    children: dict[int, list[int]] = {}
-    for path in range(1, len(total)):
-        children.setdefault(page.parents[path], []).append(path)
-    while deeper:
-        best = max(children.get(root, []), key=lambda p: total[p], default=None)
-        own = weight[root] > 0
-        deeper = best is not None and not own and total[best] >= 0.8 * total[root] and best in children
-        root = best if deeper else root
+def _root(page: Page, paths: set[int]) -> int:
+    """The lowest common ancestor of the paths that may hold a body: no paragraph, list or table."""
+
+    def way(path: int) -> list[int]:
+        up = [path]
+        while up[-1]:
+            up.append(page.parents[up[-1]])
+        return up[::-1]
+
+    ways = [way(path) for path in paths]
+    root = 0
+    for step in zip(*ways):
+        if len(set(step)) > 1:
+            break
+        root = step[0]
+    while page.tags[root] in NO_BODY:
+        root = page.parents[root]
     return root
 
 
@@ -270,10 +275,7 @@ def content_blocks(page: Page) -> list[Block]:
     # a heading is content through what it stands over
     main = [i for i in over if not blocks[i].link_list and tags[i] not in HEADINGS] or over
     own = frozenset(main)
-    weight = np.zeros(len(value))
-    for i in main:
-        weight[blocks[i].path] += len(blocks[i].text)
-    root = _root(page, weight)
+    root = _root(page, {blocks[i].path for i in main})
     below, near = np.zeros(len(value), bool), np.zeros(len(value), bool)
     below[root] = near[page.parents[root]] = True
     for path in range(1, len(value)):

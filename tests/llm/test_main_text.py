@@ -27,3 +27,30 @@ def test_an_article_is_a_prior_only():
 def test_words_of_links_inside_paragraphs_stay():
     body = BODY.replace("enough words", "<a href='/w'>enough words</a>")
     assert lines(f"<body><div>{body}</div></body>") == PARAGRAPHS
+
+
+REST = (
+    "<h2>Steps</h2><ul><li>First item</li><li>Second item</li></ul><blockquote>Quoted.</blockquote><pre>x = 1</pre>"
+    "<table><tr><td>Cell</td></tr></table>"
+)
+REST_LINES = ["Steps", "First item", "Second item", "Quoted.", "x = 1", "Cell"]
+
+
+def test_lists_headings_and_tables_stay_without_an_article():
+    bold = BODY.replace("enough words", "<b>enough words</b>")
+    for body in (BODY, bold):
+        html = f"<body><nav><a href='/'>Home</a></nav><div><h1>Title</h1>{body}{REST}</div><footer>Someone</footer></body>"
+        assert lines(html) == ["Title", *PARAGRAPHS, *REST_LINES]
+
+
+def test_a_split_body_stays_whole():
+    lead = "A lead paragraph of some length, which stands beside the body, and says what it is about."
+    html = f"<body><div><h1>Title</h1><p>{lead}</p><div>{BODY}{REST}</div></div></body>"
+    assert lines(html) == ["Title", lead, *PARAGRAPHS, *REST_LINES]
+    html = f"<body><div><div>{BODY}</div><section>{BODY}{REST}</section></div></body>"
+    assert lines(html) == [*PARAGRAPHS, *PARAGRAPHS, *REST_LINES]
+
+
+def test_a_body_of_list_items_keeps_its_heading():
+    items = "".join(f"<li>{p}</li>" for p in PARAGRAPHS)
+    assert lines(f"<body><div><h2>Notes</h2><ul>{items}</ul><p>End.</p></div></body>") == ["Notes", *PARAGRAPHS, "End."]
