@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import pin
-from . import decontaminate, jaccard, language, main_text, mixing, quality, rules, secret_links, suffix_tree, warc
+from . import (
+    collocations, decontaminate, filter_audit, jaccard, language, main_text, mixing, quality, rules, secret_links, suffix_dedup,
+    suffix_tree, warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +63,19 @@ def op10_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tag_path_text": op1_tag_path_text,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -71,4 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_weak_rules": op9_weak_rules,
     "op10_byte_language": op10_byte_language,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }

@@ -107,3 +107,79 @@ SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
   coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs d LEFT JOIN digests g ON g.doc = d.doc
 """
+
+# Five flags per document as a bit mask; documents left by every set of filters that ran, for all orders.
+ORACLE["op11_filter_audit"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+flagged AS (
+  SELECT doc_id, part,
+    (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+    + 4 * (100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * len(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS flags
+  FROM texts),
+judged AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+counted AS (
+  SELECT part, flags, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM flagged LEFT JOIN judged USING (doc_id) GROUP BY part, flags),
+orders AS (
+  SELECT '' AS filter_order, 0 AS done, 0 AS bit, 0 AS step
+  UNION ALL
+  SELECT filter_order || letter, done | (1 << k), 1 << k, step + 1
+  FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([0, 1, 2, 3, 4]) AS k) WHERE done & (1 << k) = 0),
+whole AS (SELECT filter_order FROM orders WHERE step = 5),
+steps AS (
+  SELECT w.filter_order, o.step, o.bit, o.done, o.done - o.bit AS before
+  FROM whole w JOIN orders o ON o.step > 0 AND left(w.filter_order, o.step) = o.filter_order),
+rows_ AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (WHERE flags & done = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE flags & before = 0 AND flags & bit > 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE flags & before > 0 AND flags & bit > 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (WHERE flags = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE flags & before = 0 AND flags & bit > 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (WHERE flags & before = 0 AND flags & bit > 0), 0)::BIGINT AS toxic_lost
+  FROM counted, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM rows_
+"""
+
+# Words of pieces in order, counts of one, two and three of them, the lowest cut, and what longer phrases cover.
+ORACLE["op12_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, row_number() OVER () AS id,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+ones AS (SELECT lang, unnest(words) AS phrase FROM split),
+first_words AS (SELECT lang, phrase, count(*) AS a FROM ones GROUP BY lang, phrase),
+totals AS (SELECT lang, sum(a) AS n FROM first_words GROUP BY lang),
+windows AS (
+  SELECT lang, words[i : i + 1] AS two, CASE WHEN i + 2 <= len(words) THEN words[i : i + 2] END AS three
+  FROM (SELECT lang, words, unnest(range(1, len(words))) AS i FROM split)),
+two AS (SELECT lang, two AS words, count(*) AS a FROM windows GROUP BY ALL HAVING count(*) >= 10),
+three AS (SELECT lang, three AS words, count(*) AS a FROM windows WHERE three IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, words, max(a) AS longest FROM (
+    SELECT lang, words[1:2] AS words, a FROM three UNION ALL SELECT lang, words[2:3], a FROM three) GROUP BY lang, words),
+cuts AS (
+  SELECT t.lang, t.words, t.a, 1 AS k, x.a AS l, y.a AS r
+  FROM two t JOIN first_words x ON x.lang = t.lang AND x.phrase = t.words[1]
+  JOIN first_words y ON y.lang = t.lang AND y.phrase = t.words[2]
+  LEFT JOIN longer g ON g.lang = t.lang AND g.words = t.words
+  WHERE g.longest IS NULL OR 100 * g.longest < 50 * t.a
+  UNION ALL
+  SELECT t.lang, t.words, t.a, 1, x.a, y.a
+  FROM three t JOIN first_words x ON x.lang = t.lang AND x.phrase = t.words[1] JOIN two y ON y.lang = t.lang AND y.words = t.words[2:3]
+  UNION ALL
+  SELECT t.lang, t.words, t.a, 2, x.a, y.a
+  FROM three t JOIN two x ON x.lang = t.lang AND x.words = t.words[1:2] JOIN first_words y ON y.lang = t.lang AND y.phrase = t.words[3]),
+scored AS (SELECT *, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score, array_to_string(words, ' ') AS phrase FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
