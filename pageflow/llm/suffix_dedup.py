@@ -12,7 +12,7 @@ a document is a sequence of stretches, each with one anchor, of some 170 windows
 * What is left are different stretches round one anchor, as near copies make
   them. One of each kind goes to a shard by its anchor. A shard sorts the
   suffixes of its stretches (Larsson-Sadakane refinement: ranks by a few bytes,
-  then by twice as many, until ``LENGTH`` bytes are covered), and takes the
+  then by twice as many, where several places still share one), and takes the
   common prefixes of neighbours by Kasai's bound. Windows that share ``LENGTH``
   bytes with a neighbour occur twice.
 * Stretches of one anchor beyond ``SHARD_BYTES`` fill several shards. Each
@@ -161,8 +161,11 @@ def find_stretches(rows: DataFrame, length: int, gram: int) -> DataFrame:
 # --- suffix arrays
 
 
-def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
-    """Places of ``data`` (up to 2^21 bytes) in the order of the strings that start there, compared by ``depth`` bytes at least."""
+def suffix_array(data: np.ndarray) -> np.ndarray:
+    """Places of ``data`` (up to 2^21 bytes) in the order of the strings that start there and go to its end.
+
+    The order is whole, not only as deep as windows are long: Kasai's bound holds for no other.
+    """
     n, index = len(data), np.uint64((1 << _INDEX_BITS) - 1)
     padded = np.concatenate((data, np.zeros(8, np.uint8))).astype(np.uint64)
     key = np.zeros(n, np.uint64)
@@ -174,7 +177,7 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(heads, np.arange(n), 0))
     reach = 5
-    while reach < depth:
+    while reach < n:
         # only groups of several places need another look: by the rank of what follows
         single = heads & np.concatenate((heads[1:], [True]))
         open_ = np.flatnonzero(~single)
@@ -246,7 +249,7 @@ def repeated_windows(parts: list[bytes], length: int) -> tuple[np.ndarray, np.nd
     sizes = np.array([len(p) for p in parts])
     ends = np.cumsum(sizes)
     whole = np.arange(len(data)) + length <= np.repeat(ends, sizes)
-    order = suffix_array(data, length)
+    order = suffix_array(data)
     shared = common_prefixes(data, order, length)
     groups = np.cumsum(shared < length)
     inside = whole[order]
