@@ -8,10 +8,11 @@ Spark adds up the counts of all chunks. Frequent pairs are numbered by frequency
 in turn, and a pair with the word after it is counted by the same method, so a
 further word costs one more level.
 
-Numbers go to the most frequent words and pairs only (``RANKED``, the bound of
-what is broadcast); any other counts under its own 64-bit hash. All counts are
-exact. Words and pairs too rare to be part of a phrase are left out of the next
-level wherever the numbered ones are known to be all that are frequent.
+Numbers go to the most frequent words and pairs only (``RANKED``); any other
+counts under its own 63-bit hash. A word or pair below the least count can be in no
+phrase, so a level counts only what a bit table of the frequent ones may hold.
+Both have a fixed bound of what is broadcast (``RANKED`` keys, 2^``MOST_BITS``
+bits); where more is frequent, more is counted, and all counts stay exact.
 """
 
 from __future__ import annotations
@@ -32,20 +33,24 @@ LEAST = 10
 LONGEST_SHARE = 50
 TOP = 2000
 RANKED = 1 << 18
+MOST_BITS = 27
 TILE = 256
 #: A tile with at least one pair per so many cells is counted as a dense array.
 DENSE = 8
-CHUNK_BYTES = 2 * PIECE_BYTES
+#: A task adds up the cells of its chunks until it holds so many different ones.
+HELD_CELLS = 2_000_000
 
 _BYTES = np.arange(256)
 _BREAK = np.isin(_BYTES, list(b".,;:!?")) | ((_BYTES >= 0x0A) & (_BYTES <= 0x0D))
 _INSIDE = ~(_BREAK | (_BYTES == 0x20) | (_BYTES == 0x09))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Every key has this bit, which makes it negative as a signed number; a rank never is.
+_KEY = np.uint64(1 << 63)
 
 
 def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The 64-bit key of a phrase made of two parts."""
-    return mix(mix(left * _FACTOR + right) ^ _FACTOR)
+    """The key of a phrase made of two parts."""
+    return mix(mix(left * _FACTOR + right) ^ _FACTOR) | _KEY
 
 
 @dataclass
@@ -91,10 +96,11 @@ def keyed_words(piece: pa.RecordBatch) -> tuple[Texts, Tokens, np.ndarray]:
 
 @dataclass
 class Ranks:
-    """Keys numbered by frequency. ``complete``: no other key is frequent."""
+    """The most frequent keys numbered by frequency, and a bit table in which all frequent keys are marked twice."""
 
     keys: np.ndarray
-    complete: bool
+    marks: np.ndarray
+    bits: int
 
     def __post_init__(self):
         self.order = np.argsort(self.keys, kind="stable")
@@ -107,21 +113,41 @@ class Ranks:
         at = np.minimum(np.searchsorted(self.sorted, keys), len(self.keys) - 1)
         return np.where(self.sorted[at] == keys, self.order[at], -1)
 
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        """False for keys that are not frequent; true for all that are, and for few others."""
+        low = keys & np.uint64((1 << self.bits) - 1)
+        high = (keys << np.uint64(1)) >> np.uint64(64 - self.bits)
 
-def _ranks(counted: DataFrame, limit: int) -> Ranks:
-    """The ``limit`` most frequent keys come to the driver, eight bytes each."""
-    found = counted.orderBy(F.desc("n"), "key").limit(limit + 1).select("key").toArrow()
-    keys = found["key"].to_numpy().astype(np.int64).view(np.uint64)
-    return Ranks(keys[:limit], len(keys) <= limit)
+        def marked(place: np.ndarray) -> np.ndarray:
+            return (self.marks[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
 
+        return marked(low) & marked(high)
 
-def _numbered(ranks: Ranks, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A number for each key, and the key of each number: ranks first, then the chunk's other keys."""
-    numbers = ranks.numbers(keys)
-    other = numbers < 0
-    further, places = np.unique(keys[other], return_inverse=True)
-    numbers[other] = len(ranks.keys) + places
-    return numbers, np.concatenate((ranks.keys, further))
+    def codes(self, keys: np.ndarray) -> np.ndarray:
+        """What a key is counted as: its number, or itself as a negative number."""
+        numbers = self.numbers(keys)
+        return np.where(numbers < 0, keys.view(np.int64), numbers)
+
+    def keys_of(self, codes: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return codes.view(np.uint64)
+        return np.where(codes < 0, codes.view(np.uint64), self.keys[np.maximum(codes, 0)])
+
+
+def rank(counted: DataFrame, limit: int, most_bits: int = MOST_BITS) -> Ranks:
+    """Number the ``limit`` most frequent keys of a stored table (``key``, ``n``) and mark all of them.
+
+    To the driver come eight bytes for each of the first, and at most 2^``most_bits`` bits.
+    """
+    keys = counted.orderBy(F.desc("n"), "key").limit(limit).select("key").toArrow()["key"].to_numpy().astype(np.int64).view(np.uint64)
+    bits = min(max(10, (16 * counted.count()).bit_length()), most_bits)
+    low, high = F.col("key").bitwiseAND(F.lit((1 << bits) - 1)), F.shiftrightunsigned(F.shiftleft("key", 1), 64 - bits)
+    places = counted.select(F.explode(F.array(low, high)).alias("place"))
+    bit = F.expr("shiftleft(1L, int(place & 63))")
+    words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("marks")).toArrow()
+    marks = np.zeros(max(1, 1 << (bits - 6)), np.uint64)
+    marks[words["word"].to_numpy()] = words["marks"].to_numpy().astype(np.int64).view(np.uint64)
+    return Ranks(keys, marks, bits)
 
 
 def count_cells(left: np.ndarray, right: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,84 +170,137 @@ def count_cells(left: np.ndarray, right: np.ndarray, width: int) -> tuple[np.nda
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def _signed(keys: np.ndarray) -> pa.Array:
-    return pa.array(keys.view(np.int64))
+def _counted(left: np.ndarray, right: np.ndarray, first: Ranks, last: Ranks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of codes with their counts: numbered ones by tiles, a chunk's other codes numbered after them."""
+
+    def local(codes: np.ndarray, ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
+        other = codes < 0
+        further, places = np.unique(codes[other], return_inverse=True)
+        numbers = codes.copy()
+        numbers[other] = len(ranks.keys) + places
+        return numbers, further
+
+    x, further_x = local(left, first)
+    y, further_y = local(right, last)
+    x, y, counts = count_cells(x, y, max(1, len(last.keys) + len(further_y)))
+
+    def code(numbers: np.ndarray, further: np.ndarray, ranks: Ranks) -> np.ndarray:
+        out, other = numbers.copy(), numbers >= len(ranks.keys)
+        out[other] = further[numbers[other] - len(ranks.keys)]
+        return out
+
+    return code(x, further_x, first), code(y, further_y, last), counts
+
+
+def _added(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists of cells added up to one sorted list."""
+    left, right, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((right, left))
+    left, right, counts = left[order], right[order], counts[order]
+    heads = np.flatnonzero(np.concatenate(([True], (left[1:] != left[:-1]) | (right[1:] != right[:-1]))))
+    return left[heads], right[heads], np.add.reduceat(counts, heads)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """``key``, ``lang``, ``word`` and ``n`` for every word of every language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, limit=CHUNK_BYTES):
+        for piece in pieces(batches):
             texts, found, keys = keyed_words(piece)
             different, at, counts = np.unique(keys, return_index=True, return_counts=True)
             lowered = LOWER[texts.data]
             words = [lowered[s:e].tobytes() for s, e in zip(found.start[at].tolist(), found.end[at].tolist(), strict=True)]
             lang = piece["lang"].take(pa.array(found.row[at]))
             yield pa.RecordBatch.from_arrays(
-                [_signed(different), lang, pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts)], ["key", "lang", "word", "n"]
+                [pa.array(different.view(np.int64)), lang, pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts)],
+                ["key", "lang", "word", "n"],
             )
 
     return map_arrow(docs, run, "key long, lang string, word string, n long").groupBy("key", "lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _count_pairs(docs: DataFrame, cells, schema: str) -> DataFrame:
-    """Run ``cells`` (keys of words, which of them go on) over all chunks; it gives arrays for ``schema`` without ``n``, and counts."""
-    names = [f.split()[0] for f in schema.split(", ")]
+def _count_neighbours(docs: DataFrame, least: int, cells, first: Ranks, last: Ranks) -> DataFrame:
+    """Frequent pairs of codes (``left``, ``right``, ``n``). ``cells`` gives those of a chunk from its words' keys."""
+    given = docs.sparkSession.sparkContext.broadcast((first, last))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, limit=CHUNK_BYTES):
+        held, size = [], 0
+        first, last = given.value
+
+        def out(columns: tuple) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["left", "right", "n"])
+
+        for piece in pieces(batches):
             _, found, keys = keyed_words(piece)
-            *columns, counts = cells(keys, found.goes_on)
-            yield pa.RecordBatch.from_arrays([*map(_signed, columns), pa.array(counts)], [*names, "n"])
+            held.append(_counted(*cells(keys, found.goes_on, first, last), first, last))
+            size += len(held[-1][0])
+            if size > HELD_CELLS:
+                held = [_added(held)]
+                size = len(held[0][0])
+                if 2 * size > HELD_CELLS:
+                    yield out(held[0])
+                    held, size = [], 0
+        if held:
+            yield out(_added(held) if len(held) > 1 else held[0])
 
-    return map_arrow(docs, run, f"{schema}, n long").groupBy(*names).agg(F.sum("n").alias("n"))
+    counted = map_arrow(docs, run, "left long, right long, n long").groupBy("left", "right").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= least)
 
 
-def count_pairs(docs: DataFrame, words: Ranks) -> DataFrame:
-    """``key``, ``left``, ``right`` and ``n`` of the pairs of neighbouring words that may be frequent."""
-    given = docs.sparkSession.sparkContext.broadcast(words)
+def _with_keys(counted: DataFrame, first: Ranks, last: Ranks, names: tuple[str, str]) -> DataFrame:
+    """Codes turned back into keys."""
+    given = counted.sparkSession.sparkContext.broadcast((first, last))
 
-    def cells(keys: np.ndarray, goes_on: np.ndarray):
-        words = given.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, last = given.value
+        for batch in batches:
+            left, right = first.keys_of(batch["left"].to_numpy()), last.keys_of(batch["right"].to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(k.view(np.int64)) for k in (joined(left, right), left, right)), batch["n"]], ["key", *names, "n"]
+            )
+
+    return map_arrow(counted, run, f"key long, {names[0]} long, {names[1]} long, n long")
+
+
+def count_pairs(docs: DataFrame, words: Ranks, least: int) -> DataFrame:
+    """``key``, ``left``, ``right`` (keys of the words) and ``n`` of the frequent pairs of neighbouring words."""
+
+    def cells(keys: np.ndarray, goes_on: np.ndarray, words: Ranks, _: Ranks):
         at = np.flatnonzero(goes_on)
-        if words.complete:
-            known = words.numbers(keys) >= 0
-            at = at[known[at] & known[at + 1]]
-        numbers, names = _numbered(words, np.concatenate((keys[at], keys[at + 1])))
-        left, right, counts = count_cells(numbers[: len(at)], numbers[len(at) :], max(1, len(names)))
-        left, right = names[left], names[right]
-        return joined(left, right), left, right, counts
+        known = words.may_hold(keys)
+        at = at[known[at] & known[at + 1]]
+        return words.codes(keys[at]), words.codes(keys[at + 1])
 
-    return _count_pairs(docs, cells, "key long, left long, right long")
+    counted = pin(_count_neighbours(docs, least, cells, words, words), "phrase-pair-codes")
+    return _with_keys(counted, words, words, ("left", "right"))
 
 
-def count_triples(docs: DataFrame, words: Ranks, pairs: Ranks) -> DataFrame:
-    """``first``, ``second`` (keys of the two pairs), ``last`` (of the third word) and ``n`` of triples that may be frequent."""
-    given = docs.sparkSession.sparkContext.broadcast((words, pairs))
+def count_triples(docs: DataFrame, words: Ranks, pairs: Ranks, least: int) -> DataFrame:
+    """``first`` (key of the pair it begins with), ``last`` (of its third word) and ``n`` of the frequent triples."""
 
-    def cells(keys: np.ndarray, goes_on: np.ndarray):
-        words, pairs = given.value
+    def cells(keys: np.ndarray, goes_on: np.ndarray, pairs: Ranks, words: Ranks):
         two = np.flatnonzero(goes_on)
         both = np.zeros(len(keys), np.uint64)
         both[two] = joined(keys[two], keys[two + 1])
+        known = np.zeros(len(keys), bool)
+        known[two] = pairs.may_hold(both[two])
         at = two[goes_on[two + 1]] if len(two) else two
-        if pairs.complete:
-            known = np.zeros(len(keys), bool)
-            known[two] = pairs.numbers(both[two]) >= 0
-            at = at[known[at] & known[at + 1]]
-        first, names = _numbered(pairs, both[at])
-        last, further = _numbered(words, keys[at + 2])
-        # a triple's cell tells its middle word, and so its second pair
-        left, right, counts = count_cells(first, last, max(1, len(further)))
-        place = np.zeros(len(left), np.int64)
-        if len(at):
-            cell = first * len(further) + last
-            order = np.argsort(cell, kind="stable")
-            place = at[order[np.searchsorted(cell, left * len(further) + right, sorter=order)]]
-        return names[left], both[place + 1] if len(place) else both[:0], further[right], counts
-
-    return _count_pairs(docs, cells, "first long, second long, last long")
+        at = at[known[at] & known[at + 1]]
+        return pairs.codes(both[at]), words.codes(keys[at + 2])
+
+    counted = pin(_count_neighbours(docs, least, cells, pairs, words), "phrase-triple-codes")
+    return _with_keys(counted, pairs, words, ("first", "last")).drop("key")
+
+
+def _second_pairs(triples: DataFrame) -> DataFrame:
+    """Add ``second``, the key of the pair that a triple ends with, from ``w2`` and ``last``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w2, last = (batch[c].to_numpy().astype(np.int64).view(np.uint64) for c in ("w2", "last"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(joined(w2, last).view(np.int64))], [*batch.schema.names, "second"])
+
+    return map_arrow(triples, run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in triples.schema.fields) + ", second long")
 
 
 def _scored(a: str, cuts: list[tuple[str, str]]) -> list:
@@ -235,7 +314,7 @@ def _scored(a: str, cuts: list[tuple[str, str]]) -> list:
 
 
 def top_phrases(
-    docs: DataFrame, least: int = LEAST, longest_share: int = LONGEST_SHARE, top: int = TOP, ranked: int = RANKED
+    docs: DataFrame, least: int = LEAST, longest_share: int = LONGEST_SHARE, top: int = TOP, ranked: int = RANKED, most_bits: int = MOST_BITS
 ) -> DataFrame:
     """The ``top`` phrases of each language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.
 
@@ -248,13 +327,15 @@ def top_phrases(
     every = pin(count_words(rows), "phrase-words")
     totals = every.groupBy("lang").agg(F.sum("n").alias("n"))
     words = pin(every.where(F.col("n") >= least), "phrase-frequent-words")
-    word_ranks = _ranks(words, ranked)
-    pairs = pin(count_pairs(rows, word_ranks).where(F.col("n") >= least), "phrase-pairs")
-    triples = pin(count_triples(rows, word_ranks, _ranks(pairs, ranked)).where(F.col("n") >= least), "phrase-triples")
+    word_ranks = rank(words, ranked, most_bits)
+    pairs = pin(count_pairs(rows, word_ranks, least), "phrase-pairs")
+    counted = count_triples(rows, word_ranks, rank(pairs, ranked, most_bits), least)
 
     def counts(table: DataFrame, key: str, name: str) -> DataFrame:
         return table.select(F.col("key").alias(key), F.col("n").alias(name))
 
+    met = pairs.select(F.col("key").alias("first"), F.col("left").alias("w1"), F.col("right").alias("w2"), F.col("n").alias("xy"))
+    triples = pin(_second_pairs(lookup_join(counted, met, "first")), "phrase-triples")
     # a pair goes if a triple that holds it has at least half of its count
     longer = triples.select(F.explode(F.array("first", "second")).alias("key"), F.col("n").alias("_longer"))
     longer = longer.groupBy("key").agg(F.max("_longer").alias("_longer"))
@@ -264,9 +345,7 @@ def top_phrases(
     two = lookup_join(lookup_join(alone, counts(words, "left", "x"), "left"), counts(words, "right", "y"), "right").select(
         F.array("left", "right").alias("parts"), F.col("n").alias("a"), *_scored("n", [("x", "y")])
     )
-    met = pairs.select(F.col("key").alias("first"), F.col("left").alias("w1"), F.col("right").alias("w2"), F.col("n").alias("xy"))
-    three = lookup_join(triples, met, "first")
-    three = lookup_join(three, counts(pairs, "second", "yz"), "second")
+    three = lookup_join(triples, counts(pairs, "second", "yz"), "second")
     three = lookup_join(lookup_join(three, counts(words, "w1", "x"), "w1"), counts(words, "last", "z"), "last").select(
         F.array("w1", "w2", "last").alias("parts"), F.col("n").alias("a"), *_scored("n", [("x", "yz"), ("xy", "z")])
     )
