@@ -20,6 +20,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import permutations
 from math import factorial
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ SPECIAL = b"#$%&*|"
 REPEATED = 16
 ALL = (1 << len(FILTERS)) - 1
 
-RANGE_BYTES = 32 << 20
+RANGE_BYTES = 128 << 20
 #: Texts looked at per range to place its bounds. Bounds balance tasks; results don't depend on them.
 SAMPLES = 8
 TRIE_BYTES = 8 * PIECE_BYTES
@@ -129,11 +130,13 @@ def range_bounds(texts: DataFrame, ranges: int, total: int) -> list[bytes]:
     seen = texts.where(chance < F.octet_length("text") / F.lit(float(gap))).distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, before = 0, None
+        number, before = None, None
         for batch in batches:
             found = []
             for text in batch["text"]:
                 text = text.as_py().encode()
+                # a task with few texts gives a bound as often as its share of them asks for
+                number = crc32(text) % SAMPLES if number is None else number
                 if number % SAMPLES == 0 and before is not None:
                     found.append(text[: _shared(text, 0, before) + 1])
                 number, before = number + 1, text
