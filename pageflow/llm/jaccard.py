@@ -15,34 +15,43 @@ different components are left to compare. No pair is compared twice
 and none that could join two components is left out, so the components are
 those of all links.
 
-Rarity is a count per part of the hash range (``2 ** PART_BITS`` counts over all
-documents). It only orders the n-grams; any order gives the same result.
+Of a pair, the n-gram that comes first in both must lie within the first few of
+the set with fewer n-grams: as that set sees it, the other is no smaller, which
+asks for a larger intersection. So a posted n-gram counts as shared only if one
+of its sets holds it that far in front, pairs are made of such a row and one of
+a set no smaller, in like size classes, and an n-gram that is hot among both is
+cut into slices. N-grams that are not shared are dropped before the postings
+move, by a bit table of those that are (of fixed size: what it lets through
+besides costs a little, and changes nothing).
+
+Rarity is the number of documents for the n-grams that occur in several
+documents of one piece of the input, the ``KNOWN`` most frequent of them, whatever the size of
+the input. It only orders the n-grams; any order gives the same result.
 N-grams are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.joins import fits_broadcast
+from ..operators.joins import fits_broadcast, split_join
 from ..session import pin
 from .components import connected_components
 from .shipping import map_arrow
-from .words import Texts, find_words, hash_sequences, hash_words, mix, ngram_hashes, pieces, texts_of
+from .words import PIECE_BYTES, Texts, find_words, hash_sequences, hash_words, mix, ngram_hashes, pieces, texts_of
 
 PERCENT = 85
 NGRAM = 4
-PART_BITS = 18
+KNOWN = 1 << 20
+MARK_BITS = 28
 SPREAD_BITS = 5
-
-
-def least_overlap(a, b, percent: int):
-    """The least intersection of sets of ``a`` and ``b`` elements that reaches the similarity."""
-    return -(-percent * (a + b) // (100 + percent))
+#: Rows of an n-gram that one task pairs with those of the other side.
+PAIR_ROWS = 20_000
 
 
 def shingles(texts: Texts, n: int = NGRAM) -> list[np.ndarray]:
@@ -61,40 +70,60 @@ def _part(values: np.ndarray, bits: int) -> np.ndarray:
     return (values >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def count_parts(docs: DataFrame, n: int) -> np.ndarray:
-    """How many n-grams of all documents fall to each part of the hash range."""
+class Rarity:
+    """How many documents hold an n-gram, for frequent ones; 0 for all others."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray):
+        order = np.argsort(grams)
+        self.grams, self.counts = grams[order], counts[order]
+        self.seen = np.zeros(1 << 22, bool)
+        self.seen[_part(grams, 22)] = True
+
+    def of(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(values), np.int64)
+        likely = np.flatnonzero(self.seen[_part(values, 22)])
+        if len(likely):
+            at = np.minimum(np.searchsorted(self.grams, values[likely]), len(self.grams) - 1)
+            out[likely] = np.where(self.grams[at] == values[likely], self.counts[at], 0)
+        return out
+
+
+def count_frequent(docs: DataFrame, n: int) -> Rarity:
+    """The n-grams that several documents of a piece share, added up over pieces; ``KNOWN`` of them come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << PART_BITS, np.int64)
-        for piece in pieces(batches):
-            found = shingles(texts_of(piece["text"]), n)
-            total += np.bincount(_part(np.concatenate(found), PART_BITS), minlength=len(total))
-        part = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["part", "n"])
+        for piece in pieces(batches, limit=2 * PIECE_BYTES):
+            grams, counts = np.unique(np.concatenate(shingles(texts_of(piece["text"]), n)), return_counts=True)
+            several = counts > 1
+            yield pa.RecordBatch.from_arrays([pa.array(grams[several].view(np.int64)), pa.array(counts[several])], ["gram", "n"])
+
+    summed = map_arrow(docs.select("text"), run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    table = summed.orderBy(F.desc("n"), "gram").limit(KNOWN).toArrow()
+    return Rarity(table["gram"].to_numpy().astype(np.int64).view(np.uint64), table["n"].to_numpy().astype(np.int64))
 
-    table = map_arrow(docs.select("text"), run, "part int, n long").groupBy("part").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << PART_BITS, np.int64)
-    counts[table["part"].to_numpy()] = table["n"].to_numpy()
-    return counts
 
+def reach(size: str, percent: int) -> Column:
+    """How far in front an n-gram must be to be the first common one with a set that is no smaller."""
+    return F.expr(f"{size} - ({2 * percent} * {size} + {99 + percent}) div {100 + percent} + 1")
 
-def posted_sets(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
+
+def posted_sets(docs: DataFrame, rarity: Rarity, n: int, percent: int) -> DataFrame:
     """One row per document: id, hash of the text, size and fingerprint of its set, posted prefix, spread."""
-    given = docs.sparkSession.sparkContext.broadcast(counts)
+    given = docs.sparkSession.sparkContext.broadcast(rarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = given.value
+        rarity = given.value
         for piece in pieces(batches):
             size, one, two, prefix, common, spread = [], [], [], [], [], []
             for values in shingles(texts_of(piece["text"]), n):
                 m = len(values)
-                rarity = counts[_part(values, PART_BITS)]
-                order = np.lexsort((values, rarity))[: m - -(-percent * m // 100) + 1] if m else np.zeros(0, int)
+                rare = rarity.of(values)
+                order = np.lexsort((values, rare))[: m - -(-percent * m // 100) + 1] if m else np.zeros(0, int)
                 size.append(m)
                 one.append(mix(values).sum(dtype=np.uint64).astype(np.int64))
                 two.append(mix(values ^ np.uint64(0x5555555555555555)).sum(dtype=np.uint64).astype(np.int64))
                 prefix.append(values[order].astype(np.int64))
-                common.append(int(rarity[order[0]]) if m else 0)
+                common.append(int(rare[order[0]]) if m else 0)
                 spread.append(np.bincount(_part(values, SPREAD_BITS), minlength=1 << SPREAD_BITS).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -110,6 +139,50 @@ def posted_sets(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> Da
     return map_arrow(rows, run, schema)
 
 
+def mark_shared(nodes: DataFrame, percent: int, most_bits: int = MARK_BITS) -> tuple[np.ndarray, int]:
+    """A bit table of the posted n-grams that several sets share and that one of them holds in its reach.
+
+    At most 2^``most_bits`` bits come to the driver, a row per eight bytes.
+    """
+    fore = F.col("at") < reach("size", percent)
+    each = nodes.select("size", F.posexplode("prefix").alias("at", "gram")).select("gram", fore.cast("int").alias("fore"))
+    shared = pin(
+        each.groupBy("gram").agg(F.count(F.lit(1)).alias("_n"), F.max("fore").alias("_fore")).where("_n > 1 AND _fore = 1").select("gram"),
+        "jaccard-shared",
+    )
+    bits = min(max(10, (16 * shared.count()).bit_length()), most_bits)
+    places = shared.select(F.shiftrightunsigned("gram", 64 - bits).alias("place"))
+    words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(place & 63))")).alias("marks")).toArrow()
+    marks = np.zeros(1 << (bits - 6), np.uint64)
+    marks[words["word"].to_numpy()] = words["marks"].to_numpy().astype(np.int64).view(np.uint64)
+    return marks, bits
+
+
+def shared_postings(nodes: DataFrame, percent: int) -> DataFrame:
+    """``gram``, ``node`` and ``packed`` of the marked n-grams of each set: size, place, and how common its rarest n-gram is."""
+    given = nodes.sparkSession.sparkContext.broadcast(mark_shared(nodes, percent))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, bits = given.value
+        for batch in batches:
+            prefix = batch["prefix"]
+            counts = np.diff(prefix.offsets.to_numpy()).astype(np.int64)
+            grams = prefix.flatten().to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(len(counts)), counts)
+            at = np.arange(len(grams)) - np.repeat(np.cumsum(counts) - counts, counts)
+            place = grams.view(np.uint64) >> np.uint64(64 - bits)
+            held = np.flatnonzero((marks[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1))
+            size, common = batch["size"].to_numpy()[row[held]], batch["common"].to_numpy()[row[held]]
+            # a text has less than 2^30 words; five bits tell how common the rarest n-gram is
+            level = np.minimum(np.log2(common + 1), 31).astype(np.int64)
+            packed = (size << 33) | (at[held] << 5) | level
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams[held]), pa.array(batch["node"].to_numpy()[row[held]]), pa.array(packed)], ["gram", "node", "packed"]
+            )
+
+    return map_arrow(nodes.select("node", "size", "common", "prefix"), run, "gram long, node long, packed long")
+
+
 def _maybe_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df) else df
 
@@ -122,8 +195,8 @@ def _positions_allow(a: str, b: str, percent: int) -> Column:
     return long & (rest * (100 + percent) >= (size_a + size_b) * percent)
 
 
-def _unpacked(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    for s in (a, b):
+def _unpacked(pairs: DataFrame, *sides: str) -> DataFrame:
+    for s in sides:
         packed = F.col(f"packed_{s}")
         at = F.shiftright(packed, 5).bitwiseAND(F.lit((1 << 28) - 1))
         pairs = pairs.withColumn(f"size_{s}", F.shiftright(packed, 33)).withColumn(f"at_{s}", at)
@@ -169,6 +242,23 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent:
     return pin(map_arrow(met.select("a", "b", "held_a", "held_b"), compare, "a long, b long"), "jaccard-links")
 
 
+def meeting_rows(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of postings (``gram``, ``node``, ``component``, ``size``, ``at``) that one n-gram can make similar.
+
+    Side ``a`` has its n-gram in reach, side ``b`` is of its size class or the next.
+    """
+
+    def side(s: str, rows: DataFrame) -> DataFrame:
+        return rows.select("gram", "class", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "size", "at")])
+
+    # sizes that can be similar lie in one class or in neighbouring ones
+    width = max(log(100 / percent), 1e-3) * 1.000001
+    size_class = F.floor(F.log(F.col("size").cast("double")) / F.lit(width)).cast("int")
+    fewer = side("a", rows.where(F.col("at") < reach("size", percent)).withColumn("class", size_class))
+    more = side("b", rows.withColumn("class", F.explode(F.array(size_class - 1, size_class))))
+    return split_join(more, fewer, ["gram", "class"], PAIR_ROWS, spread=["node_b"])
+
+
 def similar_groups(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> DataFrame:
     """``row``, ``doc_id``, ``text_hash``, ``n_shingles`` and ``component_id`` of every row, and ``first``: it stands for its component.
 
@@ -177,8 +267,7 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> D
     linked with nothing. Repeated rows are rows of one component. Of ``docs``
     only ``doc_id`` and ``text`` are read. An empty table gives an empty table.
     """
-    counts = count_parts(docs, n)
-    held = pin(posted_sets(docs, counts, n, percent), "jaccard-posted")
+    held = pin(posted_sets(docs, count_frequent(docs, n), n, percent), "jaccard-posted")
     same = ["one", "two", "size"]
     folded = held.where("size > 0").groupBy(*same).agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("_n"))
     repeats = pin(folded.where("_n > 1").drop("_n"), "jaccard-equal")
@@ -190,13 +279,7 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> D
     )
     extra = members.where(F.col("node") != F.col("row")).select("row")
     nodes = pin(held.where("size > 0").join(_maybe_broadcast(extra), "row", "left_anti").withColumnRenamed("row", "node"), "jaccard-nodes")
-    # a text has less than 2^30 words; five bits tell how common the rarest n-gram is
-    packed = F.shiftleft("size", 33).bitwiseOR(F.shiftleft("at", 5)).bitwiseOR(F.least(F.floor(F.log2(F.col("common") + 1)), F.lit(31)))
-    posted = nodes.select("node", "size", "common", F.posexplode("prefix").alias("at", "gram")).select(
-        "gram", "node", packed.alias("packed")
-    ).withColumn("packed", F.col("packed").cast("bigint"))
-    shared = posted.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("gram")
-    met = pin(posted.join(shared, "gram"), "jaccard-met")
+    met = pin(shared_postings(nodes, percent), "jaccard-met")
     best = F.max(F.struct(F.col("packed").bitwiseAND(F.lit(31)), (-F.col("node")).alias("last"), "packed")).alias("head")
     heads = met.groupBy("gram").agg(best).select("gram", (-F.col("head.last")).alias("head"), F.col("head.packed").alias("packed_head"))
     near = (
@@ -222,20 +305,19 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> D
         "jaccard-placed",
     )
     several = placed.groupBy("gram").agg(F.min("component").alias("_least"), F.max("component").alias("_most"))
-    open_ = pin(placed.join(several.where("_least < _most"), "gram").drop("_least", "_most"), "jaccard-open")
-
-    def side(s: str) -> DataFrame:
-        return open_.select("gram", F.col("node").alias(s), F.col("packed").alias(f"packed_{s}"), F.col("component").alias(f"component_{s}"))
+    open_ = _unpacked(placed.join(several.where("_least < _most"), "gram").drop("_least", "_most").withColumnRenamed("packed", "packed_x"), "x")
+    open_ = pin(open_.select("gram", "node", "component", F.col("size_x").alias("size"), F.col("at_x").alias("at")), "jaccard-open")
 
+    larger = (F.col("size_b") > F.col("size_a")) | ((F.col("size_b") == F.col("size_a")) & (F.col("node_b") != F.col("node_a")))
     rest = (
-        _unpacked(side("a").join(side("b"), "gram"), "a", "b")
-        .where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & _positions_allow("a", "b", percent))
-        .select("a", "b")
+        meeting_rows(open_, percent)
+        .where(larger & (F.col("component_a") != F.col("component_b")) & _positions_allow("a", "b", percent))
+        .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
         .distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    more = verify(pin(rest, "jaccard-rest"), nodes, docs, n, percent)
-    final = connected_components(links.union(more)) if more.limit(1).count() else labels
+    further = verify(pin(rest, "jaccard-rest"), nodes, docs, n, percent)
+    final = connected_components(links.union(further)) if further.limit(1).count() else labels
     named = members.join(_maybe_broadcast(final), "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = pin(named.select("row", "doc_id", "text_hash", "size", "component"), "jaccard-named")
     # only components of several rows need a look at their other rows
