@@ -18,6 +18,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -48,7 +49,7 @@ def _base32(digest: bytes) -> str:
 
 
 def _urn(page_id) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}>"
+    return "<urn:page>" if page_id is None else f"<urn:page:{quote(str(page_id), safe='')}>"
 
 
 def record(page_id, url: str | None, payload: bytes, refers_to, revisit: bool) -> bytes:
@@ -181,9 +182,8 @@ class Block:
         return piece
 
 
-def _page(urn: str) -> int | None:
-    number = urn.removeprefix("<urn:page:").removesuffix(">")
-    return int(number) if number else None
+def _page(urn: str) -> str | None:
+    return unquote(urn.removeprefix("<urn:page:").removesuffix(">")) if urn != "<urn:page>" else None
 
 
 def read_record(pieces: Iterator[bytes], with_payload: bool) -> dict:
@@ -220,13 +220,16 @@ def read_record(pieces: Iterator[bytes], with_payload: bool) -> dict:
 
 
 _RECORD = pa.schema(
-    [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
+    [("page_id", pa.string()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()),
      ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("verified", pa.bool_()), ("payload", pa.binary())]
 )
 
 
-def read_archives(archives: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """One row per record of the listed archives, in no order. A damaged archive fails the job."""
+def read_archives(archives: DataFrame, folder: str, with_payload: bool = True, id_type: str = "bigint") -> DataFrame:
+    """One row per record of the listed archives, in no order. A damaged archive fails the job.
+
+    Every archive is a task of its own. Ids are given as ``id_type``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = _open(folder)
@@ -245,11 +248,13 @@ def read_archives(archives: DataFrame, folder: str, with_payload: bool = True) -
                     raise DamagedArchive(f"{name} has {seen} records instead of {records}")
                 yield pa.RecordBatch.from_pylist(found, _RECORD)
 
-    each = archives.select("archive", "records").repartition("archive")
-    return map_arrow(
+    # dealt out one by one; a number that is asked for is not reduced when the plan runs
+    each = archives.select("archive", "records").repartition(max(1, archives.count()))
+    found = map_arrow(
         each, run,
-        "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, verified boolean, payload binary",
+        "page_id string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, verified boolean, payload binary",
     )
+    return found.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -261,7 +266,9 @@ def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     written. An empty table writes no archive and gives an empty table.
     """
     folder = work_path(spark, "warc")
-    records = pin(read_archives(write_archives(pages, folder), folder, with_payload=False).drop("payload"), "warc-records")
+    kind = pages.schema["page_id"].dataType.simpleString()
+    found = read_archives(write_archives(pages, folder), folder, with_payload=False, id_type=kind)
+    records = pin(found.drop("payload"), "warc-records")
     revisit = F.col("record_type") == "revisit"
     responses = records.where(~revisit & (F.col("payload_bytes") >= REVISIT_BYTES)).select(
         F.col("page_id").alias("refers_to"), "payload_digest", F.col("payload_bytes").alias("_bytes"), F.col("verified").alias("_good")
