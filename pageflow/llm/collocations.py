@@ -39,6 +39,7 @@ TILE = 256
 DENSE = 8
 #: A task adds up the cells of its chunks until it holds so many different ones.
 HELD_CELLS = 2_000_000
+GROUPS = 64
 
 _BYTES = np.arange(256)
 _BREAK = np.isin(_BYTES, list(b".,;:!?")) | ((_BYTES >= 0x0A) & (_BYTES <= 0x0D))
@@ -355,8 +356,12 @@ def top_phrases(
     # the language comes with the first word; what cannot rank needs no other words
     langs = words.select(F.col("key").alias("_first"), "lang")
     in_lang = lookup_join(found.withColumn("_first", F.col("parts")[0]), langs, "_first").drop("_first")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    ahead = pin(in_lang.withColumn("_place", F.rank().over(best)).where(F.col("_place") <= top).drop("_place"), "phrase-ahead")
+    # in two rounds, so that what the tasks of a large input hold of one language does not meet in one task
+    ahead = in_lang.withColumn("_group", F.pmod(F.xxhash64("parts"), F.lit(GROUPS)))
+    for group in (["lang", "_group"], ["lang"]):
+        best = Window.partitionBy(*group).orderBy(F.desc("score"), F.desc("a"))
+        ahead = ahead.withColumn("_place", F.rank().over(best)).where(F.col("_place") <= top).drop("_place")
+    ahead = pin(ahead.drop("_group"), "phrase-ahead")
     spelled = lookup_join(
         ahead.withColumn("_id", F.monotonically_increasing_id()).select("*", F.posexplode("parts").alias("_at", "key")),
         words.select("key", "word"), "key",
