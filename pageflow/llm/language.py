@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import pin
 from .sampling import fold, train_shards
@@ -250,9 +250,9 @@ def predict(docs: DataFrame, names: list[str], flat: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, [*[c for c in piece.schema.names if c != "_letter"], "lang_pred", "score"])
 
     clean = docs.drop("lang_pred", "score", "_letter")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in clean.schema.fields)
     marked = clean.withColumn("_letter", has_letter())
-    return map_arrow(marked, run, f"{fields}, lang_pred string, score double")
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    return map_arrow(marked, run, T.StructType([*clean.schema.fields, *added]))
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 _shipped: set[str] = set()
 
@@ -36,7 +36,7 @@ def _give_back() -> None:
         trim(0)
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(batches)
         _give_back()

@@ -258,3 +258,45 @@ def test_main_text_keeps_the_article_only(spark):
 def test_texts_have_plain_offsets():
     texts = Texts(np.frombuffer(b"ab cd", np.uint8), np.array([0, 2, 5]))
     assert len(texts) == 2
+
+
+def test_every_archive_is_read_by_a_task_of_its_own(spark, tmp_path):
+    pages = spark.range(600).select(
+        F.concat(F.lit("p/"), "id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 20).alias("html")
+    ).repartition(3)
+    folder = f"file://{tmp_path}/warc"
+    archives = warc.write_archives(pages, folder, archive_bytes=20_000)
+    n = archives.count()
+    read = warc.read_archives(archives, folder, id_type="string")
+    assert n >= 10 and read.rdd.getNumPartitions() == n
+    tasks = read.select(F.spark_partition_id().alias("task"), "page_id").groupBy("task").count()
+    assert tasks.count() >= n * 0.9
+    assert sorted_rows(read, "page_id") == sorted_rows(pages, "page_id")
+
+
+def test_text_ids_in_archives(spark):
+    same = "x" * 1200
+    pages = spark.createDataFrame([("a b", None, same), ("", "u", same), ("<ü>:%", "u", "y"), (None, "u", same)], "page_id string, url string, html string")
+    found = sorted_rows(warc.round_trip(spark, pages), "page_id", "record_type", "refers_to", "verified")
+    assert found == sorted(
+        [("a b", "response", None, True), ("", "revisit", "a b", True), ("<ü>:%", "response", None, True), (None, "revisit", "a b", True)], key=repr
+    )
+
+
+# --- work of the similarity join
+
+
+def test_a_template_is_not_paired(spark):
+    """Copies of one template with some words of their own: nothing links, and work grows with the copies."""
+    template = " ".join(f"t{n}" for n in range(100))
+
+    def met(copies):
+        rows = [(n, template + "".join(f" own{n}x{k}" for k in range(9 + n % 3))) for n in range(copies)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        held = jaccard.posted_sets(docs, jaccard.count_frequent(docs, 4), 4, 85).withColumnRenamed("row", "node")
+        posted = jaccard._unpacked(jaccard.shared_postings(held, 85).withColumnRenamed("packed", "packed_x"), "x")
+        postings = posted.select("gram", "node", F.col("node").alias("component"), F.col("size_x").alias("size"), F.col("at_x").alias("at"))
+        assert sorted_rows(jaccard.similar_groups(docs), "doc_id", "component_id") == sorted(((n, n) for n in range(copies)), key=repr)
+        return jaccard.meeting_rows(postings, 85).count()
+
+    assert met(300) <= 2 * met(150) + 100
