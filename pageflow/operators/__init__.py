@@ -4,6 +4,7 @@ from .edges import (
     last_write_wins,
     last_writes,
     merge_edges,
+    newest_totals,
     newest_writes,
     pairs,
     symmetric_pairs,
@@ -15,6 +16,7 @@ from .index import build_index, new_index_rows
 from .joins import lookup_join
 from .ranking import number_rows
 from .search import (
+    Bucketed,
     Keyed,
     SearchTables,
     by_traffic,
@@ -32,10 +34,12 @@ from .search import (
     search,
     select_first,
     select_pages,
+    top_pages,
     traffic_series,
 )
 
 __all__ = [
+    "Bucketed",
     "Keyed",
     "SearchTables",
     "build_index",
@@ -48,6 +52,7 @@ __all__ = [
     "last_writes",
     "lookup_join",
     "merge_edges",
+    "newest_totals",
     "newest_writes",
     "new_index_rows",
     "number_rows",
@@ -65,6 +70,7 @@ __all__ = [
     "select_first",
     "select_pages",
     "symmetric_pairs",
+    "top_pages",
     "traffic_series",
     "trending",
     "trending_by_window",

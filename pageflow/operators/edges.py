@@ -59,6 +59,12 @@ def newest_writes(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*DESTINATION_KEY).agg(F.max_by("count", "ord").alias("count"), F.max("ord").alias("ord"))
 
 
+def newest_totals(rows: DataFrame) -> DataFrame:
+    """The edge table from totals written batch by batch (``batch_id``): of each pair the last."""
+    last = F.max_by(F.struct("type", "count"), "batch_id").alias("last")
+    return rows.groupBy(*EDGE_KEY).agg(last).select(*EDGE_KEY, "last.type", "last.count")
+
+
 def trending(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("resource").alias("search_term")).agg(F.sum("count").alias("traffic_count"))
 

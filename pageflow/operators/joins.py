@@ -37,18 +37,20 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_split: int = ROWS_PER_SPLIT,
     fits: bool | None = None,
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Inner join on the columns ``on``.
 
     A lookup table measured as small is broadcast, so the big side is not moved
     and no key is hot. Any other is joined by a shuffle in which keys that are
     frequent on either side are spread over several tasks. ``fits`` is the outcome
-    of an earlier :func:`fits_broadcast` on rows at least as many and as wide.
+    of an earlier :func:`fits_broadcast` on rows at least as many and as wide;
+    ``spread`` is that of :func:`split_join`.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(lookup, broadcast_rows) if fits is None else fits:
         return big.join(F.broadcast(lookup), keys)
-    return split_join(big, lookup, keys, rows_per_split)
+    return split_join(big, lookup, keys, rows_per_split, spread)
 
 
 def _hot_keys(df: DataFrame, keys: list[str], limit: int, slices: str) -> DataFrame:
@@ -62,22 +64,32 @@ def _hot_keys(df: DataFrame, keys: list[str], limit: int, slices: str) -> DataFr
 
 
 def split_join(
-    big: DataFrame, lookup: DataFrame, on: Sequence[str], rows_per_split: int = ROWS_PER_SPLIT
+    big: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    rows_per_split: int = ROWS_PER_SPLIT,
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Inner join that cuts keys with many rows on either side into slices.
 
     Each row takes one slice of its own side and is copied to every slice of the
     other, so that any two rows of a key meet in exactly one task. Keys that are
     hot on neither side are neither cut nor copied. The limit is fixed, so a slice
-    never grows with the table. Both sides are stored first with a number per
-    row, which gives the slice: rows that agree in all columns spread too, and a
-    retried task sends a row where it went before. At most one key per
-    ``rows_per_split`` rows is hot; their list is stored and broadcast if it is
-    small, else joined by a shuffle.
+    never grows with the table. At most one key per ``rows_per_split`` rows is hot;
+    their list is stored and broadcast if it is small, else joined by a shuffle.
+
+    A slice follows from a hash that a retried task finds again. ``spread`` names
+    columns of the big side that tell rows of a key apart; then nothing of it is
+    stored, and only its keys are read beforehand to count them. Without, and
+    always for the lookup side, rows are stored with a number that gives the
+    slice: rows that agree in all columns spread too.
     """
     keys = list(on)
-    big = pin(big.withColumn("_row", F.monotonically_increasing_id()), "join-big")
     lookup = pin(lookup.withColumn("_row", F.monotonically_increasing_id()), "join-lookup")
+    if spread is None:
+        big = pin(big.withColumn("_row", F.monotonically_increasing_id()), "join-big")
+    else:
+        big = big.withColumn("_row", F.xxhash64(*spread))
     hot = pin(
         _hot_keys(big, keys, rows_per_split, "big_slices").join(
             _hot_keys(lookup, keys, rows_per_split, "lookup_slices"), keys, "full"

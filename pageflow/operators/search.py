@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import display_name, is_sentinel, norm_term, term_words, title_case
 from ..session import pin
@@ -27,26 +27,37 @@ def bucket_of(key: Column, buckets: int) -> Column:
 
 @dataclass(frozen=True)
 class Keyed:
-    """A table found by one column.
+    """A table found by one column; ``other`` is the column that tells rows of a key apart.
 
-    With ``buckets`` set, its files lie in ``bucket`` folders by the hash of that
-    column, and a lookup names the bucket too, so other folders are not read. No
-    key is blank; saying so makes the lookup side selective, which is what lets
-    Spark prune folders at run time.
+    With ``buckets`` set, its files lie in ``bucket`` folders by the hash of the
+    key, and a lookup names the bucket too, so other folders are not read. No key
+    is blank; saying so makes the lookup side selective, which is what lets Spark
+    prune folders at run time.
     """
 
     rows: DataFrame
     key: str
+    other: str
     buckets: int | None = None
     broadcast_rows: int = BROADCAST_ROWS
     rows_per_split: int = ROWS_PER_SPLIT
 
     def find(self, wanted: DataFrame, fits: bool | None = None) -> DataFrame:
-        limits = (self.broadcast_rows, self.rows_per_split, fits)
+        """Rows whose key is wanted, with the columns of ``wanted``. The table itself is never copied to storage."""
+        fits = fits_broadcast(wanted, self.broadcast_rows) if fits is None else fits
+        limits = (self.broadcast_rows, self.rows_per_split, fits, [self.other])
         if self.buckets is None:
             return lookup_join(self.rows, wanted, self.key, *limits)
         placed = wanted.where(F.col(self.key) != "").withColumn("bucket", bucket_of(F.col(self.key), self.buckets))
-        return lookup_join(self.rows, placed, ["bucket", self.key], *limits).drop("bucket")
+        rows = self.rows
+        if not fits:
+            # at most one number per bucket; the folders of others are not listed, counted or read
+            rows = rows.where(F.col("bucket").isin([r[0] for r in placed.select("bucket").distinct().collect()]))
+        return lookup_join(rows, placed, ["bucket", self.key], *limits).drop("bucket")
+
+    def match(self, wanted: DataFrame) -> DataFrame:
+        """:meth:`find` in one plan: nothing is measured or stored beforehand, so ``wanted`` may be a stream."""
+        return self.rows.drop("bucket").join(wanted, self.key)
 
     def find_one(self, value: str) -> DataFrame:
         found = self.rows.where(F.col(self.key) == value)
@@ -55,6 +66,31 @@ class Keyed:
         return found.where(F.col("bucket") == bucket_of(F.lit(value), self.buckets)).drop("bucket")
 
 
+@dataclass(frozen=True)
+class Bucketed(Keyed):
+    """A table that Spark itself keeps in buckets by ``(key, slice)``.
+
+    The slice is a hash of the other column, so the rows of a hot key lie in
+    ``slices`` buckets. A lookup of any size is dealt to the buckets' places, once
+    per slice, and each task joins one bucket as it lies: the table is not moved,
+    and no key has to be counted first.
+    """
+
+    slices: int = 1
+
+    def find(self, wanted: DataFrame, fits: bool | None = None) -> DataFrame:
+        if fits_broadcast(wanted, self.broadcast_rows) if fits is None else fits:
+            return self.rows.drop("slice").join(F.broadcast(wanted), self.key)
+        return self.match(wanted)
+
+    def match(self, wanted: DataFrame) -> DataFrame:
+        copies = wanted.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(self.slices - 1))))
+        return self.rows.join(copies.hint("merge"), [self.key, "slice"]).drop("slice")
+
+    def find_one(self, value: str) -> DataFrame:
+        return self.rows.where(F.col(self.key) == value).drop("slice")
+
+
 @dataclass(frozen=True)
 class SearchTables:
     """What a search reads: edges laid out by each end, and the word index."""
@@ -65,15 +101,20 @@ class SearchTables:
 
     @classmethod
     def of(cls, edges: DataFrame, index: DataFrame) -> SearchTables:
-        return cls(Keyed(edges, "resource"), Keyed(edges, "referrer"), Keyed(index, "word"))
+        return cls(
+            Keyed(edges, "resource", "referrer"), Keyed(edges, "referrer", "resource"), Keyed(index, "word", "resource")
+        )
 
 
 def prepare_terms(terms: DataFrame) -> DataFrame:
     """Distinct terms with their normal form, query words and status; a missing or blank term is invalid."""
+    return normal_terms(terms.select("term").distinct())
+
+
+def normal_terms(terms: DataFrame) -> DataFrame:
+    """The same for each row of ``terms`` as it is; other columns are kept."""
     return (
-        terms.select("term")
-        .distinct()
-        .withColumn("norm", norm_term(F.col("term")))
+        terms.withColumn("norm", norm_term(F.col("term")))
         .withColumn("words", term_words(F.col("norm")))
         .withColumn("status", F.when(F.coalesce("norm", F.lit("")) == "", "invalid").otherwise("ok"))
     )
@@ -94,13 +135,14 @@ def related_pages(index: Keyed, prepared: DataFrame) -> DataFrame:
     return hits(index, prepared).groupBy("term", "resource").agg(F.min("position").alias("first_word"))
 
 
-def _fitting(found: DataFrame) -> DataFrame:
+def fitting(found: DataFrame) -> DataFrame:
     """Add to hits whether the page is the term itself, and whether it contains every word as a substring."""
     contains_all = F.forall("words", lambda w: F.contains(F.col("resource"), w))
     return found.withColumn("exact", F.col("resource") == F.col("norm")).withColumn("contains_all", contains_all)
 
 
-def _select(fitting: DataFrame) -> DataFrame:
+def select_fitting(found: DataFrame) -> DataFrame:
+    """The selected page of each term among its hits with :func:`fitting`."""
     order = F.struct(
         (~F.col("exact")).alias("fallback"),
         F.length("resource").alias("length"),
@@ -108,7 +150,7 @@ def _select(fitting: DataFrame) -> DataFrame:
         F.col("resource").alias("resource"),
     )
     return (
-        fitting.where("exact OR contains_all")
+        found.where("exact OR contains_all")
         .groupBy("term")
         .agg(F.min(order).alias("best"))
         .select("term", F.col("best.resource").alias("selected"), (~F.col("best.fallback")).alias("is_exact"))
@@ -117,7 +159,7 @@ def _select(fitting: DataFrame) -> DataFrame:
 
 def select_pages(index: Keyed, prepared: DataFrame) -> DataFrame:
     """One page per term: the exact match, else the shortest page containing every word as a substring."""
-    return _select(_fitting(hits(index, prepared)))
+    return select_fitting(fitting(hits(index, prepared)))
 
 
 def select_first(index: Keyed, prepared: DataFrame) -> DataFrame:
@@ -143,6 +185,21 @@ def ranked_pages(index: Keyed, prepared: DataFrame) -> DataFrame:
     ).withColumn("is_selected", F.col("rank") == 1)
 
 
+def top_pages(index: Keyed, prepared: DataFrame, k: int = 10) -> DataFrame:
+    """The first ``k`` of each term's ranked pages.
+
+    Each task keeps ``k`` rows per term before anything is moved for the ranking, so neither a term
+    with very many pages nor their numbering costs more than the count of hits does.
+    """
+    counted = (
+        hits(index, prepared)
+        .groupBy("term", "resource")
+        .agg(F.count(F.lit(1)).alias("matches"), F.min("position").alias("first_word"))
+    )
+    order = Window.partitionBy("term").orderBy(F.desc("matches"), F.asc("first_word"), F.asc("resource"))
+    return counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def _resolve(prepared: DataFrame, selection: DataFrame) -> DataFrame:
     return pin(prepared.join(selection.select("term", "selected"), "term", "left"), "resolved")
 
@@ -188,7 +245,7 @@ def displayed(edges: DataFrame) -> DataFrame:
 
 def traffic_series(tables: SearchTables, resolved: DataFrame) -> DataFrame:
     """Chart series: counts labelled by referrer for incoming and by resource for outgoing traffic."""
-    rows = _ranked(_edge_sections(tables, resolved, fits_broadcast(_selected_as(resolved, "resource"))))
+    rows = ranked_findings(_edge_sections(tables, resolved, fits_broadcast(_selected_as(resolved, "resource"))))
     label = F.when(F.col("section") == INCOMING, F.col("referrer")).otherwise(F.col("resource"))
     return rows.select("term", "section", "rank", label.alias("label"), "count")
 
@@ -217,13 +274,13 @@ def _edge_sections(tables: SearchTables, resolved: DataFrame, fits: bool) -> Dat
     )
 
 
-def _ranked(findings: DataFrame) -> DataFrame:
+def ranked_findings(findings: DataFrame) -> DataFrame:
     ranked = number_rows(findings, ["term", "section"], [F.desc("weight"), F.asc("tie")])
     return displayed(ranked.drop("weight", "tie"))
 
 
-def response_rows(tables: SearchTables, resolved: DataFrame, found: DataFrame, fits: bool) -> DataFrame:
-    """All findings of all terms in display form, ranked within ``(term, section)``.
+def findings(tables: SearchTables, resolved: DataFrame, found: DataFrame, fits: bool) -> DataFrame:
+    """All findings of all terms, one row each, to be ranked by ``weight`` (falling) and ``tie`` within ``(term, section)``.
 
     Related pages come in the order their words were looked up, without the
     selected page; edges come by count. ``found`` are the stored hits of the
@@ -231,7 +288,10 @@ def response_rows(tables: SearchTables, resolved: DataFrame, found: DataFrame, f
     word at least, so what is looked up here is no larger.
     """
     related = (
-        lookup_join(found.select("term", "position", "resource"), resolved.select("term", "status", "selected"), "term", fits=fits)
+        lookup_join(
+            found.select("term", "position", "resource"), resolved.select("term", "status", "selected"), "term",
+            fits=fits, spread=["resource", "position"],
+        )
         .where(~F.col("resource").eqNullSafe(F.lower("selected")))
         .groupBy("term", "status", "selected", "resource")
         .agg(F.min("position").alias("first_word"))
@@ -242,7 +302,12 @@ def response_rows(tables: SearchTables, resolved: DataFrame, found: DataFrame, f
             F.lit(None).cast("bigint").alias("count"),
         )
     )
-    return _ranked(related.unionByName(_edge_sections(tables, resolved, fits)))
+    return related.unionByName(_edge_sections(tables, resolved, fits))
+
+
+def response_rows(tables: SearchTables, resolved: DataFrame, found: DataFrame, fits: bool) -> DataFrame:
+    """:func:`findings` in display form with their ``rank``."""
+    return ranked_findings(findings(tables, resolved, found, fits))
 
 
 def response_pages(rows: DataFrame, resolved: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
@@ -325,7 +390,7 @@ def search(
     # a term's rows repeat its words and, later, its selected page, which is no longer than what was asked for the index
     fits = fits_broadcast(query_words(prepared.withColumn("wanted", F.col("norm"))), broadcast_rows)
     found = pin(
-        _fitting(hits(tables.index, prepared, fits)).select("term", "position", "resource", "exact", "contains_all"), "hits"
+        fitting(hits(tables.index, prepared, fits)).select("term", "position", "resource", "exact", "contains_all"), "hits"
     )
-    resolved = _resolve(prepared, _select(found))
+    resolved = _resolve(prepared, select_fitting(found))
     return response_pages(response_rows(tables, resolved, found, fits), resolved, page_rows)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .. import operators as op
 from ..functions.text import display_name
@@ -18,10 +18,16 @@ from ..sources.lines import (
     DUMP_ORDER, accepted, normalise, parse_lines, parse_pairs, read_dumps, read_folder, rejected, valid_edges,
 )
 from ..sources.topic import publish_to_files, stream_files
-from ..streaming.jobs import edge_stream, overwrite_stream, pair_streams, trending_stream, word_count_stream
+from ..functions.sql import register_functions
+from ..streaming.answers import answer_stream, answers
+from ..streaming.jobs import (
+    edge_stream, index_stream, overwrite_stream, pair_stream as pairs_to_sinks, total_stream, trending_stream, word_count_stream,
+)
+from ..streaming.metrics import BatchCounters, load_once_stream
+from ..streaming.state import open_windows
 from . import fixtures as fx
-from .ingest import ingest_metrics, ingest_months
-from .store import EdgeStore, write_search_tables
+from .ingest import ingest_metrics, ingest_months, ingest_stream as load_new_files
+from .store import EdgeStore, write_bucketed_tables, write_point_tables, write_search_tables
 
 LINE_ORD = "src INT, id BIGINT, pos INT"
 ORDER = list(fx.ORDER)
@@ -122,7 +128,7 @@ def _terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _keyed_index(spark: SparkSession, sf: str) -> op.Keyed:
-    return op.Keyed(page_index(spark, sf), "word")
+    return op.Keyed(page_index(spark, sf), "word", "resource")
 
 
 def _pinned_tables(edges: DataFrame, index_too: bool = False) -> op.SearchTables:
@@ -144,7 +150,7 @@ def index_increment(spark: SparkSession, sf: str) -> DataFrame:
     """Index rows that the catalogue lines add to an index of the page lines."""
     known = op.build_index(valid_edges(fx.page_lines(fx.table(spark, sf, "pages"))))
     added = op.build_index(valid_edges(fx.catalogue_lines(fx.table(spark, sf, "part"))))
-    return op.new_index_rows(known, added)
+    return op.new_index_rows(known, added, distinct=True)
 
 
 def term_tokens(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,6 +171,29 @@ def search_ranked(spark: SparkSession, sf: str) -> DataFrame:
     return _long(op.ranked_pages(_keyed_index(spark, sf), _terms(spark, sf)), "first_word", "rank")
 
 
+TOP_PAGES = 10
+
+
+def search_top(spark: SparkSession, sf: str) -> DataFrame:
+    return _long(op.top_pages(_keyed_index(spark, sf), _terms(spark, sf), TOP_PAGES), "first_word", "rank")
+
+
+def sql_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The word index in SQL text alone, by the functions that :func:`register_functions` gives a session."""
+    register_functions(spark)
+    return spark.sql(
+        """
+        SELECT w.word, p.resource
+        FROM (
+          SELECT DISTINCT norm_resource(l.resource) AS resource
+          FROM {lines} AS t, LATERAL line_fields(t.value) AS l
+          WHERE l.count IS NOT NULL AND l.referrer <> '' AND l.resource <> '') AS p,
+        LATERAL index_words(p.resource) AS w
+        """,
+        lines=fx.traffic_lines(spark, sf),
+    )
+
+
 def search_first(spark: SparkSession, sf: str) -> DataFrame:
     return op.select_first(_keyed_index(spark, sf), _terms(spark, sf))
 
@@ -208,12 +237,47 @@ def search_json(spark: SparkSession, sf: str) -> DataFrame:
     return op.response_json(op.search(tables, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS))
 
 
+def _limited(tables: op.SearchTables, **limits: int) -> op.SearchTables:
+    return op.SearchTables(*(replace(t, **limits) for t in (tables.by_resource, tables.by_referrer, tables.index)))
+
+
 def search_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     """The same answers with every lookup joined by shuffle, and keys of more than a few rows cut."""
     tables = _pinned_tables(edge_table(spark, sf), index_too=True)
-    limited = [replace(t, broadcast_rows=0, rows_per_split=20) for t in (tables.by_resource, tables.by_referrer, tables.index)]
-    found = op.search(op.SearchTables(*limited), fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS, broadcast_rows=0)
-    return op.response_text(found)
+    limited = _limited(tables, broadcast_rows=0, rows_per_split=20)
+    return op.response_text(op.search(limited, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS, broadcast_rows=0))
+
+
+def _bucketed_tables(spark: SparkSession, sf: str) -> op.SearchTables:
+    edges = pin(edge_table(spark, sf), "edges")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-edges.count() // 1_000_000))
+    root = work_path(spark, "bucketed")
+    return write_bucketed_tables(edges, "pages_" + root[-32:], root, buckets)
+
+
+def search_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same answers from tables in Spark's buckets, with lookups as if there were too many to broadcast."""
+    tables = _limited(_bucketed_tables(spark, sf), broadcast_rows=0)
+    return op.response_text(op.search(tables, fx.search_terms(spark, sf), RESPONSE_PAGE_ROWS, broadcast_rows=0))
+
+
+#: Words and pages looked up one by one, present ones and absent ones.
+POINT_WORDS = ("small", "brand", "ring", "absent", "r")
+POINT_PAGES = ("small ring", "economy brushed", "promo", "other-search", "absent")
+
+
+def point_reads(spark: SparkSession, sf: str) -> DataFrame:
+    """Single lookups in one sorted copy of the edges, by either end, and in the index."""
+    tables = write_point_tables(pin(edge_table(spark, sf), "edges"), work_path(spark, "points"))
+    nothing = spark.createDataFrame([], "looked_up STRING, section STRING, referrer STRING, resource STRING")
+    for word in POINT_WORDS:
+        found = tables.index.find_one(word)
+        nothing = nothing.unionByName(found.select(F.col("word").alias("looked_up"), F.lit("word").alias("section"), F.lit("").alias("referrer"), "resource"))
+    for section, table in (("incoming", tables.by_resource), ("outgoing", tables.by_referrer)):
+        for page in POINT_PAGES:
+            found = table.find_one(page)
+            nothing = nothing.unionByName(found.select(F.lit(page).alias("looked_up"), F.lit(section).alias("section"), "referrer", "resource"))
+    return nothing
 
 
 def search_response(spark: SparkSession, sf: str) -> DataFrame:
@@ -254,17 +318,21 @@ def updated_ledger(spark: SparkSession, sf: str) -> DataFrame:
 def _staged_dumps(spark: SparkSession, sf: str) -> str:
     """Lines as gzip dumps, one folder per month; files of a month in arrival order."""
     root = work_path(spark, "dumps")
-    dated = pin(fx.dated_lines(fx.traffic_lines(spark, sf)), "dated")
+    _write_dumps(pin(fx.dated_lines(fx.traffic_lines(spark, sf)), "dated"), root)
+    return root
+
+
+def _write_dumps(dated: DataFrame, root: str) -> None:
     (
         dated.repartitionByRange("month", *ORDER)
         .sortWithinPartitions("month", *ORDER)
         .select("value", "month")
-        .write.partitionBy("month")
+        .write.mode("append")
+        .partitionBy("month")
         .option("compression", "gzip")
         .option("maxRecordsPerFile", 5_000_000)
         .text(root)
     )
-    return root
 
 
 def dump_edge_upsert(spark: SparkSession, sf: str) -> DataFrame:
@@ -292,6 +360,16 @@ def ingest_listed(spark: SparkSession, sf: str) -> DataFrame:
     return states.withColumn("n", F.lit(None).cast("bigint")).unionByName(traffic)
 
 
+def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Dumps of the first half year, loaded; then those of the second, by a stream that takes new files only."""
+    root, path, ledger, progress = (work_path(spark, n) for n in ("growing", "loaded", "ledger", "progress"))
+    for part in ("month <= '2018-06'", "month > '2018-06'"):
+        _write_dumps(fx.dated_lines(fx.traffic_lines(spark, sf)).where(part), root)
+        load_new_files(spark, root, path, ledger, progress, "*.txt.gz", archive=work_path(spark, "archive")).awaitTermination()
+    months = spark.read.parquet(path).groupBy("month", "batch_id").agg(F.sum("n_lines").alias("n_lines"), F.sum("count").alias("traffic"))
+    return months.join(read_ledger_table(spark, ledger).withColumnRenamed("date", "month"), "month")
+
+
 def monthly_traffic(spark: SparkSession, sf: str) -> DataFrame:
     """Lines staged as gzip dumps, one folder per month, scanned back as one table."""
     return (
@@ -319,16 +397,18 @@ def _table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return stream_files(spark, f"{sf}/{name}.parque[t]", schema)
 
 
-def _streamed_store(spark: SparkSession, sf: str, buckets: int = 16) -> EdgeStore:
-    """A store fed by two runs of the stream, compacted between and after them."""
+def _in_two_runs(spark: SparkSession, sf: str, run) -> None:
+    """Lines of the pages, then those of the catalogue: ``run`` starts the stream anew for each half."""
     lines = dirty(spark, sf)
-    store, progress = EdgeStore(work_path(spark, "store"), LINE_ORD, buckets), work_path(spark, "progress")
     path = work_path(spark, "lines")
     for part in (F.col("src") == fx.PAGES, F.col("src") == fx.CATALOGUE):
         spread(lines.where(part)).write.mode("append").parquet(path)
-        source = stream_files(spark, path, lines.schema, 4)
-        edge_stream(source, store, progress, once=True).awaitTermination()
-        store.compact(spark)
+        run(stream_files(spark, path, lines.schema, 4)).awaitTermination()
+
+
+def _streamed_store(spark: SparkSession, sf: str) -> EdgeStore:
+    store, progress = EdgeStore(work_path(spark, "store"), LINE_ORD), work_path(spark, "progress")
+    _in_two_runs(spark, sf, lambda lines: edge_stream(lines, store, progress, once=True))
     return store
 
 
@@ -336,13 +416,52 @@ def stream_edge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed_store(spark, sf).edges(spark)
 
 
+def stream_state_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table with the totals in the state store, which the second run takes up again."""
+    path, progress = work_path(spark, "totals"), work_path(spark, "progress")
+    _in_two_runs(spark, sf, lambda lines: total_stream(lines, path, ORDER, progress, once=True))
+    return op.newest_totals(spark.read.parquet(path))
+
+
 def stream_index(spark: SparkSession, sf: str) -> DataFrame:
-    return _streamed_store(spark, sf).index(spark)
+    path, progress = work_path(spark, "index"), work_path(spark, "progress")
+    _in_two_runs(spark, sf, lambda lines: index_stream(lines, path, progress, once=True))
+    return spark.read.parquet(path)
 
 
 def stream_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Search over the layouts that the stream's batches keep up to date."""
-    return _answers(spark, sf, _streamed_store(spark, sf).search_tables(spark))
+    """Search over layouts written from the table that a stream has filled."""
+    edges = pin(_streamed_store(spark, sf).edges(spark), "edges")
+    buckets = max(1, -(-edges.count() // 1_000_000))
+    return _answers(spark, sf, write_search_tables(edges, work_path(spark, "store"), buckets))
+
+
+def stream_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Terms that arrive as files, answered batch by batch against bucketed tables."""
+    terms, path = work_path(spark, "terms"), work_path(spark, "answers")
+    fx.search_terms(spark, sf).repartition(4).write.parquet(terms)
+    arriving = stream_files(spark, terms, spark.read.parquet(terms).schema, files_per_trigger=2)
+    answer_stream(arriving, _bucketed_tables(spark, sf), path, work_path(spark, "progress"), once=True).awaitTermination()
+    return op.response_text(answers(spark.read.parquet(path), RESPONSE_PAGE_ROWS))
+
+
+def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters of a stream over three loads of events; most events of the later loads are late."""
+    lines = fx.numbered_event_lines(fx.table(spark, sf, "events"))
+    path, out, progress = (work_path(spark, n) for n in ("events", "loaded", "progress"))
+    counters = BatchCounters()
+    spark.streams.addListener(counters)
+    try:
+        for k in range(3):
+            lines.where(F.col("event_id") % 3 == k).write.mode("append").parquet(path)
+            source = stream_files(spark, path, lines.schema)
+            counters.wait(load_once_stream(source, "event_id", "ts", out, progress, once=True))
+    finally:
+        spark.streams.removeListener(counters)
+    found = counters.table(spark)
+    # batches without input close windows; loads are numbered without them
+    load = F.row_number().over(Window.orderBy("batch_id")).cast("bigint").alias("load")
+    return found.select(load, "n_lines", "n_valid", "n_quarantined", "traffic", "n_late")
 
 
 def stream_last_write_wins(spark: SparkSession, sf: str) -> DataFrame:
@@ -360,11 +479,10 @@ def pair_stream(spark: SparkSession, sf: str) -> DataFrame:
     path, files = _stage(lines)
     table, documents, aside = (work_path(spark, n) for n in ("pairs", "documents", "aside"))
     source = stream_files(spark, path, lines.schema, files)
-    for query in pair_streams(source, table, documents, work_path(spark, "progress"), once=True, aside_path=aside):
-        query.awaitTermination()
-    schema = "referrer STRING, resource STRING"
-    rows = spark.read.schema(schema).parquet(table).withColumn("sink", F.lit("table"))
-    rows = rows.unionByName(spark.read.schema(schema).json(documents).withColumn("sink", F.lit("documents")))
+    pairs_to_sinks(source, table, documents, work_path(spark, "progress"), once=True, aside_path=aside).awaitTermination()
+    pair = "referrer STRING, resource STRING, batch_id BIGINT"
+    rows = spark.read.schema(pair).parquet(table).withColumn("sink", F.lit("table"))
+    rows = rows.unionByName(spark.read.schema(pair).json(documents).withColumn("sink", F.lit("documents"))).drop("batch_id")
     left = spark.read.schema("value STRING").parquet(aside)
     return rows.unionByName(
         left.select(F.lit(None).cast("string").alias("referrer"), F.col("value").alias("resource"), F.lit("aside").alias("sink"))
@@ -384,12 +502,16 @@ def batched_word_count(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def trending_windowed(spark: SparkSession, sf: str) -> DataFrame:
-    out = work_path(spark, "trending")
+def _run_trending(spark: SparkSession, sf: str) -> tuple[str, str]:
+    out, progress = work_path(spark, "trending"), work_path(spark, "progress")
     lines = fx.event_lines(_table_stream(spark, sf, "events"))
-    trending_stream(lines, "ts", out, work_path(spark, "progress"), once=True).awaitTermination()
+    trending_stream(lines, "ts", out, progress, once=True).awaitTermination()
+    return out, progress
+
+
+def _shown_windows(windows: DataFrame) -> DataFrame:
     shown = "yyyy-MM-dd HH:mm:ss"
-    return spark.read.parquet(out).select(
+    return windows.select(
         F.date_format("window_start", shown).alias("window_start"),
         F.date_format("window_end", shown).alias("window_end"),
         "search_term",
@@ -397,6 +519,16 @@ def trending_windowed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def trending_windowed(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows that the watermark has closed; those still open are :func:`trending_open`."""
+    return _shown_windows(spark.read.parquet(_run_trending(spark, sf)[0]))
+
+
+def trending_open(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows that the stream has not given out yet, as its state holds them."""
+    return _shown_windows(open_windows(spark, _run_trending(spark, sf)[1]))
+
+
 def publish_lines(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "published")
     publish_to_files(dirty(spark, sf), path)
@@ -448,6 +580,8 @@ QUERIES: dict[str, Query] = {
     "search_select": search_select,
     "search_ranked": search_ranked,
     "search_first": search_first,
+    "search_top": search_top,
+    "sql_index": sql_index,
     "direct_lookup": direct_lookup,
     "search_incoming": search_incoming,
     "search_outgoing": search_outgoing,
@@ -457,19 +591,26 @@ QUERIES: dict[str, Query] = {
     "search_stored": search_stored,
     "search_json": search_json,
     "search_shuffled": search_shuffled,
+    "search_bucketed": search_bucketed,
+    "point_reads": point_reads,
     "extract_anchors": extract_anchors,
     "new_months": months_to_load,
     "updated_ledger": updated_ledger,
     "monthly_traffic": monthly_traffic,
     "dump_edge_upsert": dump_edge_upsert,
     "ingest_months": ingest_listed,
+    "ingest_stream": ingest_stream,
     "stream_edge_upsert": stream_edge_upsert,
+    "stream_state_upsert": stream_state_upsert,
     "stream_index": stream_index,
     "stream_search": stream_search,
+    "stream_answers": stream_answers,
+    "stream_metrics": stream_metrics,
     "stream_last_write_wins": stream_last_write_wins,
     "pair_stream": pair_stream,
     "batched_word_count": batched_word_count,
     "trending_windowed": trending_windowed,
+    "trending_open": trending_open,
     "publish_lines": publish_lines,
     "ingest_metrics": load_metrics,
     "volume_edge_upsert": volume_edges,

@@ -126,6 +126,14 @@ def event_lines(events: DataFrame) -> DataFrame:
     )
 
 
+def numbered_event_lines(events: DataFrame) -> DataFrame:
+    """The same with the event's number; every seventeenth line has lost its count."""
+    count = "if(event_id % 17 = 0, '', '1')"
+    return events.selectExpr(
+        "event_id", "timestamp(ts) AS ts", f"concat_ws('\t', {_sentinel('event_id')}, event_type, 'link', {count}) AS value"
+    )
+
+
 def search_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names, brands and types of the catalogue, whose vocabularies do not grow with the table, and extra terms."""
     part = table(spark, sf_dir, "part")
@@ -138,9 +146,8 @@ def search_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same terms and the first three words of each benchmark item, which the texts hold as words."""
-    words = F.slice(F.split("text", " "), 1, 3)
-    held = table(spark, sf_dir, "benchmark").select(F.explode(words).alias("term"))
+    """The same terms and all words of the benchmark items, which the texts hold as words."""
+    held = table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("term"))
     return search_terms(spark, sf_dir).unionByName(held).distinct()
 
 

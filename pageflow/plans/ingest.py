@@ -7,13 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.parse import strip_line
 from ..operators.joins import lookup_join
 from ..schemas import DUMP_FILE_NAME, LEDGER, LINE
 from ..session import pin
 from ..sources.ledger import append_ledger, listed_months, new_months, read_ledger_table
-from ..sources.lines import folder_of_path, list_files
+from ..sources.lines import folder_of_path, list_files, month_of_path, valid_edges
+from .store import replace_partitions
 
 
 @dataclass(frozen=True)
@@ -81,3 +83,45 @@ def ingest_metrics(parsed: DataFrame, write: Callable[[DataFrame], None]) -> Dat
     names = ["n_lines", "n_valid", "n_quarantined", "traffic"]
     row = tuple(seen.get[name] for name in names)
     return parsed.sparkSession.createDataFrame([row], ", ".join(f"{n} BIGINT" for n in names))
+
+
+def ingest_stream(
+    spark: SparkSession,
+    dump_root: str,
+    path: str,
+    ledger_path: str,
+    checkpoint: str,
+    file_pattern: str | None = None,
+    archive: str | None = None,
+    files_per_trigger: int | None = None,
+    once: bool = True,
+) -> StreamingQuery:
+    """Load each dump file below ``dump_root`` once, as files appear, and record the months that had lines.
+
+    The checkpoint holds the source's own log of files seen, so no listing is
+    compared with the ledger and no file is read twice. Edges of a batch lie in their
+    own ``batch_id`` (:func:`pageflow.plans.store.replace_partitions`), the
+    ledger takes a month any number of times; a replayed batch changes neither. With
+    ``archive``, a folder outside of ``dump_root``, files of finished batches are
+    moved there.
+    """
+    reader = spark.readStream.schema(LINE).option("recursiveFileLookup", "true")
+    reader = reader.option("pathGlobFilter", file_pattern or DUMP_FILE_NAME.format(edition="*", month="*"))
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    lines = reader.format("text").load(dump_root).select(
+        month_of_path(F.col("_metadata.file_path")).alias("month"), strip_line(F.col("value")).alias("value")
+    )
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        edges = valid_edges(batch).groupBy("month", "referrer", "resource", "type").agg(
+            F.sum("count").alias("count"), F.count(F.lit(1)).alias("n_lines")
+        )
+        replace_partitions(edges.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, "batch_id")
+        done = spark.read.parquet(path).where(F.col("batch_id") == batch_id)
+        append_ledger(done.select(F.col("month").alias("date")), ledger_path)
+
+    writer = lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 # Fixed values, written out here again so that a slip in the library shows.
 SENTINEL_REFERRERS = ("other-internal", "other-search", "other-external", "other-empty", "other-other")
-INDEX_EXCLUDES = tuple(
-    "a an the and or but is are was were be been being have has had do does did not no of off in on at by with about "
-    "into to from up out over under I you he she it we they me my mine our ours your yours his her its their theirs "
-    "other-internal other-search other-external other-empty other-other".split(" ")
+INDEX_EXCLUDES = (
+    "a", "an", "the", "and", "or", "but", "is", "are", "was", "were",
+    "be", "been", "being", "have", "has", "had", "do", "does", "did",
+    "not", "no", "of", "off", "in", "on", "at", "by", "with", "about",
+    "into", "to", "from", "up", "out", "over", "under",
+    "I", "you", "he", "she", "it", "we", "they", "me", "my", "mine",
+    "our", "ours", "your", "yours", "his", "her", "its", "their", "theirs",
+    *SENTINEL_REFERRERS,
 )
+POINT_WORDS = ("small", "brand", "ring", "absent", "r")
+POINT_PAGES = ("small ring", "economy brushed", "promo", "other-search", "absent")
 LINE_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 EXTRA_TERMS = (
     "zzzz no such page", "!!!", "", "ring ring small", "the small ring", "Small_Ring_(Brand#12)", "brand",
@@ -151,7 +157,7 @@ query_words AS (
 
 TEXT_TERMS = TERMS.replace(
     "UNION SELECT * FROM (VALUES",
-    "UNION SELECT unnest(string_split(text, ' ')[1:3]) FROM benchmark UNION SELECT * FROM (VALUES",
+    "UNION SELECT unnest(string_split(text, ' ')) FROM benchmark UNION SELECT * FROM (VALUES",
 )
 
 HITS = """
@@ -407,4 +413,33 @@ ORACLE: dict[str, str] = {
     ),
 }
 ORACLE["batched_word_count"] = ORACLE["word_count"]
-ORACLE["search_stored"] = ORACLE["search_shuffled"] = ORACLE["search_response"]
+ORACLE["search_stored"] = ORACLE["search_shuffled"] = ORACLE["search_bucketed"] = ORACLE["search_response"]
+ORACLE["stream_answers"] = ORACLE["search_response"]
+ORACLE["stream_state_upsert"] = ORACLE["stream_edge_upsert"]
+ORACLE["sql_index"] = ORACLE["search_index"]
+ORACLE["search_top"] = _with(
+    SEARCH,
+    "SELECT term, resource, matches::BIGINT AS matches, first_word::BIGINT AS first_word, "
+    "row_number() OVER (PARTITION BY term ORDER BY matches DESC, first_word, resource) AS rank FROM related QUALIFY rank <= 10",
+)
+ORACLE["point_reads"] = _with(
+    [*CLEAN, EDGES, _index()],
+    f"SELECT word AS looked_up, 'word' AS section, '' AS referrer, resource FROM word_index WHERE word IN ({_list(POINT_WORDS)}) "
+    f"UNION ALL SELECT resource, 'incoming', referrer, resource FROM edges WHERE resource IN ({_list(POINT_PAGES)}) "
+    f"UNION ALL SELECT referrer, 'outgoing', referrer, resource FROM edges WHERE referrer IN ({_list(POINT_PAGES)})",
+)
+ORACLE["trending_open"] = ORACLE["trending_windowed"].replace("INTERVAL 10 MINUTE <= (SELECT", "INTERVAL 10 MINUTE > (SELECT")
+ORACLE["ingest_stream"] = _with(
+    [TRAFFIC, _parsed("traffic")],
+    "SELECT strftime(DATE '2018-01-01' + to_months((id % 12)::INT), '%Y-%m') AS month, (id % 12 >= 6)::BIGINT AS batch_id, "
+    "count(*)::BIGINT AS n_lines, sum(count)::BIGINT AS traffic FROM parsed WHERE valid GROUP BY ALL",
+)
+ORACLE["stream_metrics"] = """
+WITH loads AS (SELECT event_id % 3 + 1 AS load, event_id % 17 <> 0 AS valid, ts FROM events),
+ends AS (SELECT load, max(ts) AS last FROM loads GROUP BY load),
+marks AS (SELECT e.load, (SELECT date_trunc('millisecond', max(last)) FROM ends p WHERE p.load < e.load) - INTERVAL 10 MINUTE AS mark FROM ends e)
+SELECT l.load, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE valid)::BIGINT AS n_valid,
+  count(*) FILTER (WHERE NOT valid)::BIGINT AS n_quarantined, count(*) FILTER (WHERE valid)::BIGINT AS traffic,
+  count(*) FILTER (WHERE valid AND ts <= mark)::BIGINT AS n_late
+FROM loads l JOIN marks m ON m.load = l.load GROUP BY l.load
+"""

@@ -1,191 +1,61 @@
-"""The edge store: per-batch deltas, snapshots in buckets, and the layouts a search reads.
+"""The edge store that a stream fills batch by batch, and the layouts a search reads.
 
-Only files and partition overwrites are needed, no transactional table format.
-A batch is folded to one row per pair and written to its own ``batch_id``
-partition. Writing the same batch again replaces that partition, so a replay
-after a failure changes nothing. A table is the fold of all partials.
+Only files and partition overwrites are needed. A batch is folded to one row per
+pair and written to its own ``batch_id`` partition. Writing the same batch again
+replaces that partition, so a replay after a failure changes nothing. The edge
+table is the fold of all batches.
 
-Snapshots lie in buckets by a hash of one column. Compaction folds the buckets
-that new batches touch and leaves the files of the others alone; a manifest,
-written last, names the version of each bucket. The number of buckets is stored
-with the data, so every session places a key alike.
+Search layouts are written from an edge table by a job of their own, on whatever
+schedule suits: as folders by key hash (:func:`write_search_tables`), as tables
+that Spark keeps in buckets (:func:`write_bucketed_tables`), or as one sorted
+copy with Bloom filters for single lookups (:func:`write_point_tables`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.edges import merge_edges
-from ..operators.index import build_index, new_index_rows
-from ..operators.search import Keyed, SearchTables, bucket_of
-from ..schemas import EDGE, INDEX_KEY, LEDGER, RESOURCE_DESTINATION, SEARCH_INDEX, TRENDING
+from ..operators.index import build_index
+from ..operators.search import Bucketed, Keyed, SearchTables, bucket_of
+from ..schemas import EDGE, LEDGER, RESOURCE_DESTINATION, SEARCH_INDEX, TRENDING
 
 #: The batch comes first: what a later batch brings never changes a type.
 TOPIC_ORD = "batch_id BIGINT, timestamp TIMESTAMP, partition INT, offset BIGINT"
 BUCKETS = 64
+SLICES = 8
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
-    reader = spark.read.schema(schema)
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
-        return (reader.option("basePath", base) if base else reader).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
+def replace_partitions(df: DataFrame, path: str, *columns: str, format: str = "parquet") -> None:
     """Overwrite just the partitions that ``df`` holds; they appear when the job commits."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
-        .parquet(path)
+        .format(format)
+        .save(path)
     )
 
 
-def _folders(spark: SparkSession, path: str, partition: str) -> dict[int, object]:
-    """Partition folders directly below ``path`` by their number; names only, no job."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(at):
-        return {}
-    names = ((e.getPath().getName(), e.getPath()) for e in files.listStatus(at))
-    return {int(n.removeprefix(partition)): p for n, p in names if n.startswith(partition)}
-
-
-def _exists(spark: SparkSession, path) -> bool:
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
-def _delete(spark: SparkSession, path) -> None:
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def stored_buckets(spark: SparkSession, root: str, default: int) -> int:
-    """The bucket count that lies with the data; the first caller's ``default`` is stored."""
-    schema = T.StructType([T.StructField("buckets", T.LongType())])
-    found = read_or_empty(spark, f"{root}/settings", schema).first()
-    if found is None:
-        spark.createDataFrame([(default,)], schema).coalesce(1).write.parquet(f"{root}/settings")
-        return default
-    return found["buckets"]
-
-
-@dataclass(frozen=True)
-class Folded:
-    """A table kept as one delta per batch and a snapshot in buckets by ``key``.
-
-    ``fold`` makes rows of a table out of partials; folding twice changes nothing.
-    ``other`` orders the rows of a key in the snapshot's files.
-    """
-
-    deltas: str
-    snapshots: str
-    schema: T.StructType
-    key: str
-    other: str
-    fold: Callable[[DataFrame], DataFrame]
-
-    def _with(self, *names: str) -> T.StructType:
-        return T.StructType([*self.schema.fields, *[T.StructField(n, T.LongType()) for n in names]])
-
-    def write_delta(self, partial: DataFrame, batch_id: int) -> None:
-        replace_partitions(partial.withColumn("batch_id", F.lit(batch_id).cast("bigint")), self.deltas, "batch_id")
-
-    def read_deltas(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.deltas, self._with("batch_id"))
-
-    def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """One batch, from its own folder."""
-        return read_or_empty(spark, f"{self.deltas}/batch_id={batch_id}", self._with("batch_id"), self.deltas)
-
-    def versions(self, spark: SparkSession) -> tuple[int, dict[int, int]]:
-        """Highest batch in the newest finished snapshot, or -1, and the version of each bucket."""
-        manifests = _folders(spark, f"{self.snapshots}_manifest", "upto=")
-        done = [n for n, path in manifests.items() if _exists(spark, path.suffix("/_SUCCESS"))]
-        if not done:
-            return -1, {}
-        rows = spark.read.parquet(f"{self.snapshots}_manifest/upto={max(done)}").collect()  # one per bucket
-        return max(done), {r["bucket"]: r["version"] for r in rows}
-
-    def snapshot(self, spark: SparkSession, versions: dict[int, int]) -> DataFrame:
-        """Rows of the given buckets with their ``bucket``; the filter prunes folders."""
-        rows = read_or_empty(spark, self.snapshots, self._with("bucket", "version"))
-        if not versions:
-            return rows.where("false").drop("version")
-        current = F.create_map(*[F.lit(n).cast("bigint") for pair in versions.items() for n in pair])
-        return rows.where(current[F.col("bucket")] == F.col("version")).drop("version")
-
-    def partials(self, spark: SparkSession) -> DataFrame:
-        """The newest snapshot and the deltas after it."""
-        upto, versions = self.versions(spark)
-        later = self.read_deltas(spark).where(F.col("batch_id") > upto).drop("batch_id")
-        return self.snapshot(spark, versions).drop("bucket").unionByName(later)
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self.fold(self.partials(spark))
-
-    def compact(self, spark: SparkSession, buckets: int) -> int:
-        """Fold what was committed since the last snapshot into the buckets it touches."""
-        upto, versions = self.versions(spark)
-        last = max(_folders(spark, self.deltas, "batch_id="), default=-1)
-        if last <= upto:
-            return upto
-        fresh = self.read_deltas(spark).where((F.col("batch_id") > upto) & (F.col("batch_id") <= last)).drop("batch_id")
-        place = bucket_of(F.col(self.key), buckets).cast("bigint")
-        touched = [r[0] for r in fresh.select(place).distinct().collect()]
-        old = self.snapshot(spark, {b: v for b, v in versions.items() if b in set(touched)}).drop("bucket")
-        folded = self.fold(old.unionByName(fresh)).withColumn("bucket", place)
-        replace_partitions(
-            folded.repartitionByRange("bucket", self.key, self.other)
-            .sortWithinPartitions("bucket", self.key, self.other)
-            .withColumn("version", F.lit(last).cast("bigint")),
-            self.snapshots, "bucket", "version",
-        )
-        now = sorted((versions | dict.fromkeys(touched, last)).items())
-        manifest = spark.createDataFrame(now, "bucket BIGINT, version BIGINT").coalesce(1)
-        manifest.write.mode("overwrite").parquet(f"{self.snapshots}_manifest/upto={last}")
-        return last
-
-    def expire(self, spark: SparkSession) -> None:
-        """Delete the versions of buckets that the newest snapshot replaces, and old manifests."""
-        newest, versions = self.versions(spark)
-        for bucket, folder in _folders(spark, self.snapshots, "bucket=").items():
-            for version, path in _folders(spark, folder.toString(), "version=").items():
-                if version < versions.get(bucket, -1):
-                    _delete(spark, path)
-        for n, path in _folders(spark, f"{self.snapshots}_manifest", "upto=").items():
-            if n < newest:
-                _delete(spark, path)
-
-    def expire_deltas(self, spark: SparkSession, upto: int) -> None:
-        for n, path in _folders(spark, self.deltas, "batch_id=").items():
-            if n <= upto:
-                _delete(spark, path)
-
-
-def _distinct(rows: DataFrame) -> DataFrame:
-    return rows.select(*INDEX_KEY).distinct()
-
-
 @dataclass(frozen=True)
 class EdgeStore:
-    """Folders of one store. ``ord`` is the DDL of the arrival order kept with each partial.
-
-    Edges are kept twice, in buckets by either end, from the same deltas; pages'
-    words once. ``buckets`` counts for a new store only; choose it so that a
-    bucket's share of the table is some hundred megabytes.
-    """
+    """Folders of one store. ``ord`` is the DDL of the arrival order kept with each partial."""
 
     root: str
     ord: str = TOPIC_ORD
-    buckets: int = BUCKETS
 
     @property
     def order(self) -> list[str]:
@@ -195,77 +65,32 @@ class EdgeStore:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
-    def _edges(self, key: str, other: str) -> Folded:
-        partial = T.StructType([*EDGE.fields, T.StructField("ord", T.StructType.fromDDL(self.ord))])
-        return Folded(f"{self.root}/edges_delta", f"{self.root}/edges_by_{key}", partial, key, other, merge_edges)
-
-    @property
-    def by_resource(self) -> Folded:
-        return self._edges("resource", "referrer")
-
     @property
-    def by_referrer(self) -> Folded:
-        return self._edges("referrer", "resource")
-
-    @property
-    def words(self) -> Folded:
-        return Folded(f"{self.root}/index_delta", f"{self.root}/index_by_word", SEARCH_INDEX, "word", "resource", _distinct)
+    def deltas(self) -> str:
+        return f"{self.root}/edges_delta"
 
     def write_delta(self, partial: DataFrame, batch_id: int) -> None:
-        self.by_resource.write_delta(partial, batch_id)
-
-    def write_index_delta(self, spark: SparkSession, batch_id: int) -> None:
-        """Index rows of the pages in one written batch that the index does not hold yet.
+        replace_partitions(partial.withColumn("batch_id", F.lit(batch_id).cast("bigint")), self.deltas, "batch_id")
 
-        Only the buckets of the batch's words are read. Later batches do not count,
-        so that a replay writes what the first run wrote.
-        """
-        rows = build_index(self.by_resource.read_batch(spark, batch_id)).persist()
-        try:
-            upto, versions = self.words.versions(spark)
-            place = bucket_of(F.col("word"), stored_buckets(spark, self.root, self.buckets)).cast("bigint")
-            touched = {r[0] for r in rows.select(place).distinct().collect()}
-            known = self.words.snapshot(spark, {b: v for b, v in versions.items() if b in touched}).select(*INDEX_KEY)
-            later = self.words.read_deltas(spark).where((F.col("batch_id") > upto) & (F.col("batch_id") < batch_id))
-            self.words.write_delta(new_index_rows(known.unionByName(later.select(*INDEX_KEY)), rows), batch_id)
-        finally:
-            rows.unpersist()
+    def read_deltas(self, spark: SparkSession) -> DataFrame:
+        schema = [*EDGE.fields, T.StructField("ord", T.StructType.fromDDL(self.ord)), T.StructField("batch_id", T.LongType())]
+        return read_or_empty(spark, self.deltas, T.StructType(schema))
 
     def edges(self, spark: SparkSession) -> DataFrame:
-        return self.by_resource.read(spark).drop("ord")
-
-    def index(self, spark: SparkSession) -> DataFrame:
-        return self.words.read(spark)
-
-    def compact(self, spark: SparkSession) -> int:
-        """Fold everything committed so far into the snapshots of all three tables."""
-        buckets = stored_buckets(spark, self.root, self.buckets)
-        self.words.compact(spark, buckets)
-        self.by_referrer.compact(spark, buckets)
-        return self.by_resource.compact(spark, buckets)
+        return merge_edges(self.read_deltas(spark).drop("batch_id")).drop("ord")
 
-    def expire(self, spark: SparkSession) -> None:
-        """Delete the deltas and bucket versions that the newest snapshots replace.
+    def rebase(self, spark: SparkSession, root: str) -> EdgeStore:
+        """A new store that starts from this one's fold, so that its batches need not be kept.
 
-        Run it when no query planned before those snapshots is still reading.
+        Stop the stream, rebase, and start it with the new store and the old
+        checkpoint: its next batch has a number that no batch of the new store has.
         """
-        for table in (self.by_resource, self.by_referrer, self.words):
-            table.expire(spark)
-        folded = min(t.versions(spark)[0] for t in (self.by_resource, self.by_referrer))
-        self.by_resource.expire_deltas(spark, folded)
-        self.words.expire_deltas(spark, self.words.versions(spark)[0])
+        fresh = EdgeStore(root, self.ord)
+        fresh.write_delta(merge_edges(self.read_deltas(spark).drop("batch_id")), -1)
+        return fresh
 
-    def search_tables(self, spark: SparkSession) -> SearchTables:
-        """Everything committed so far, laid out for searches: only buckets with news are written."""
-        self.compact(spark)
-        buckets = stored_buckets(spark, self.root, self.buckets)
 
-        def opened(table: Folded, *columns: str) -> Keyed:
-            rows = table.snapshot(spark, table.versions(spark)[1])
-            return Keyed(rows.select(*columns, F.col("bucket").cast("int").alias("bucket")), table.key, buckets)
-
-        edges = EDGE.fieldNames()
-        return SearchTables(opened(self.by_resource, *edges), opened(self.by_referrer, *edges), opened(self.words, *INDEX_KEY))
+# --- folders by key hash
 
 
 def write_layout(table: DataFrame, key: str, other: str, path: str, buckets: int) -> None:
@@ -284,9 +109,9 @@ def write_layout(table: DataFrame, key: str, other: str, path: str, buckets: int
     )
 
 
-def _read_layout(spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int) -> Keyed:
+def _read_layout(spark: SparkSession, path: str, schema: T.StructType, key: str, other: str, buckets: int) -> Keyed:
     placed = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
-    return Keyed(spark.read.schema(placed).parquet(path), key, buckets)
+    return Keyed(spark.read.schema(placed).parquet(path), key, other, buckets)
 
 
 def write_search_tables(edges: DataFrame, root: str, buckets: int = BUCKETS) -> SearchTables:
@@ -295,11 +120,10 @@ def write_search_tables(edges: DataFrame, root: str, buckets: int = BUCKETS) ->
     Give a stored table: each layout reads its keys once to find the ranges and
     then all columns once to write, and a plan in its place would run each time.
     The bucket count is stored with the layouts; it should follow the table's size,
-    not the cluster's. A store that grows by batches refreshes its own layouts:
-    :meth:`EdgeStore.search_tables`.
+    not the cluster's.
     """
     spark = edges.sparkSession
-    stored_buckets(spark, root, buckets)
+    spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(f"{root}/settings")
     table = edges.select(*EDGE.fieldNames())
     write_layout(table, "resource", "referrer", f"{root}/by_resource", buckets)
     write_layout(table, "referrer", "resource", f"{root}/by_referrer", buckets)
@@ -311,9 +135,84 @@ def open_search_tables(spark: SparkSession, root: str) -> SearchTables:
     """Layouts that :func:`write_search_tables` wrote, in the buckets they were written in."""
     buckets = spark.read.parquet(f"{root}/settings").first()["buckets"]
     return SearchTables(
-        _read_layout(spark, f"{root}/by_resource", EDGE, "resource", buckets),
-        _read_layout(spark, f"{root}/by_referrer", EDGE, "referrer", buckets),
-        _read_layout(spark, f"{root}/search_index", SEARCH_INDEX, "word", buckets),
+        _read_layout(spark, f"{root}/by_resource", EDGE, "resource", "referrer", buckets),
+        _read_layout(spark, f"{root}/by_referrer", EDGE, "referrer", "resource", buckets),
+        _read_layout(spark, f"{root}/search_index", SEARCH_INDEX, "word", "resource", buckets),
+    )
+
+
+# --- tables in Spark's own buckets
+
+
+def write_bucketed(table: DataFrame, key: str, other: str, name: str, path: str, buckets: int, slices: int) -> None:
+    """Store ``table`` as the catalog table ``name`` in buckets by ``(key, slice)``, one sorted file per bucket.
+
+    The slice is a hash of ``other``, so a key's rows lie in up to ``slices`` buckets.
+    """
+    placed = table.withColumn("slice", F.pmod(F.xxhash64(other), F.lit(slices)).cast("int"))
+    (
+        placed.repartition(buckets, key, "slice")
+        .write.bucketBy(buckets, key, "slice")
+        .sortBy(key, "slice", other)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+
+
+def write_bucketed_tables(
+    edges: DataFrame, prefix: str, root: str, buckets: int = BUCKETS, slices: int = SLICES
+) -> SearchTables:
+    """Bucketed tables ``<prefix>_by_resource``, ``_by_referrer`` and ``_index`` with files below ``root``.
+
+    Lookups of any number against them move the wanted keys only. Choose ``buckets``
+    so that one has some hundred megabytes: a bucket is read by one task.
+    """
+    spark, table = edges.sparkSession, edges.select(*EDGE.fieldNames())
+    write_bucketed(table, "resource", "referrer", f"{prefix}_by_resource", f"{root}/by_resource", buckets, slices)
+    write_bucketed(table, "referrer", "resource", f"{prefix}_by_referrer", f"{root}/by_referrer", buckets, slices)
+    write_bucketed(build_index(table), "word", "resource", f"{prefix}_index", f"{root}/search_index", buckets, slices)
+    for name in ("by_resource", "by_referrer", "index"):
+        spark.sql(f"ALTER TABLE {prefix}_{name} SET TBLPROPERTIES ('slices' = '{slices}')")
+    return open_bucketed_tables(spark, prefix)
+
+
+def open_bucketed_tables(spark: SparkSession, prefix: str) -> SearchTables:
+    """Tables that :func:`write_bucketed_tables` made, found by their names."""
+
+    def opened(name: str, key: str, other: str) -> Bucketed:
+        slices = spark.sql(f"SHOW TBLPROPERTIES {prefix}_{name} ('slices')").first()["value"]
+        return Bucketed(spark.table(f"{prefix}_{name}"), key, other, slices=int(slices))
+
+    return SearchTables(
+        opened("by_resource", "resource", "referrer"), opened("by_referrer", "referrer", "resource"), opened("index", "word", "resource")
+    )
+
+
+# --- single lookups
+
+
+def write_point_table(table: DataFrame, order: Sequence[str], found_by: Sequence[str], path: str, group_bytes: int = 8 << 20) -> None:
+    """Store ``table`` sorted by ``order`` in small row groups, with Bloom filters on the columns ``found_by``.
+
+    A lookup by the first column of the order is answered by the row groups' bounds.
+    One by any other column has bounds that say nothing, since its values lie
+    everywhere; there the filters tell which row groups cannot hold the value. So one
+    copy serves lookups by either end.
+    """
+    writer = table.repartitionByRange(*order).sortWithinPartitions(*order).write
+    writer = writer.option("parquet.block.size", group_bytes)
+    for column in found_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
+
+
+def write_point_tables(edges: DataFrame, root: str, group_bytes: int = 8 << 20) -> SearchTables:
+    """Edges and index for lookups of one value at a time (:meth:`Keyed.find_one`); edges are stored once."""
+    spark, table = edges.sparkSession, edges.select(*EDGE.fieldNames())
+    write_point_table(table, ["referrer", "resource"], ["referrer", "resource"], f"{root}/edges", group_bytes)
+    write_point_table(build_index(table), ["word", "resource"], ["word"], f"{root}/search_index", group_bytes)
+    return SearchTables.of(
+        spark.read.schema(EDGE).parquet(f"{root}/edges"), spark.read.schema(SEARCH_INDEX).parquet(f"{root}/search_index")
     )
 
 

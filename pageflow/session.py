@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: dict[str, str] = {}
+_pinned: list[str] = []
 
 
 def local_session(app: str = "pageflow", cpus: str | int = "*", shuffle: int = 8) -> SparkSession:
@@ -51,14 +54,32 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage at a table that outlives lost executors, and fixes values
-    that must not change between two uses of the same plan.
+    that must not change between two uses of the same plan. :func:`dropping_pins`
+    deletes what a piece of work has written.
     """
     spark = df.sparkSession
     path = work_path(spark, label)
+    _pinned.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def dropping_pins(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, every table that :func:`pin` has written in it.
+
+    Results are lazy, so write or collect them inside the block.
+    """
+    first = len(_pinned)
+    try:
+        yield
+    finally:
+        for path in _pinned[first:]:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        del _pinned[first:]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan with fewer tasks than the cluster has cores one task per core.
 

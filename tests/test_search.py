@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageflow import operators as op
-from pageflow.plans.store import write_search_tables
+from pageflow.plans.store import open_bucketed_tables, write_bucketed_tables, write_point_tables, write_search_tables
 
 from conftest import rows
 
@@ -157,7 +157,7 @@ def test_many_terms_join_by_shuffle_alike(spark, tables, monkeypatch):
     split = joins.split_join
     for module in (joins, searching):
         monkeypatch.setattr(module, "fits_broadcast", lambda *args: False)
-    monkeypatch.setattr(joins, "split_join", lambda big, lookup, on, _: split(big, lookup, on, rows_per_split=1))
+    monkeypatch.setattr(joins, "split_join", lambda big, lookup, on, _, spread: split(big, lookup, on, 1, spread))
     assert rows(op.response_text(op.search(tables, terms))) == expected
 
 
@@ -173,3 +173,91 @@ def test_hot_referrer_covers_several_files(many_partitions, tmp_path):
     hot = stored.by_referrer.rows.where("referrer = 'hot'").select(F.input_file_name().alias("f")).distinct()
     assert hot.count() > 2
     assert stored.by_referrer.rows.count() == 4000
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookups_by_shuffle_do_not_store_the_table(spark, tables):
+    wanted = spark.createDataFrame([("abba", 1), ("gold the rush", 2)], "resource string, term int")
+    found = tables.by_resource.find(wanted, fits=False)
+    assert rows(found) == rows(tables.by_resource.find(wanted, fits=True))
+    assert "join-lookup" in plan_of(found) and "join-big" not in plan_of(found)
+
+
+def test_a_layout_counts_and_reads_wanted_buckets_only(spark, tables, tmp_path):
+    stored = write_search_tables(tables.by_resource.rows, f"file://{tmp_path}/s", buckets=50)
+    found = stored.by_resource.find(spark.createDataFrame([("abba", 1)], "resource string, term int"), fits=False)
+    assert rows(found, "referrer") == [("abba gold",), ("other-search",)]
+    assert "PartitionFilters: [isnotnull(bucket" in plan_of(found)
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark, tables, tmp_path_factory):
+    root = f"file://{tmp_path_factory.mktemp('bucketed')}"
+    write_bucketed_tables(tables.by_resource.rows, "search_test", root, buckets=8, slices=4)
+    return open_bucketed_tables(spark, "search_test")
+
+
+def test_bucketed_tables_answer_alike(spark, tables, bucketed):
+    terms = spark.createDataFrame([("abba",), ("gold rush",), ("abba gold",), ("!!!",), (None,)], "term string")
+    expected = rows(op.response_text(op.search(tables, terms)))
+    assert rows(op.response_text(op.search(bucketed, terms))) == expected
+    assert rows(op.response_text(op.search(bucketed, terms, broadcast_rows=0))) == expected
+    assert rows(bucketed.by_referrer.find_one("abba gold"), "resource") == [("abba",)]
+
+
+@pytest.mark.parametrize("many", [3, 300_000])
+def test_bucketed_tables_are_not_moved(spark, bucketed, many):
+    wanted = spark.range(many).select(F.concat(F.lit("page "), "id").alias("resource"), F.col("id").alias("term"))
+    found = bucketed.by_resource.find(wanted, fits=False)
+    side = plan_of(found).split("FileScan")[0]
+    assert "SortMergeJoin" in side and "Exchange" not in side
+    assert plan_of(found).count("Exchange hashpartitioning") == 1 and "SelectedBucketsCount: 8 out of 8" in plan_of(found)
+
+
+def test_a_hot_page_lies_in_several_buckets(spark, tmp_path):
+    edges = spark.range(2000).select(
+        F.concat(F.lit("r"), "id").alias("referrer"), F.lit("hot").alias("resource"), F.lit("link").alias("type"), F.col("id").alias("count")
+    )
+    stored = write_bucketed_tables(edges, "hot_test", f"file://{tmp_path}/b", buckets=8, slices=4)
+    files = stored.by_resource.rows.select(F.input_file_name()).distinct().count()
+    assert 2 <= files <= 4
+    assert stored.by_resource.find(spark.sql("SELECT 'hot' AS resource, 1 AS term"), fits=False).count() == 2000
+
+
+def test_top_pages_are_the_first_of_the_ranking(spark, tables):
+    asked = prepared(spark, "gold gold abba", "abba", "nothing")
+    top = op.top_pages(tables.index, asked, k=2)
+    ranked = op.ranked_pages(tables.index, asked).where("rank <= 2")
+    assert rows(top, "term", "rank", "resource", "matches") == rows(ranked, "term", "rank", "resource", "matches")
+    assert plan_of(top).count("WindowGroupLimit") == 2
+
+
+def read_by_scan(df):
+    """Rows that leave the scan of the row groups it reads, before the filter."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    leaves, n = execution.executedPlan().collectLeaves(), 0
+    for k in range(leaves.size()):
+        n += leaves.apply(k).metrics().apply("numOutputRows").value()
+    return n
+
+
+def test_point_lookups_skip_row_groups_by_either_end(spark, tmp_path):
+    edges = spark.range(200_000).select(
+        F.concat(F.lit("from "), F.hash("id")).alias("referrer"), F.concat(F.lit("to "), F.xxhash64("id")).alias("resource"),
+        F.lit("link").alias("type"), F.col("id").alias("count"),
+    ).coalesce(2)
+    stored = write_point_tables(edges, f"file://{tmp_path}/p", group_bytes=256 << 10)
+    row = edges.where("id = 777").first()
+    for table, value in ((stored.by_resource, row["resource"]), (stored.by_referrer, row["referrer"])):
+        found = table.find_one(value)
+        assert rows(found, "count") == [(777,)] and 0 < read_by_scan(found) < 60_000
+    # an absent page lies between the bounds of every row group; only the filters rule it out
+    assert read_by_scan(stored.by_resource.find_one("to 1absent")) < 60_000
+    assert read_by_scan(stored.by_resource.find_one("to 1absent")) == 0
+    plain = f"file://{tmp_path}/plain"
+    stored.by_resource.rows.write.option("parquet.block.size", 256 << 10).parquet(plain)
+    assert read_by_scan(spark.read.parquet(plain).where("resource = 'to 1absent'")) > 100_000

@@ -49,6 +49,21 @@ def test_keys_hot_on_either_or_both_sides(many_partitions):
     assert rows(joined, "k", "v", "w", "t") == rows(big.join(many, "k"), "k", "v", "w", "t")
 
 
+def test_a_spread_side_is_cut_without_being_stored(many_partitions):
+    spark = many_partitions
+    big = skewed(spark, 600)
+    many = spark.range(300).select(F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.lit("k1")).alias("k"), F.col("id").alias("t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = split_join(big, many, ["k"], rows_per_split=30, spread=["v"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        spread = joined.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert rows(joined, "k", "v", "w", "t") == rows(big.join(many, "k"), "k", "v", "w", "t")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "join-big" not in plan and "join-lookup" in plan and spread > 4
+
+
 def test_a_side_of_keys_only_and_equal_rows(many_partitions):
     spark = many_partitions
     big = spark.range(900).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
