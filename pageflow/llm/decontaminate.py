@@ -5,8 +5,10 @@ terms, and a randomised singular value decomposition over the passages of all
 documents gives a small latent space: each task multiplies its passages with a
 seeded random matrix and back, the products add up, and the (terms x ``RANK``)
 sum is decomposed. Benchmark items are folded into that space. Windows of about
-an item's length slide over every document; those whose cosine to the item is
-high enough are candidates. A candidate counts if the longest common
+an item's length slide over every document by ``STEP_WORDS``; those whose cosine to the item is
+high enough are candidates. Where the words of a stretch and its neighbours that
+an item holds are too few for the subsequence asked for below, no window of it is
+looked at; that rules out nothing else. A candidate counts if the longest common
 subsequence of words covers enough of the item: most of it, or a good part if
 the answer is there too. That also finds items with words changed, added or
 left out.
@@ -40,6 +42,9 @@ FULL_SHARE, PART_SHARE, ANSWER_SHARE = 0.8, 0.6, 0.5
 SEED = 11
 
 TERMS = 1 << TERM_BITS
+#: Words are kept as 32-bit hashes, which verification compares; the first ``TERM_BITS`` bits number the term.
+_SHIFT = np.uint32(32 - TERM_BITS)
+BLOCK_STEPS = 16
 COMMON_WEIGHT = 3.0
 _PIECE_WORDS = 32_000
 _codes = np.arange(256)
@@ -49,20 +54,25 @@ _PLAIN = np.where(_ALNUM, _codes, 32).astype(np.uint8)
 
 
 def terms_of(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers of all rows, and the rows' bounds in them."""
+    """32-bit hashes of the words of all rows, and the rows' bounds in them."""
     plain = Texts(_PLAIN[texts.data], texts.offsets)
     words = find_words(plain)
-    return (hash_words(plain.data, words) >> np.uint64(64 - TERM_BITS)).astype(np.uint16), words.bounds
+    return (hash_words(plain.data, words) >> np.uint64(32)).astype(np.uint32), words.bounds
+
+
+def numbers(marks: np.ndarray) -> np.ndarray:
+    """The term number of each word."""
+    return (marks >> _SHIFT).astype(np.uint16)
 
 
 def as_terms(docs: DataFrame) -> DataFrame:
-    """``row``, ``doc_id``, ``text_hash`` and the terms of each row, two bytes each."""
+    """``row``, ``doc_id``, ``text_hash`` and the words of each row, four bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             terms, bounds = terms_of(texts_of(piece["text"]))
             column = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(piece), [None, pa.py_buffer(2 * bounds.astype(np.int64)), pa.py_buffer(terms)]
+                pa.large_binary(), len(piece), [None, pa.py_buffer(4 * bounds.astype(np.int64)), pa.py_buffer(terms)]
             )
             yield pa.RecordBatch.from_arrays([piece["row"], piece["doc_id"], piece["text_hash"], column.cast(pa.binary())], ["row", "doc_id", "text_hash", "terms"])
 
@@ -75,13 +85,13 @@ def term_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
     """Batches cut to about ``_PIECE_WORDS`` words, with their terms and bounds."""
     for batch in batches:
         column = batch["terms"].cast(pa.large_binary())
-        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] // 2
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] // 4
         begin = 0
         while begin < len(column):
             end = int(np.searchsorted(offsets, offsets[begin] + _PIECE_WORDS, "right")) - 1
             end = min(max(end, begin + 1), len(column))
             data = column.buffers()[2]
-            held = np.frombuffer(data, np.uint16, int(offsets[end] - offsets[begin]), int(2 * offsets[begin])) if data is not None else np.zeros(0, np.uint16)
+            held = np.frombuffer(data, np.uint32, int(offsets[end] - offsets[begin]), int(4 * offsets[begin])) if data is not None else np.zeros(0, np.uint32)
             yield batch.slice(begin, end - begin), held, offsets[begin : end + 1] - offsets[begin]
             begin = end
 
@@ -100,7 +110,8 @@ def inverse_frequencies(terms: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(TERMS + 1, np.int64)
-        for _, held, bounds in term_pieces(batches):
+        for _, marks, bounds in term_pieces(batches):
+            held = numbers(marks)
             if len(held):
                 passage = _passages(bounds)
                 seen = np.sort(((passage << TERM_BITS) | held).astype(np.int32 if passage[-1] < 1 << 15 else np.int64))
@@ -129,8 +140,9 @@ def latent_space(terms: DataFrame, weight: np.ndarray, rank: int = RANK) -> np.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, weight = given.value
-        total = np.zeros((TERMS, table.shape[1]), np.float32)
-        for _, held, bounds in term_pieces(batches):
+        total = np.zeros((TERMS, table.shape[1]))
+        for _, marks, bounds in term_pieces(batches):
+            held = numbers(marks)
             if not len(held):
                 continue
             passage = _passages(bounds)
@@ -139,15 +151,13 @@ def latent_space(terms: DataFrame, weight: np.ndarray, rank: int = RANK) -> np.n
             # passages side by side, the rest of a short one filled with a term of no weight
             padded = np.full((int(passage[-1]) + 1) * PASSAGE_WORDS, TERMS, np.int64)
             padded[passage * PASSAGE_WORDS + np.arange(len(held)) - first[passage]] = held
-            sums = table[padded].reshape(-1, PASSAGE_WORDS, table.shape[1]).sum(1) / squared[:, None]
+            sums = np.matmul(np.ones((1, PASSAGE_WORDS), np.float32), table[padded].reshape(-1, PASSAGE_WORDS, table.shape[1]))[:, 0] / squared[:, None]
             order = np.argsort(held, kind="stable")
             ordered = held[order]
             head = np.flatnonzero(np.diff(ordered.astype(np.int32), prepend=-1))
-            running = np.cumsum(sums[passage[order]], 0, dtype=np.float64)
-            ends = running[np.append(head[1:], len(ordered)) - 1]
-            total[ordered[head]] += np.diff(ends, axis=0, prepend=0) * weight[ordered[head]][:, None]
+            total[ordered[head]] += np.add.reduceat(sums[passage[order]], head, axis=0) * weight[ordered[head]][:, None]
         at = np.flatnonzero(total.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *[pa.array(total[at, i]) for i in range(len(names))]], ["term", *names])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *[pa.array(total[at, i].astype(np.float32)) for i in range(len(names))]], ["term", *names])
 
     schema = "term int, " + ", ".join(f"{y} float" for y in names)
     summed = map_arrow(terms.select("terms"), run, schema).groupBy("term").agg(*[F.sum(y).alias(y) for y in names]).toArrow()
@@ -191,7 +201,7 @@ def _items(rows: pa.Table, space: np.ndarray) -> Items | None:
             answers.append(terms_of(texts_of(pa.array([answer or _last_sentence(text)])))[0])
     if not ids:
         return None
-    vectors = np.stack([space[t].sum(0) for t in held])
+    vectors = np.stack([space[numbers(t)].sum(0) for t in held])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
     classes = defaultdict(list)
     for i, t in enumerate(held):
@@ -217,42 +227,70 @@ class Search:
     def __init__(self, space: np.ndarray, weight: np.ndarray, items: Items):
         self.items = items
         common = np.append(weight < COMMON_WEIGHT, True)
-        self.size = np.array([len(t) for t in items.terms])
-        self.common = np.array([int(common[t].sum()) for t in items.terms])
+        terms = [numbers(t) for t in items.terms]
+        self.size = np.array([len(t) for t in terms])
+        self.common = np.array([int(common[t].sum()) for t in terms])
         self.rare = ~common
         self.space = np.concatenate((space, np.zeros((1, space.shape[1]), np.float32)))
         self.holds = np.zeros((len(items.ids), TERMS + 1), bool)
-        for i, t in enumerate(items.terms):
+        for i, t in enumerate(terms):
             self.holds[i, t] = True
-
-    def candidates(self, held: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
-        """(row, first word, last word, item, cosine) of windows near an item."""
+        #: Places of rare terms that a stretch needs, if it has all common ones.
+        self.need = np.ceil(PART_SHARE * self.size - self.common - 1e-9)
+        # items by rare term
+        owner, term = np.nonzero(self.holds & self.rare)
+        order = np.argsort(term, kind="stable")
+        self.owners, self.first = owner[order], np.searchsorted(term[order], np.arange(TERMS + 2))
+
+    def hits_before(self, padded: np.ndarray) -> np.ndarray:
+        """Up to each block of steps, the places that hold a rare term of each item."""
+        width = BLOCK_STEPS * STEP_WORDS
+        blocks = -(-len(padded) // width)
+        counts = self.first[padded + 1] - self.first[padded]
+        ahead = np.cumsum(counts) - counts
+        at = np.arange(int(counts.sum())) - np.repeat(ahead - self.first[padded], counts)
+        cell = np.repeat(np.arange(len(padded)) // width, counts) * len(self.size) + self.owners[at]
+        hits = np.bincount(cell, minlength=blocks * len(self.size)).reshape(blocks, -1)
+        return np.concatenate((np.zeros((1, len(self.size)), np.int64), np.cumsum(hits, 0)))
+
+    def candidates(self, marks: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        """(row, first word, last word, item, cosine) of windows near an item, with half a window on either side."""
+        held = numbers(marks)
         counts = np.diff(bounds)
         steps = -(-counts // STEP_WORDS)
         ahead = np.concatenate(([0], np.cumsum(steps)))
+        if not ahead[-1]:
+            return
         padded = np.full(int(ahead[-1]) * STEP_WORDS, TERMS, np.int64)
         padded[np.arange(len(held)) + np.repeat(ahead[:-1] * STEP_WORDS - bounds[:-1], counts)] = held
-        block = self.space[padded].reshape(-1, STEP_WORDS, self.space.shape[1]).sum(1)
+        before = self.hits_before(padded)
+        blocks = np.arange(len(before) - 1)
+        block = sum(self.space[padded[k::STEP_WORDS]] for k in range(STEP_WORDS))
         sums = np.concatenate((np.zeros((1, block.shape[1]), np.float32), np.cumsum(block, 0)))
         row = np.repeat(np.arange(len(counts)), steps)
         start, last = np.arange(len(row)), ahead[1:][row]
         for length, members in self.items.classes.items():
+            beside = length // 2 + 1
+            # what any window that starts in a block can see, and the items it can hold
+            low = np.maximum(blocks * BLOCK_STEPS - beside, 0) // BLOCK_STEPS
+            high = np.minimum((blocks * BLOCK_STEPS + BLOCK_STEPS - 1 + length + beside) // BLOCK_STEPS, len(blocks) - 1)
+            able = before[high + 1][:, members] - before[low][:, members] >= self.need[members]
             end = np.minimum(start + length, last)
-            # long windows move on by a sixth of their length; the last whole window of a row always counts, and a
-            # window cut short by the end of its row only if it starts the row
-            apart = (start - ahead[:-1][row]) % max(1, length // 6) == 0
-            whole = np.flatnonzero(((end - start == length) & (apart | (end == last))) | (start == ahead[:-1][row]))
+            # a window cut short by the end of its row counts only if it starts the row
+            whole = np.flatnonzero(able.any(1)[start // BLOCK_STEPS] & ((end - start == length) | (start == ahead[:-1][row])))
+            if not len(whole):
+                continue
             window = sums[end[whole]] - sums[whole]
             window /= np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-12)[:, None]
             near = window @ self.items.vectors[members].T
-            at, which = np.divmod(np.flatnonzero(near.ravel() >= COSINE), len(members))
+            at, which = np.nonzero((near >= COSINE) & able[whole // BLOCK_STEPS])
             if not len(at):
                 continue
             item = members[which]
             # a window that does not hold enough of an item's terms cannot have the subsequence; common terms count
             # as often as the item has any
             first, stop = start[whole[at]], end[whole[at]]
-            first, stop = np.maximum(first - length // 2 - 1, ahead[:-1][row[whole[at]]]), np.minimum(stop + length // 2 + 1, last[whole[at]])
+            first, stop = np.maximum(first - beside, ahead[:-1][row[whole[at]]]), np.minimum(stop + beside, last[whole[at]])
             hits, rare = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
             for k in range(int((stop - first).max()) * STEP_WORDS):
                 word = padded[np.minimum(first * STEP_WORDS + k, len(padded) - 1)]
@@ -265,22 +303,22 @@ class Search:
                 shift = bounds[r] - ahead[r] * STEP_WORDS
                 yield r, first[j] * STEP_WORDS + shift, min(stop[j] * STEP_WORDS + shift, bounds[r + 1]), item[j], float(near[at[j], which[j]])
 
-    def leaks(self, held: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
+    def leaks(self, marks: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
         """For each (row, item) found: cosine, shares of the item and of its answer in the best window."""
         found: dict[tuple[int, int], tuple[float, float, float]] = {}
         seen: dict[tuple[int, int], set[int]] = defaultdict(set)
-        for r, first, stop, item, cosine in sorted(self.candidates(held, bounds), key=lambda c: -c[4]):
+        for r, first, stop, item, cosine in sorted(self.candidates(marks, bounds), key=lambda c: -c[4]):
             pattern, answer = self.items.terms[item], self.items.answers[item]
-            # neighbours of a window that is nearer to the item overlap it by half or more
+            # neighbours of a window that holds the item overlap it by half or more
             stretch = first // (len(pattern) // 2 + 1)
             if not seen[r, item].isdisjoint((stretch - 1, stretch, stretch + 1)):
                 continue
-            seen[r, item].add(stretch)
-            share = common_length(pattern, held[first:stop]) / len(pattern)
+            share = common_length(pattern, marks[first:stop]) / len(pattern)
             if share < PART_SHARE:
                 continue
-            answered = common_length(answer, held[first:stop]) / len(answer)
+            answered = common_length(answer, marks[first:stop]) / len(answer)
             if share >= FULL_SHARE or answered >= ANSWER_SHARE:
+                seen[r, item].add(stretch)
                 found[r, item] = max(found.get((r, item), (0.0, 0.0, 0.0)), (cosine, share, answered), key=lambda x: (x[1], x[0]))
         return found
 
