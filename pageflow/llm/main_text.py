@@ -9,18 +9,26 @@ paragraphs, list items, cells and the like in the part of the page that holds
 the content, are filled in. Blocks that are mostly links are left out, with the
 headings over nothing else.
 
-Elements whose meaning is not content (navigation, forms, adverts, comments and
-the like, by tag, role, class or id) carry no weight. An ``article`` or ``main``
-element outside of them is a prior only: on a page that has one, paths outside
-count by ``OUTSIDE``.
+Elements whose tag says that they are no content (navigation, scripts and the
+like) carry no weight. A class, id or role, or a form, is only a hint: elements so hinted
+are left out as long as enough of the page's text is left, and otherwise come
+back one by one, the largest first, those that tell of comments last. Reader
+comments without a hint are known by their structure: several like elements
+one after the other, each with a byline, under a heading that tells of comments
+or with bylines that do. An ``article`` or ``main`` element outside of all these is
+a prior only: on a page that has one, paths outside count by ``OUTSIDE``.
+
+The work grows in proportion to the page, however its markup is broken.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +42,14 @@ THRESHOLD = 0.8
 OUTSIDE = 0.5
 #: A block with a larger share of link text is left out.
 LINKED = 0.5
+#: With a smaller share of the page's text left, hinted elements come back; for those that tell of comments, the second.
+LEAST_LEFT, LEAST_BESIDE_COMMENTS = 0.2, 0.05
+#: Hinted elements smaller than this share come back together.
+SMALL = 0.05
+#: Text of an article that is enough by itself, and text before comments.
+SOME_TEXT = 200
+#: A byline is no longer than this.
+BYLINE = 80
 
 # Element kinds of the language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,7 +57,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr br input".split()
 )
-UNSEEN = frozenset("head script style noscript template textarea select option button form svg math iframe object canvas video audio title dialog".split())
+UNSEEN = frozenset("head script style noscript template textarea select option button svg math iframe object canvas video audio title dialog".split())
 ASIDE = frozenset("nav footer aside menu".split())
 CONTENT = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -64,17 +80,32 @@ ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre "
     "section table ul".split()
 )
-#: Words in class, id or role that mark what is not content.
+#: Words in class, id or role that hint at what is not content.
 HINTS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
-    "cookies disqus discussion footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices "
-    "pager pagination popup promo promotion recommended related reply replies search share sharing sidebar signup "
-    "skip social sponsor sponsored subscribe toolbar widget widgets".split()
+    "ad ads adsbygoogle adv advert adverts advertisement advertising banner breadcrumb breadcrumbs consent cookie cookiebar "
+    "cookies footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup "
+    "promo promotion recommended related search share sharing sidebar signup skip social sponsor sponsored subscribe "
+    "toolbar widget widgets".split()
 )
-#: The same, unless inside an article.
+#: Words that hint at reader comments.
+COMMENT_HINTS = frozenset(
+    "comment commentform commentlist comments discussion disqus feedback replies reply respond responses talkback".split()
+)
+#: The same as the first, unless inside an article.
 PAGE_HINTS = frozenset("header footer foot".split())
 #: A class that begins so tells of another element.
 OTHERS = frozenset("has with no without".split())
+NO_HINT, HINT, COMMENT_HINT = 0, 1, 2
+#: Words of a heading over reader comments, and of a byline in them.
+_OVER_COMMENTS = re.compile(r"(?i)\b(comments?|responses?|repl(?:y|ies)|discussion|thoughts|feedback|readers?|kommentare?|comentarios?|commentaires?)\b")
+_COMMENT_BYLINE = re.compile(r"(?i)\b(reply|says|wrote|writes|permalink|commented|antworten|responder|répondre)\b")
+_DATED = re.compile(
+    r"(?i)\b(\d{1,2}:\d{2}|\d{4}-\d{1,2}-\d{1,2}|\d{1,2}[./]\d{1,2}[./]\d{2,4}|\d+ \w+ ago|yesterday|today"
+    r"|(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.? \d{1,2}|\d{1,2}\.? (?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec))"
+)
+_UNSEEN_STYLE = re.compile(r"(?i)\b(display\s*:\s*none|visibility\s*:\s*hidden)")
+_DIGITS = re.compile(r"\d+")
+_TAG_START = re.compile("<[A-Za-z/!?]")
 _WORDS = re.compile(r"[a-z]+")
 _MARKS = re.compile(r"[.,;:!?¿¡…、。，！？]")
 
@@ -86,6 +117,7 @@ class Element:
     aside: bool
     inside: bool
     link: bool
+    number: int
 
 
 @dataclass
@@ -95,6 +127,7 @@ class Node:
     text: str
     inside: bool
     link: bool
+    element: int
 
 
 @dataclass
@@ -103,6 +136,7 @@ class Block:
     text: str
     inside: bool
     linked: int
+    element: int
 
     @property
     def link_list(self) -> bool:
@@ -117,6 +151,10 @@ class Page:
     parents: list[int] = field(default_factory=lambda: [0])
     tags: list[str] = field(default_factory=lambda: [""])
     numbers: dict[tuple[int, str], int] = field(default_factory=dict)
+    #: Elements that are no inline ones, or hinted: the element above, its look, and its hint.
+    above: list[int] = field(default_factory=lambda: [0])
+    looks: list[tuple[str, str]] = field(default_factory=lambda: [("", "")])
+    hints: list[int] = field(default_factory=lambda: [NO_HINT])
 
     def path(self, parent: int, tag: str) -> int:
         found = self.numbers.setdefault((parent, tag), len(self.parents))
@@ -126,18 +164,24 @@ class Page:
         return found
 
 
-def _hinted(value: str, hints: frozenset[str]) -> bool:
+def _hint(value: str, inside: bool) -> int:
+    found = NO_HINT
     for name in value.lower().split():
         words = _WORDS.findall(name)
-        if words and words[0] not in OTHERS and not hints.isdisjoint(words):
-            return True
-    return False
+        if not words or words[0] in OTHERS:
+            continue
+        if not COMMENT_HINTS.isdisjoint(words):
+            return COMMENT_HINT
+        if not HINTS.isdisjoint(words) or (not inside and not PAGE_HINTS.isdisjoint(words)):
+            found = HINT
+    return found
 
 
 class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.page, self.open, self.block = Page(), [Element("", 0, False, False, False)], 0
+        self.page, self.open, self.block = Page(), [Element("", 0, False, False, False, 0)], 0
+        self.counts: Counter[str] = Counter()  # of open elements, so that no end tag looks for one in vain
 
     def parse_marked_section(self, i, report=1):
         # an unknown section ends at the next bracket, as a comment would
@@ -147,6 +191,7 @@ class _Reader(HTMLParser):
     def _cut(self, at: int) -> None:
         if any(e.tag not in INLINE for e in self.open[at:]):
             self.block += 1
+        self.counts.subtract(e.tag for e in self.open[at:])
         del self.open[at:]
 
     def handle_starttag(self, tag, attrs):
@@ -155,22 +200,37 @@ class _Reader(HTMLParser):
         if tag in CLOSES:
             self._close_open(*CLOSES[tag])
         above = self.open[-1]
-        hints = HINTS if above.inside else HINTS | PAGE_HINTS
-        hint = any(_hinted(value, hints) for name, value in attrs if name in ("class", "id", "role") and value)
-        hidden = any(name == "hidden" or (name == "aria-hidden" and value == "true") for name, value in attrs)
+        hint = max((_hint(value, above.inside) for name, value in attrs if name in ("class", "id", "role") and value), default=NO_HINT)
+        hidden = any(
+            name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and _UNSEEN_STYLE.search(value))
+            for name, value in attrs
+        )
         content = tag in CONTENT or ("role", "main") in attrs
         aside = above.aside or hidden or tag in UNSEEN or tag in ASIDE or (tag == "header" and not above.inside)
-        aside = aside or (hint and not content and tag not in ("html", "body"))
+        if content or tag in ("html", "body"):
+            hint = NO_HINT
+        elif tag == "form":
+            hint = max(hint, HINT)
         if tag not in INLINE:
             self.block += 1
         if tag in VOID:
             if tag in ("br", "hr", "img") and self.page.nodes:
                 self.handle_data(" ")
             return
-        path = above.path if tag in INLINE else self.page.path(above.path, tag)
-        self.open.append(Element(tag, path, aside, not aside and (above.inside or content), above.link or tag == "a"))
+        path, number = above.path, above.number
+        if tag not in INLINE:
+            path = self.page.path(above.path, tag)
+        if tag not in INLINE or hint:
+            number = len(self.page.above)
+            self.page.above.append(above.number)
+            self.page.looks.append((tag, _DIGITS.sub("", next((value or "" for name, value in attrs if name == "class"), ""))))
+            self.page.hints.append(hint)
+        self.counts[tag] += 1
+        self.open.append(Element(tag, path, aside, not aside and (above.inside or content), above.link or tag == "a", number))
 
     def _close_open(self, tags: set[str], bounds: set[str]) -> None:
+        if not any(self.counts[tag] for tag in tags):
+            return None
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].tag in tags:
                 return self._cut(at)
@@ -183,6 +243,8 @@ class _Reader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        if not self.counts[tag]:
+            return None
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].tag == tag:
                 return self._cut(at)
@@ -192,14 +254,109 @@ class _Reader(HTMLParser):
     def handle_data(self, data):
         above = self.open[-1]
         if not above.aside:
-            self.page.nodes.append(Node(above.path, self.block, data, above.inside, above.link))
+            self.page.nodes.append(Node(above.path, self.block, data, above.inside, above.link, above.number))
 
 
 def parse(html: str) -> Page:
+    # a comment that does not end takes all that follows; the parser would look for its end at every mark
+    unended = html.find("<!--", html.rfind("-->") + 1)
+    html = html[:unended] if unended >= 0 else html
+    # likewise for a tag
+    unended = _TAG_START.search(html, html.rfind(">") + 1)
     reader = _Reader()
-    reader.feed(html)
+    reader.feed(html[: unended.start()] if unended else html)
     reader.close()
-    return reader.page
+    page = reader.page
+    out = _hinted_out(page)
+    page.nodes = [node for node in page.nodes if not out[node.element]]
+    out = _comments(page)
+    page.nodes = [node for node in page.nodes if not out[node.element]]
+    return page
+
+
+def _sums(page: Page) -> tuple[list[int], list[int]]:
+    """Text in each element by itself, and with the elements below."""
+    own = [0] * len(page.above)
+    for node in page.nodes:
+        own[node.element] += len(node.text.strip())
+    whole = own.copy()
+    for e in range(len(whole) - 1, 0, -1):
+        whole[page.above[e]] += whole[e]
+    return own, whole
+
+
+def _below(page: Page, marked: list[bool]) -> list[bool]:
+    """The marked elements and all below them."""
+    out = marked.copy()
+    for e in range(1, len(out)):
+        out[e] = out[e] or out[page.above[e]]
+    return out
+
+
+def _hinted_out(page: Page) -> list[bool]:
+    """Elements that are left out by their hints."""
+    own, whole = _sums(page)
+    marked = [hint != NO_HINT for hint in page.hints]
+    article = [0] * len(own)
+    for node in page.nodes:
+        if node.inside:
+            article[node.element] += len(node.text.strip())
+    while True:
+        out = _below(page, marked)
+        left = sum(size for size, gone in zip(own, out, strict=True) if not gone)
+        if left >= LEAST_LEFT * whole[0] or sum(size for size, gone in zip(article, out, strict=True) if not gone) >= SOME_TEXT:
+            return out
+        outer = [e for e in range(1, len(own)) if marked[e] and not out[page.above[e]] and whole[e]]
+        back = [e for e in outer if page.hints[e] == HINT]
+        if not back and left < LEAST_BESIDE_COMMENTS * whole[0]:
+            back = outer
+        if not back:
+            return out
+        largest = max(back, key=whole.__getitem__)
+        # many small ones come back at once
+        for e in [largest] if whole[largest] >= SMALL * whole[0] else back:
+            marked[e] = False
+
+
+def _comments(page: Page) -> list[bool]:
+    """Elements of reader comments: like neighbours with bylines, after the text they comment on."""
+    own, whole = _sums(page)
+    n = len(own)
+    before, told, dated = [-1] * n, [False] * n, [False] * n
+    over: dict[int, str] = {}
+    seen, last = 0, ""
+    for block in text_blocks(page):
+        e = block.element
+        byline = len(block.text) <= BYLINE
+        for marks, pattern in ((told, _COMMENT_BYLINE), (dated, _DATED)):
+            if byline and pattern.search(block.text):
+                up = e
+                while up and not marks[up]:
+                    marks[up] = True
+                    up = page.above[up]
+        up = e
+        while up and before[up] < 0:
+            before[up], over[up] = seen, last
+            up = page.above[up]
+        seen += len(block.text)
+        last = block.text if page.tags[block.path] in HEADINGS else ("" if not byline else last)
+    children: dict[int, list[int]] = {}
+    for e in range(1, n):
+        if before[e] >= 0:
+            children.setdefault(page.above[e], []).append(e)
+    marked = [False] * n
+    for members in children.values():
+        for _, some in groupby(members, key=lambda e: page.looks[e]):
+            run = list(some)
+            size = sum(whole[e] for e in run)
+            if len(run) < 2 or before[run[0]] < SOME_TEXT or size > (1 - LEAST_LEFT) * whole[0]:
+                continue
+            headed = bool(_OVER_COMMENTS.search(over[run[0]]))
+            known = sum(told[e] or (headed and dated[e]) for e in run)
+            if known >= 2 and 5 * known >= 4 * len(run):
+                for e in run:
+                    marked[e] = True
+    return _below(page, marked)
 
 
 def text_blocks(page: Page) -> list[Block]:
@@ -214,7 +371,7 @@ def text_blocks(page: Page) -> list[Block]:
         text = " ".join("".join(node.text for node in nodes).split())
         if text:
             linked = len(" ".join("".join(node.text for node in nodes if node.link).split()))
-            blocks.append(Block(nodes[0].path, text, any(node.inside for node in nodes), linked))
+            blocks.append(Block(nodes[0].path, text, any(node.inside for node in nodes), linked, nodes[0].element))
     return blocks
 
 
