@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.joins import fits_broadcast, lookup_join
 from ..session import pin
 
 
@@ -18,14 +19,18 @@ def connected_components(links: DataFrame) -> DataFrame:
         links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links"
     )
     labels = pin(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component")).withColumnRenamed("a", "node"), "labels")
+    # the names of all nodes keep their number, so whether they may be sent to all tasks is measured once
+    fits = fits_broadcast(labels)
     while True:
+        named = labels.withColumnRenamed("node", "b")
         near = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
+            lookup_join(both, named, "b", fits=fits, spread=["a"])
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("component").alias("near"))
         )
         lower = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
         names = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
+        names = F.broadcast(names) if fits else names
         moved = pin(
             lower.join(names, "component", "left").select("node", "old", F.coalesce("further", "component").alias("component")),
             "labels",
