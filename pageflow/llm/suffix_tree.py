@@ -3,39 +3,46 @@
 A text is the sequence of its words, lower-cased and each closed by a blank, and
 one end. Symbols are the bytes of that sequence, so every text has a
 probability. A node of the tree is a context of up to ``DEPTH`` bytes. It is
-retained if it makes up at least ``LEAST_SHARE`` of all training symbols (so a
-level has at most 1 / ``LEAST_SHARE`` nodes, whatever the size of the corpus)
-and if its next symbols diverge from those after its shorter suffix by more
-than their number justifies. Next-symbol distributions are smoothed with those
-of the suffix, down to the root. A symbol is scored at the longest suffix of
-what precedes it that is a node.
-
-The unigram base score counts words of all training texts. Frequent words, at
-most ``1 / FREQUENT_SHARE`` of them, are looked up in the tasks; the others meet
-their counts in a join, so no word is a hot key there.
+retained if it occurs ``LEAST_COUNT`` times or more in training and if its next
+symbols diverge from those after its shorter suffix by more than their number
+justifies; its shorter suffixes are retained with it. Next-symbol distributions
+are smoothed with those of the suffix, down to the root. A symbol is scored at
+the longest suffix of what precedes it that is a node.
+
+The tree is a table, and grows with the corpus. It is smoothed level by level
+with joins. A context with its next symbol is a window; the distinct windows of
+all texts, a small part of the text, meet their longest node in joins. The
+``RANKED`` most frequent windows with their scores go to all tasks, which look up
+every place of every text there; the others are joined to their rows. A frequent
+window is thus no hot key in that join.
+
+The unigram base score counts words of all training texts, by the same division:
+frequent words, at most ``1 / FREQUENT_SHARE`` of them, are looked up in the
+tasks, and the others meet their counts in a join.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.joins import fits_broadcast
 from ..session import pin
 from .sampling import fold
 from .shipping import map_arrow
 from .words import LOWER, Texts, find_words, pieces, texts_of
 
 DEPTH = 6
-LEAST_SHARE = 4e-6
+LEAST_COUNT = 32
 PRIOR = 8.0
 FREQUENT_SHARE = 1e-6
 FOLDS, HELD_OUT = 5, 1
 MOST_HELD = 2_000_000
+RANKED = 1 << 20
 
 BLANK, END = 32, 10
 _BITS = 7
@@ -107,111 +114,140 @@ def _tally(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
 
 
 def count_windows(texts: DataFrame, symbols: np.ndarray) -> DataFrame:
-    """``code`` and ``n``: how often each window occurs, added up within tasks first."""
+    """``code``, ``n`` and ``m``: how often each window occurs in training and in all rows (``text``, ``train``), added up within tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for piece in pieces(batches):
             data, bounds = symbol_bytes(texts_of(piece["text"]), DEPTH)
-            more, n = _tally(windows(symbols[data].astype(np.int64), bounds))
+            train = np.repeat(np.asarray(piece["train"]).astype(np.int64), np.diff(bounds) - DEPTH)
+            more, n = _tally(windows(symbols[data].astype(np.int64), bounds) << 1 | train)
             codes, counts = _tally(np.concatenate((codes, more)), np.concatenate((counts, n)))
             if len(codes) > MOST_HELD:
-                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], ["code", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], ["marked", "k"])
                 codes, counts = codes[:0], counts[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], ["code", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], ["marked", "k"])
 
-    return map_arrow(texts, run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    found = map_arrow(texts, run, "marked long, k long").select(
+        F.shiftright("marked", 1).alias("code"), (F.col("k") * F.col("marked").bitwiseAND(F.lit(1))).alias("n"), "k"
+    )
+    return found.groupBy("code").agg(F.sum("n").alias("n"), F.sum("k").alias("m"))
 
 
-@dataclass
-class Tree:
-    """``step[node * 128 + symbol]`` is the node of the longer context, or a dead copy of the node.
+def _suffix(context: str, depth: str) -> str:
+    """SQL: the last ``depth`` symbols of a context."""
+    return f"({context} & (shiftleft(1L, int({_BITS} * ({depth}))) - 1))"
 
-    Nodes ``count`` and up are the dead copies; they lead to themselves.
-    """
 
-    symbols: np.ndarray
-    step: np.ndarray
-    log10: np.ndarray
-    escape: float
-
-    def score(self, texts: Texts) -> np.ndarray:
-        """Log10 probability of each row."""
-        data, bounds = symbol_bytes(texts, DEPTH)
-        now = self.symbols[data].astype(np.int32)
-        node = np.zeros(len(now) - DEPTH, np.int32)
-        for k in range(1, DEPTH + 1):
-            node = self.step[(node << _BITS) + now[DEPTH - k : len(now) - k]]
-        node %= len(self.log10)
-        value = self.log10[node, now[DEPTH:]].astype(np.float64)
-        value += np.where(now[DEPTH:] == OTHER, self.escape, 0.0)
-        sums = np.concatenate((np.zeros(DEPTH + 1), np.cumsum(value)))
-        return sums[bounds[1:]] - sums[bounds[:-1] + DEPTH]
-
-
-def grow(counted: DataFrame, symbols: np.ndarray) -> Tree:
-    """The tree from stored window counts. Only retained contexts come to the driver."""
-    context = F.shiftright("code", _BITS)
-    masks = F.array(*[F.struct(F.lit(d).alias("depth"), context.bitwiseAND(F.lit((1 << _BITS * d) - 1)).alias("context")) for d in range(DEPTH + 1)])
+def grow(counted: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame, DataFrame]:
+    """From stored window counts, the nodes (``depth``, ``context``, ``held``) and what follows them (``depth``, ``context``, ``next``, ``n``, ``held``)."""
     each = (
-        counted.select(F.explode(masks).alias("c"), F.col("code").bitwiseAND(F.lit(OTHER)).alias("next"), "n")
-        .groupBy("c.depth", "c.context", "next")
+        counted.where("n > 0")
+        .selectExpr(f"shiftright(code, {_BITS}) AS whole", f"int(code & {OTHER}) AS next", "n", f"explode(sequence(0, {DEPTH})) AS depth")
+        .selectExpr("depth", f"{_suffix('whole', 'depth')} AS context", "next", "n")
+        .groupBy("depth", "context", "next")
         .agg(F.sum("n").alias("n"))
     )
     each = pin(each, "suffix-levels")
-    total = each.where("depth = 0").agg(F.sum("n")).first()[0] or 0
     held = each.groupBy("depth", "context").agg(F.sum("n").alias("held"), F.count(F.lit(1)).alias("kinds"))
-    held = held.where(F.col("held") >= LEAST_SHARE * total)
+    held = pin(held.where((F.col("held") >= least) | (F.col("depth") == 0)), "suffix-held")
     kept = pin(each.join(held, ["depth", "context"]), "suffix-candidates")
     shorter = kept.select(
         (F.col("depth") + 1).alias("depth"), F.col("context").alias("suffix"), "next", (F.col("n") / F.col("held")).alias("share")
     )
-    suffix = F.element_at(F.array(*[F.col("context").bitwiseAND(F.lit((1 << _BITS * max(d - 1, 0)) - 1)) for d in range(DEPTH + 1)]), F.col("depth") + 1)
     tested = (
-        kept.withColumn("suffix", suffix)
+        kept.where("depth > 0")
+        .withColumn("suffix", F.expr(_suffix("context", "depth - 1")))
         .join(shorter, ["depth", "suffix", "next"])
-        .groupBy("depth", "context")
-        .agg(
-            F.sum(F.col("n") * F.log(F.col("n") / F.col("held") / F.col("share"))).alias("divergence"),
-            F.first("held").alias("held"),
-            F.first("kinds").alias("kinds"),
-        )
+        .groupBy("depth", "context", "held", "kinds")
+        .agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("held") / F.col("share"))).alias("divergence"))
         .where(F.col("divergence") > 0.5 * F.col("kinds") * F.log(F.col("held")) + 4.0)
         .select("depth", "context")
     )
-    retained = {(0, 0)}
-    found = tested.toArrow()  # at most DEPTH / LEAST_SHARE contexts
-    for depth, context in zip(found["depth"].to_pylist(), found["context"].to_pylist(), strict=True):
-        retained.update((d, context & ((1 << _BITS * d) - 1)) for d in range(depth + 1))
-    nodes = sorted(retained)
-    number = {c: i for i, c in enumerate(nodes)}
-    wanted = counted.sparkSession.createDataFrame(
-        pa.table({"depth": pa.array([d for d, _ in nodes], pa.int32()), "context": pa.array([c for _, c in nodes], pa.int64())})
+    retained = tested.selectExpr("explode(sequence(0, depth)) AS shorter", "context").selectExpr(
+        "shorter AS depth", f"{_suffix('context', 'shorter')} AS context"
+    )
+    root = held.where("depth = 0").select("depth", "context")
+    nodes = pin(held.join(retained.unionByName(root).distinct(), ["depth", "context"]).select("depth", "context", "held"), "suffix-nodes")
+    followers = kept.drop("held").join(nodes, ["depth", "context"]).select("depth", "context", "next", "n", "held")
+    return nodes, pin(followers, "suffix-followers")
+
+
+def smooth(followers: DataFrame, uniform: float) -> DataFrame:
+    """The smoothed ``share`` of what follows each node: a level at a time, with that of the suffix."""
+    mixed = (F.col("n") + PRIOR * F.col("below")) / (F.col("held") + PRIOR)
+    level = followers.where("depth = 0").withColumn("below", F.lit(uniform))
+    out = level = level.select("depth", "context", "next", mixed.alias("share"))
+    for depth in range(1, DEPTH + 1):
+        below = level.select(F.col("context").alias("suffix"), "next", F.col("share").alias("below"))
+        level = followers.where(F.col("depth") == depth).withColumn("suffix", F.expr(_suffix("context", "depth - 1")))
+        level = pin(level.join(below, ["suffix", "next"]).select("depth", "context", "next", mixed.alias("share")), "suffix-level")
+        out = out.unionByName(level)
+    return out
+
+
+def score_windows(counted: DataFrame, nodes: DataFrame, followers: DataFrame, symbols: np.ndarray) -> DataFrame:
+    """``code``, ``m`` and ``value``: log10 of the probability of each window's newest symbol at its longest node."""
+    uniform = 1 / len(np.unique(symbols))
+    shares = pin(smooth(followers, uniform), "suffix-shares")
+    rows = counted.selectExpr("code", "m", f"shiftright(code, {_BITS}) AS whole", f"int(code & {OTHER}) AS next")
+    longest = F.lit(0)
+    for depth in range(1, DEPTH + 1):
+        known = nodes.where(F.col("depth") == depth).select(F.col("context").alias("known"), F.lit(depth).alias(f"at{depth}"))
+        known = F.broadcast(known) if fits_broadcast(known, rows=1 << 20) else known
+        rows = rows.join(known, F.expr(_suffix("whole", str(depth))) == F.col("known"), "left").drop("known")
+        longest = F.coalesce(F.col(f"at{depth}"), longest)
+    rows = rows.select("code", "m", "whole", "next", longest.alias("depth"))
+    met = pin(
+        rows.withColumn("context", F.expr(_suffix("whole", "depth"))).join(shares, ["depth", "context", "next"], "left")
+        .select("code", "m", "whole", "next", "depth", "share"),
+        "suffix-met",
     )
-    table = kept.join(F.broadcast(wanted), ["depth", "context"]).select("depth", "context", "next", "n").toArrow()
-    counts = np.zeros((len(nodes), OTHER + 1), np.float32)
-    at = np.fromiter((number[key] for key in zip(table["depth"].to_pylist(), table["context"].to_pylist(), strict=True)), np.int64, len(table))
-    counts[at, table["next"].to_numpy()] = table["n"].to_numpy()
-    return _tree(symbols, number, counts)
-
-
-def _tree(symbols: np.ndarray, number: dict[tuple[int, int], int], counts: np.ndarray) -> Tree:
-    """``number`` counts the retained (depth, context) in order, so a suffix comes before what extends it."""
-    size, kinds = counts.shape
-    alive = np.zeros(kinds, bool)
-    alive[symbols] = True
-    share = np.zeros((size, kinds), np.float32)
-    step = np.empty((2 * size, kinds), np.int32)
-    step[:] = (np.arange(2 * size, dtype=np.int32) % size + size)[:, None]
-    for (depth, context), i in number.items():
-        below = alive / alive.sum() if depth == 0 else share[number[(depth - 1, context & ((1 << _BITS * (depth - 1)) - 1))]]
-        share[i] = (counts[i] + PRIOR * below) / (counts[i].sum() + PRIOR)
-        if depth:
-            above = number[(depth - 1, context & ((1 << _BITS * (depth - 1)) - 1))]
-            step[above, context >> _BITS * (depth - 1)] = i
-    escape = -np.log10(max(int((symbols == OTHER).sum()), 1))
-    with np.errstate(divide="ignore"):
-        return Tree(symbols, step.ravel(), np.log10(share, out=share), float(escape))
+    # a symbol that never followed the longest node is scored at a shorter one, times what each level leaves to the next
+    levels = met.where("share IS NULL").selectExpr("code", "m", "whole", "next", "explode(sequence(0, depth)) AS depth")
+    levels = levels.withColumn("context", F.expr(_suffix("whole", "depth"))).join(nodes, ["depth", "context"], "left")
+    levels = levels.join(shares, ["depth", "context", "next"], "left")
+    passed = F.coalesce(F.log10(F.lit(PRIOR) / (F.col("held") + PRIOR)), F.lit(0.0)).alias("passed")
+    listed = levels.groupBy("code", "m").agg(F.sort_array(F.collect_list(F.struct("depth", "share", passed))).alias("levels"))
+    folded = F.aggregate("levels", F.lit(float(np.log10(uniform))), lambda v, x: F.when(x["share"].isNotNull(), F.log10(x["share"])).otherwise(v + x["passed"]))
+    return met.where("share IS NOT NULL").select("code", "m", F.log10("share").alias("value")).unionByName(
+        listed.select("code", "m", folded.alias("value"))
+    )
+
+
+class Lookup:
+    """Values by code in an open table; each code lies at the first free place from its hash on."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        self.bits = max(4, (4 * len(codes)).bit_length())
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        place, left = self._place(codes), np.arange(len(codes))
+        while len(left):
+            free = np.flatnonzero(self.keys[place[left]] < 0)
+            _, first = np.unique(place[left[free]], return_index=True)
+            put = left[free[first]]
+            self.keys[place[put]], self.values[place[put]] = codes[put], values[put]
+            left = np.setdiff1d(left, put, assume_unique=True)
+            place[left] = (place[left] + 1) & ((1 << self.bits) - 1)
+
+    def _place(self, codes: np.ndarray) -> np.ndarray:
+        return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, codes: np.ndarray) -> np.ndarray:
+        """The value of each code, nan for others."""
+        place = self._place(codes)
+        held = self.keys[place]
+        out = np.where(held == codes, self.values[place], np.nan)
+        left = np.flatnonzero((held != codes) & (held >= 0))
+        place = place[left]
+        while len(left):
+            place = (place + 1) & ((1 << self.bits) - 1)
+            held = self.keys[place]
+            hit = held == codes[left]
+            out[left[hit]] = self.values[place[hit]]
+            on = ~hit & (held >= 0)
+            left, place = left[on], place[on]
+        return out
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -237,14 +273,28 @@ def count_words(texts: DataFrame) -> DataFrame:
     return map_arrow(texts, run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def score_rows(docs: DataFrame, tree: Tree, frequent: dict[bytes, int]) -> DataFrame:
-    """Per row: tree score, words, what frequent words add to the base score, and the other words with their numbers."""
-    given = docs.sparkSession.sparkContext.broadcast((tree, {w: (n, float(np.log10(n + 0.5))) for w, n in frequent.items()}))
+def score_rows(docs: DataFrame, symbols: np.ndarray, scores: Lookup, frequent: dict[bytes, int]) -> DataFrame:
+    """Per row what frequent windows and words add to the scores, and the other windows and words with their numbers."""
+    escape = -float(np.log10(max(int((symbols == OTHER).sum()), 1)))
+    known = {w: (n, float(np.log10(n + 0.5))) for w, n in frequent.items()}
+    given = docs.sparkSession.sparkContext.broadcast((symbols, scores, known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, known = given.value
+        symbols, scores, known = given.value
         for piece in pieces(batches, limit=1 << 20):
             texts = texts_of(piece["text"])
+            data, bounds = symbol_bytes(texts, DEPTH)
+            codes = windows(symbols[data].astype(np.int64), bounds)
+            row = np.repeat(np.arange(len(texts)), np.diff(bounds) - DEPTH)
+            value = scores.get(codes)
+            missed = np.flatnonzero(np.isnan(value))
+            value[missed] = 0.0
+            value += np.where(codes & OTHER == OTHER, escape, 0.0)
+            order = missed[np.lexsort((codes[missed], row[missed]))]
+            heads = np.flatnonzero(np.concatenate(([True], (np.diff(codes[order]) != 0) | (np.diff(row[order]) != 0)))) if len(order) else order
+            at = pa.array(np.searchsorted(row[order[heads]], np.arange(len(texts) + 1)).astype(np.int32))
+            rare_codes = pa.ListArray.from_arrays(at, pa.array(codes[order[heads]]))
+            code_numbers = pa.ListArray.from_arrays(at, pa.array(np.diff(np.append(heads, len(order))).astype(np.int32)))
             n_words, n_known, base, rare, numbers = [], [], [], [], []
             for k in range(len(texts)):
                 seen = Counter(texts.data[texts.offsets[k] : texts.offsets[k + 1]].tobytes().lower().split())
@@ -263,57 +313,69 @@ def score_rows(docs: DataFrame, tree: Tree, frequent: dict[bytes, int]) -> DataF
                 numbers.append(list(others.values()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    piece["row"], piece["doc_id"], pa.array(tree.score(texts)), pa.array(n_words, pa.int64()), pa.array(n_known, pa.int64()),
-                    pa.array(base, pa.float64()), pa.array(rare, pa.list_(pa.binary())), pa.array(numbers, pa.list_(pa.int32())),
+                    piece["row"], piece["doc_id"], pa.array(np.bincount(row, value, len(texts))), rare_codes, code_numbers,
+                    pa.array(n_words, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
+                    pa.array(rare, pa.list_(pa.binary())), pa.array(numbers, pa.list_(pa.int32())),
                 ],
-                ["row", "doc_id", "score", "n_words", "n_known", "base", "rare", "numbers"],
+                ["row", "doc_id", "score", "codes", "code_numbers", "n_words", "n_known", "base", "rare", "numbers"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, score double, n_words long, n_known long, base double, rare array<binary>, numbers array<int>"
+    schema = (
+        f"row long, doc_id {kind}, score double, codes array<long>, code_numbers array<int>, n_words long, n_known long, base double, "
+        "rare array<binary>, numbers array<int>"
+    )
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     return map_arrow(rows, run, schema)
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, least: int = LEAST_COUNT, ranked: int = RANKED) -> DataFrame:
     """``doc_id``, ``held_out``, token counts, base score and tree score of every row of ``docs``.
 
     A null or empty text is its end alone. Repeated rows and null ids are kept;
     ids only decide the fold. Only ``doc_id`` and ``text`` are read. Where
-    nothing can be learned, words are unknown and all bytes alike. An empty table
-    gives an empty table.
+    nothing can be learned, words are unknown and all bytes alike. Equally frequent
+    windows and words are looked up or joined as they come, which changes no score.
+    An empty table gives an empty table.
     """
-    spark = docs.sparkSession
-    texts = docs.where(fold("doc_id", FOLDS) != HELD_OUT).select(F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit("")).alias("text")
+    texts = docs.where(fold("doc_id", FOLDS) != HELD_OUT).select(text)
     symbols = alphabet(count_bytes(texts))
-    tree = grow(pin(count_windows(texts, symbols), "suffix-windows"), symbols)
+    counted = pin(count_windows(docs.select(text, (fold("doc_id", FOLDS) != HELD_OUT).alias("train")), symbols), "suffix-windows")
+    scores = pin(score_windows(counted, *grow(counted, least), symbols), "suffix-scores")
+    best = scores.orderBy(F.desc("m"), "code").limit(ranked).select("code", "value").toArrow()
+    lookup = Lookup(best["code"].to_numpy().astype(np.int64), best["value"].to_numpy().astype(np.float64))
     vocabulary = pin(count_words(texts), "suffix-words")
     sums = vocabulary.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = texts.count()
     tokens, distinct = (sums["n"] or 0) + ends, sums["v"] + (1 if ends else 0)
-    least = max(FREQUENT_SHARE * tokens, 1)
-    often = vocabulary.where(F.col("n") >= least).toArrow()  # at most 1 / FREQUENT_SHARE words
+    least_words = max(FREQUENT_SHARE * tokens, 1)
+    often = vocabulary.where(F.col("n") >= least_words).toArrow()  # at most 1 / FREQUENT_SHARE words
     frequent = dict(zip(often["word"].to_pylist(), often["n"].to_pylist(), strict=True))
-    rows = pin(score_rows(docs, tree, frequent), "suffix-rows")
-    others = rows.select("row", F.explode(F.arrays_zip("rare", "numbers")).alias("r")).select(
-        "row", F.col("r.rare").alias("word"), F.col("r.numbers").alias("k")
-    )
+    rows = pin(score_rows(docs, symbols, lookup, frequent), "suffix-rows")
+
+    def others(values: str, numbers: str, name: str) -> DataFrame:
+        each = rows.select("row", F.explode(F.arrays_zip(values, numbers)).alias("r"))
+        return each.select("row", F.col(f"r.{values}").alias(name), F.col(f"r.{numbers}").alias("k"))
+
     n = F.coalesce(F.col("n"), F.lit(0))
     met = (
-        others.join(vocabulary.where(F.col("n") < least), "word", "left")
+        others("rare", "numbers", "word").join(vocabulary.where(F.col("n") < least_words), "word", "left")
         .groupBy("row")
         .agg(F.sum(F.col("k") * F.log10(n + 0.5)).alias("rest"), F.sum(F.when(n > 0, F.col("k"))).alias("met"))
     )
+    tail = others("codes", "code_numbers", "code").join(scores.select("code", "value"), "code")
+    tail = tail.groupBy("row").agg(F.sum(F.col("k") * F.col("value")).alias("tail"))
     zero = F.lit(0)
     n_tokens = F.col("n_words") + 1
     end = float(np.log10(ends + 0.5))
     norm = float(np.log10(tokens + 0.5 * (distinct + 1)))
-    return rows.join(met, "row", "left").select(
+    return rows.drop("rare", "numbers", "codes", "code_numbers").join(met, "row", "left").join(tail, "row", "left").select(
         "doc_id",
         (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"),
         n_tokens.alias("n_tokens"),
         (F.col("n_known") + F.coalesce("met", zero) + (1 if ends else 0)).alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest", F.lit(0.0)) + end - n_tokens * norm).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("tail", F.lit(0.0))).alias("score"),
     )
