@@ -120,7 +120,7 @@ def ingest_stream(
             F.sum("count").alias("count"), F.count(F.lit(1)).alias("n_lines")
         )
         replace_partitions(edges.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, "batch_id")
-        done = spark.read.parquet(path).where(F.col("batch_id") == batch_id)
+        done = spark.read.schema("month STRING, batch_id BIGINT").parquet(path).where(F.col("batch_id") == batch_id)
         append_ledger(done.select(F.col("month").alias("date")), ledger_path)
 
     writer = lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
