@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import pin
-from .sampling import bounded_sample, fold, train_shards
+from .sampling import bounded_sample, fold, one_per_id, train_shards
 from .shipping import map_arrow
 from .words import NOT_BLANK, Texts, find_words, hash_words, mix, ngram_hashes, pieces, row_sums, texts_of
 
@@ -97,11 +97,13 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED
     """Weights from labelled rows of the training folds, at most ``most_labelled`` of them.
 
     Rows without a quality label do not count; where a document has several
-    labels, the lowest counts. Without any label all weights are 0.
+    labels, the lowest counts. Of rows that share an id one is learned from, so
+    that a repeated row neither counts more nor makes the sample larger. Without any
+    label all weights are 0.
     """
     marked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != 0))
     sample = pin(bounded_sample(marked.groupBy("doc_id").agg(F.min("quality").alias("quality")), "doc_id", most_labelled), "quality-sample")
-    examples = pin(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "quality-examples")
+    examples = pin(one_per_id(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "quality"), "quality-examples")
 
     def fit(rows, weights, turn):
         return fit_ftrl(texts_of(pa.array(rows["text"], pa.string())), rows["quality"].to_numpy(), weights, bits=bits)

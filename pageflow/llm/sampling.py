@@ -26,6 +26,12 @@ def bounded_sample(rows: DataFrame, id_column: str, limit: int) -> DataFrame:
     return rows.orderBy(F.xxhash64(F.lit("sample"), F.col(id_column)), id_column).limit(limit)
 
 
+def one_per_id(rows: DataFrame, *labels: str) -> DataFrame:
+    """``doc_id``, ``text`` and labels of one row per id: the text with the least hash. Combined within tasks first."""
+    first = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    return rows.groupBy("doc_id", *labels).agg(first)
+
+
 def train_shards(
     examples: DataFrame, order: str, fit: Callable, start: np.ndarray, rounds: int, shard_rows: int = SHARD_ROWS
 ) -> np.ndarray:
