@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import pin
-from .sampling import fold, train_shards
+from .sampling import fold, one_per_id, train_shards
 from .shipping import map_arrow
 from .words import NOT_BLANK, Texts, pieces, row_sums, texts_of
 
@@ -203,7 +203,8 @@ def train(docs: DataFrame, most_labelled: int = MOST_LABELLED) -> tuple[list[str
 
     Learns from rows of the training folds that have a language, an id and a
     letter; ``most_labelled`` of them at most, and as many of each language as of
-    any other if there are enough. A language outside the sample is not learned.
+    any other if there are enough. Of rows that share id and language one is
+    learned from. A language outside the sample is not learned.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT))
     # lowest hashes of all languages together, a smaller hash for rare languages: their share of the sample evens out
@@ -221,6 +222,7 @@ def train(docs: DataFrame, most_labelled: int = MOST_LABELLED) -> tuple[list[str
         return fit_windows(codes, labels, flat, len(names), turn)
 
     start = Network.start(len(names)).flat
+    examples = one_per_id(examples, "lang")
     return names, train_shards(pin(examples, "language-examples"), "doc_id", fit, start, ROUNDS, SHARD_ROWS)
 
 
