@@ -11,7 +11,7 @@ import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from pageflow.llm import decontaminate, jaccard, language, main_text, mixing, quality, rules, suffix_tree, warc
+from pageflow.llm import decontaminate, jaccard, language, main_text, mixing, quality, rules, sampling, suffix_tree, warc
 from pageflow.llm.words import Texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -300,3 +300,11 @@ def test_a_template_is_not_paired(spark):
         return jaccard.meeting_rows(postings, 85).count()
 
     assert met(300) <= 2 * met(150) + 100
+
+
+def test_repeated_rows_do_not_enlarge_a_sample(spark):
+    rows = spark.range(4000).select(
+        F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 9).alias("text"), F.lit("en").alias("lang")
+    )
+    one = sampling.one_per_id(rows, "lang")
+    assert one.count() == 1001 and one.where("doc_id = 7").count() == 1
