@@ -48,8 +48,7 @@ class Keyed:
         limits = (self.broadcast_rows, self.rows_per_split, fits, [self.other])
         if self.buckets is None:
             return lookup_join(self.rows, wanted, self.key, *limits)
-        placed = wanted.where(F.col(self.key) != "").withColumn("bucket", bucket_of(F.col(self.key), self.buckets))
-        rows = self.rows
+        placed, rows = self._placed(wanted), self.rows
         if not fits:
             # at most one number per bucket; the folders of others are not listed, counted or read
             rows = rows.where(F.col("bucket").isin([r[0] for r in placed.select("bucket").distinct().collect()]))
@@ -57,7 +56,12 @@ class Keyed:
 
     def match(self, wanted: DataFrame) -> DataFrame:
         """:meth:`find` in one plan: nothing is measured or stored beforehand, so ``wanted`` may be a stream."""
-        return self.rows.drop("bucket").join(wanted, self.key)
+        if self.buckets is None:
+            return self.rows.join(wanted, self.key)
+        return self.rows.join(self._placed(wanted), ["bucket", self.key]).drop("bucket")
+
+    def _placed(self, wanted: DataFrame) -> DataFrame:
+        return wanted.where(F.col(self.key) != "").withColumn("bucket", bucket_of(F.col(self.key), self.buckets))
 
     def find_one(self, value: str) -> DataFrame:
         found = self.rows.where(F.col(self.key) == value)
