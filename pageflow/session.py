@@ -50,25 +50,26 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/pageflow/{label}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame, label: str) -> DataFrame:
+def pin(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage at a table that outlives lost executors, and fixes values
     that must not change between two uses of the same plan. :func:`dropping_pins`
-    deletes what a piece of work has written.
+    deletes what a piece of work has written, but for tables to ``keep``.
     """
     spark = df.sparkSession
     path = work_path(spark, label)
-    _pinned.append(path)
+    if not keep:
+        _pinned.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def dropping_pins(spark: SparkSession) -> Iterator[None]:
-    """Delete, at the end of the block, every table that :func:`pin` has written in it.
+    """Delete, at the end of the block, every table that :func:`pin` has written in it and was not told to keep.
 
-    Results are lazy, so write or collect them inside the block.
+    Results are lazy, so write, collect or keep them inside the block.
     """
     first = len(_pinned)
     try:
