@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joins import fits_broadcast
-from ..session import pin
+from ..session import dropping_pins, pin
 from .shipping import map_arrow
 from .words import NOT_BLANK, Texts, find_words, hash_words, pieces, texts_of
 
@@ -370,8 +370,12 @@ def _search(terms: DataFrame, space: np.ndarray, weight: np.ndarray, items: Item
 
 
 def drop_leaking_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item; rows are told apart by id and text."""
-    found = pin(find_leaks(docs, benchmark), "leaks")
-    bad = found.select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    """``docs`` without the rows that hold a benchmark item; rows are told apart by id and text.
+
+    Columns named ``bad_id`` or ``bad_hash`` are not allowed. What the search has stored is deleted.
+    """
+    with dropping_pins(docs.sparkSession):
+        found = find_leaks(docs, benchmark).select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash"))
+        bad = pin(found.distinct(), "leaks", keep=True)
     same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64("text") == F.col("bad_hash"))
     return docs.join(bad, same, "left_anti")

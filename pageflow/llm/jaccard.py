@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.joins import fits_broadcast, split_join
-from ..session import pin
+from ..session import dropping_pins, pin
 from .components import connected_components
 from .shipping import map_arrow
 from .words import PIECE_BYTES, Texts, find_words, hash_sequences, hash_words, mix, ngram_hashes, pieces, texts_of
@@ -340,17 +340,16 @@ def keep_first(docs: DataFrame, percent: int = PERCENT, n: int = NGRAM) -> DataF
 
     Rows are told apart by id and text. Of repeated rows, equal in both, one
     stays if they stand for their group. Texts without words are in no group and
-    all stay.
+    all stay. Columns named ``_id`` or ``_hash`` are not allowed. What the join has
+    stored is deleted.
     """
-    groups = similar_groups(docs, percent, n)
-    standing = F.count_if("first")
-    keys = groups.groupBy("doc_id", "text_hash").agg(standing.alias("_first"), F.count(F.lit(1)).alias("_n"))
-    keys = pin(
-        keys.where(F.col("_first") < F.col("_n")).select(
+    with dropping_pins(docs.sparkSession):
+        groups = similar_groups(docs, percent, n)
+        keys = groups.groupBy("doc_id", "text_hash").agg(F.count_if("first").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        gone = keys.where(F.col("_first") < F.col("_n")).select(
             F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), (F.col("_first") > 0).alias("_again")
-        ),
-        "jaccard-gone",
-    )
+        )
+        keys = pin(gone, "jaccard-gone", keep=True)
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
     kept = docs.join(_maybe_broadcast(keys), same, "left_anti")
     again = keys.where("_again")

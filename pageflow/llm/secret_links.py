@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import pin
+from ..session import dropping_pins, pin
 
 # The strong kinds in order, the pattern of assignments, and least lengths.
 STRONG = ("assign", "access", "hex")
@@ -181,9 +181,12 @@ def drop_secret_rows(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """``docs`` without the rows in which anything was found.
 
     Rows are told apart by id and text, so equal rows share their fate, as they
-    share their findings.
+    share their findings. Columns named ``bad_id`` or ``bad_hash`` are not allowed. What
+    the scan has stored is deleted.
     """
-    rows, findings = find_secrets(docs, reach)
-    bad = findings.select("row").distinct().join(rows, "row").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash"))
+    with dropping_pins(docs.sparkSession):
+        rows, findings = find_secrets(docs, reach)
+        found = findings.select("row").distinct().join(rows, "row")
+        bad = pin(found.select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct(), "secrets", keep=True)
     same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64("text") == F.col("bad_hash"))
-    return docs.join(bad.distinct(), same, "left_anti")
+    return docs.join(bad, same, "left_anti")
