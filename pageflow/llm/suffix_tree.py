@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joins import fits_broadcast
-from ..session import pin
+from ..session import dropping_pins, pin
 from .sampling import fold
 from .shipping import map_arrow
 from .words import LOWER, Texts, find_words, pieces, texts_of
@@ -141,14 +141,13 @@ def _suffix(context: str, depth: str) -> str:
 
 def grow(counted: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame, DataFrame]:
     """From stored window counts, the nodes (``depth``, ``context``, ``held``) and what follows them (``depth``, ``context``, ``next``, ``n``, ``held``)."""
-    each = (
-        counted.where("n > 0")
-        .selectExpr(f"shiftright(code, {_BITS}) AS whole", f"int(code & {OTHER}) AS next", "n", f"explode(sequence(0, {DEPTH})) AS depth")
-        .selectExpr("depth", f"{_suffix('whole', 'depth')} AS context", "next", "n")
-        .groupBy("depth", "context", "next")
-        .agg(F.sum("n").alias("n"))
-    )
-    each = pin(each, "suffix-levels")
+    # each level adds up the one below it, with the oldest symbol gone
+    level = counted.where("n > 0").selectExpr(f"{DEPTH} AS depth", f"shiftright(code, {_BITS}) AS context", f"int(code & {OTHER}) AS next", "n")
+    each = level
+    for depth in range(DEPTH - 1, -1, -1):
+        shorter = level.selectExpr(f"{depth} AS depth", f"{_suffix('context', str(depth))} AS context", "next", "n")
+        level = pin(shorter.groupBy("depth", "context", "next").agg(F.sum("n").alias("n")), "suffix-level")
+        each = each.unionByName(level)
     held = each.groupBy("depth", "context").agg(F.sum("n").alias("held"), F.count(F.lit(1)).alias("kinds"))
     held = pin(held.where((F.col("held") >= least) | (F.col("depth") == 0)), "suffix-held")
     kept = pin(each.join(held, ["depth", "context"]), "suffix-candidates")
@@ -341,8 +340,10 @@ def score_documents(docs: DataFrame, least: int = LEAST_COUNT, ranked: int = RAN
     text = F.coalesce("text", F.lit("")).alias("text")
     texts = docs.where(fold("doc_id", FOLDS) != HELD_OUT).select(text)
     symbols = alphabet(count_bytes(texts))
-    counted = pin(count_windows(docs.select(text, (fold("doc_id", FOLDS) != HELD_OUT).alias("train")), symbols), "suffix-windows")
-    scores = pin(score_windows(counted, *grow(counted, least), symbols), "suffix-scores")
+    marked = docs.select(text, (fold("doc_id", FOLDS) != HELD_OUT).alias("train"))
+    with dropping_pins(docs.sparkSession):
+        counted = pin(count_windows(marked, symbols), "suffix-windows")
+        scores = pin(score_windows(counted, *grow(counted, least), symbols), "suffix-scores", keep=True)
     best = scores.orderBy(F.desc("m"), "code").limit(ranked).select("code", "value").toArrow()
     lookup = Lookup(best["code"].to_numpy().astype(np.int64), best["value"].to_numpy().astype(np.float64))
     vocabulary = pin(count_words(texts), "suffix-words")
