@@ -98,11 +98,11 @@ def symmetric_pairs(edges: DataFrame) -> DataFrame:
     return edges.select(F.inline(both))
 
 
-def word_count(texts: DataFrame, text: str) -> DataFrame:
-    """Words split on a single space: case is kept and empty strings count."""
+def word_count(texts: DataFrame, text: str, within: Sequence[str] = ()) -> DataFrame:
+    """Words split on a single space: case is kept and empty strings count. Counted apart by the columns ``within``."""
     return (
-        texts.select(F.explode(F.split(F.col(text), " ")).alias("word"))
-        .groupBy("word")
+        texts.select(*within, F.explode(F.split(F.col(text), " ")).alias("word"))
+        .groupBy(*within, "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 

@@ -490,15 +490,21 @@ def pair_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 BATCH_ROWS = 1000
+#: Batches that one trigger takes.
+BATCHES_AT_ONCE = 256
 
 
 def batched_word_count(spark: SparkSession, sf: str) -> DataFrame:
-    """Word counts by micro-batches of at most ``BATCH_ROWS`` texts, added up over the batches."""
+    """Word counts by batches of at most ``BATCH_ROWS`` texts, added up over the batches.
+
+    A batch is a file. A trigger takes up to ``BATCHES_AT_ONCE`` of them and counts each on its own.
+    """
     texts = fx.table(spark, sf, "documents").select("text")
     path, out = work_path(spark, "texts"), work_path(spark, "words")
     texts.write.option("maxRecordsPerFile", BATCH_ROWS).parquet(path)
-    source = stream_files(spark, path, texts.schema, files_per_trigger=1)
-    word_count_stream(source, "text", out, work_path(spark, "progress"), once=True).awaitTermination()
+    source = stream_files(spark, path, texts.schema, files_per_trigger=BATCHES_AT_ONCE)
+    batches = source.select("text", F.col("_metadata.file_name").alias("batch"))
+    word_count_stream(batches, "text", out, work_path(spark, "progress"), once=True, within=["batch"]).awaitTermination()
     return spark.read.parquet(out).groupBy("word").agg(F.sum("n").alias("n"))
 
 

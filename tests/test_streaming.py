@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageflow import operators as op
-from pageflow.plans import fixtures as fx
+from pageflow.plans import catalog, fixtures as fx
 from pageflow.plans.store import EdgeStore, create_tables, open_search_tables, write_bucketed_tables, write_search_tables
 from pageflow.sources.lines import accepted, normalise, parse_lines, parse_pairs, rejected, valid_edges
 from pageflow.sources.ledger import append_ledger
@@ -197,6 +197,29 @@ def test_word_counts_are_per_batch(spark, tmp_path):
     assert rows(counted, "word", "n") == [("", 1), ("a", 1), ("a", 2), ("b", 1)]
 
 
+def test_a_trigger_counts_many_batches_each_on_its_own(spark, tmp_path):
+    source = f"file://{tmp_path}/in"
+    data = [(text,) for text in ("a b", "a  a", "b b", None, "a")]
+    spark.createDataFrame(data, "line string").coalesce(1).write.option("maxRecordsPerFile", 2).parquet(source)
+    stream = stream_files(spark, source, spark.read.parquet(source).schema, files_per_trigger=2)
+    batches = stream.select("line", F.col("_metadata.file_name").alias("batch"))
+    run(word_count_stream(batches, "line", f"file://{tmp_path}/out", f"file://{tmp_path}/cp", once=True, within=["batch"]))
+    counted = spark.read.parquet(f"file://{tmp_path}/out")
+    assert counted.select("batch_id").distinct().count() == 2
+    assert rows(counted, "word", "n") == [("", 1), ("a", 1), ("a", 3), ("b", 1), ("b", 2)]
+    assert counted.where("word = 'a'").select("batch").distinct().count() == 2
+
+
+def test_batches_of_a_table_share_triggers(spark, tmp_path, monkeypatch):
+    texts = spark.range(40).selectExpr("id AS doc_id", "concat('w', id % 3, ' x') AS text").coalesce(1)
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    started = []
+    monkeypatch.setattr(catalog, "BATCH_ROWS", 5)
+    monkeypatch.setattr(catalog, "word_count_stream", lambda *a, **k: started.append(word_count_stream(*a, **k)) or started[-1])
+    assert rows(catalog.batched_word_count(spark, str(tmp_path))) == [("w0", 14), ("w1", 13), ("w2", 13), ("x", 40)]
+    assert len([p for p in started[0].recentProgress if p["numInputRows"]]) == 1  # eight files
+
+
 def test_windows_close_behind_the_watermark(spark, tmp_path):
     source = f"file://{tmp_path}/in"
     data = [
