@@ -248,8 +248,9 @@ def read_archives(archives: DataFrame, folder: str, with_payload: bool = True, i
                     raise DamagedArchive(f"{name} has {seen} records instead of {records}")
                 yield pa.RecordBatch.from_pylist(found, _RECORD)
 
-    # dealt out one by one; a number that is asked for is not reduced when the plan runs
-    each = archives.select("archive", "records").repartition(max(1, archives.count()))
+    # ranges of one name each; dealing them in turn starts anew for each task that has names, and two meet.
+    # A number that is asked for is not reduced when the plan runs
+    each = archives.select("archive", "records").repartitionByRange(max(1, archives.count()), "archive")
     found = map_arrow(
         each, run,
         "page_id string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, verified boolean, payload binary",

@@ -274,6 +274,14 @@ def test_every_archive_is_read_by_a_task_of_its_own(spark, tmp_path):
     assert sorted_rows(read, "page_id") == sorted_rows(pages, "page_id")
 
 
+def test_archives_listed_in_many_parts_are_read_by_a_task_each(spark, tmp_path):
+    pages = spark.range(60).select("id", F.lit("u").alias("url"), F.lit("x").alias("html")).withColumnRenamed("id", "page_id")
+    folder = f"file://{tmp_path}/warc"
+    archives = warc.write_archives(pages, folder, archive_bytes=1).repartition(20)
+    tasks = warc.read_archives(archives, folder).select(F.spark_partition_id().alias("task")).distinct()
+    assert archives.count() >= 20 and tasks.count() == archives.count()
+
+
 def test_text_ids_in_archives(spark):
     same = "x" * 1200
     pages = spark.createDataFrame([("a b", None, same), ("", "u", same), ("<ü>:%", "u", "y"), (None, "u", same)], "page_id string, url string, html string")
