@@ -112,10 +112,10 @@ def bigram_lines(documents: DataFrame) -> DataFrame:
     )
     steps = words.selectExpr(
         "doc_id AS id",
-        "inline(transform(words, (word, at) -> struct(at AS pos, get(words, at - 1) AS previous, word)))",
+        "posexplode(arrays_zip(slice(words, 1, size(words) - 1), slice(words, 2, size(words) - 1))) AS (at, pair)",
     )
-    return steps.where("pos > 0").selectExpr(
-        f"{TEXTS} AS src", "id", "pos", "concat_ws('\t', previous, word, 'link', '1') AS value"
+    return steps.selectExpr(
+        f"{TEXTS} AS src", "id", "at + 1 AS pos", "concat_ws('\t', pair.`0`, pair.`1`, 'link', '1') AS value"
     )
 
 

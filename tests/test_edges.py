@@ -70,6 +70,22 @@ def test_hot_pair_leaves_each_task_as_one_row(spark):
     assert "partial_sum" in text and text.count("Exchange") == 1
 
 
+def test_pairs_are_sorted_by_a_hash_first(spark):
+    """Names start alike; sorted by them, most comparisons would read two whole rows."""
+    plan = op.fold_edges(edges(spark, ("a", "b", "link", 2)), ["n"])._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "- Sort [" in line]
+    assert sorts and all(line.split("- Sort [")[1].split()[0].endswith("L") for line in sorts)  # a long, no name
+
+
+def test_word_pairs_are_made_without_a_lambda(spark):
+    texts = [(1, "a b\tc  d"), (2, "one"), (3, ""), (4, None), (None, "x y"), (5, " a"), (1, "a b\tc  d")]
+    found = fx.bigram_lines(spark.createDataFrame(texts, "doc_id long, text string"))
+    pairs = [(1, 1, "a", "b_c"), (1, 2, "b_c", ""), (1, 3, "", "d")] * 2 + [(5, 1, "", "a"), (None, 1, "x", "y")]
+    expected = [(fx.TEXTS, key, pos, "\t".join([a, b, "link", "1"])) for key, pos, a, b in pairs]
+    assert rows(found, "src", "id", "pos", "value") == sorted(expected, key=lambda t: [(v is not None, v) for v in t])
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_index_needs_one_shuffle_and_is_distinct(spark):
     index = op.build_index(valid_edges(fx.traffic_lines(spark, SF)))
     assert index._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
