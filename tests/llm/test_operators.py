@@ -7,11 +7,12 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from pageflow.llm import decontaminate, jaccard, language, main_text, mixing, quality, rules, sampling, suffix_tree, warc
+from pageflow.llm import decontaminate, jaccard, language, main_text, mixing, quality, rules, sampling, shipping, suffix_tree, warc
 from pageflow.llm.words import Texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -316,3 +317,22 @@ def test_repeated_rows_do_not_enlarge_a_sample(spark):
     )
     one = sampling.one_per_id(rows, "lang")
     assert one.count() == 1001 and one.where("doc_id = 7").count() == 1
+
+
+def test_batches_end_by_size(spark):
+    """A batch of rows with long texts is cut, rows are not; a limit that the session states is left alone."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    long_texts = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 8000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "b"])
+
+    try:
+        spark.conf.unset(key)
+        found = shipping.map_arrow(long_texts, sizes, "n long, b long").collect()
+        assert sum(r["n"] for r in found) == 3000 and max(r["b"] for r in found) < 2 * shipping.BATCH_BYTES
+        spark.conf.set(key, str(1 << 30))
+        assert shipping.map_arrow(long_texts, sizes, "n long, b long").count() == 1
+    finally:
+        spark.conf.unset(key)
