@@ -1,5 +1,6 @@
 """The suffix tree against a plain one of dictionaries, and its growth with the corpus."""
 
+import pickle
 import random
 import re
 import zlib
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageflow.llm import suffix_tree
+from pageflow.session import pin
 
 LEAST = 4
 
@@ -100,3 +102,25 @@ def test_nothing_to_learn_from(spark):
     found = suffix_tree.score_documents(spark.createDataFrame([(out, "a b")], "doc_id long, text string")).first()
     assert found["train_tokens"] == 0 and found["n_known"] == 0 and found["score"] < 0
     assert suffix_tree.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_the_table_of_frequent_windows_is_not_sent():
+    """Its codes and values are; every executor and the driver keep a copy of what is sent on disk."""
+    codes, values = np.arange(0, 300_000, 3), np.linspace(-9, 0, 100_000)
+    sent = pickle.dumps(suffix_tree.Lookup(codes, values))
+    assert len(sent) < 1.1 * (codes.nbytes + values.nbytes)
+    found = pickle.loads(sent).get(np.arange(300_000))
+    assert np.array_equal(found[::3], values) and np.isnan(found[1::3]).all()
+
+
+def test_windows_shuffle_as_arrays(spark, docs):
+    """A row per stem and task, not per window; and a stem in several rows gives the same nodes."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.lit(True).alias("train"))
+    symbols = suffix_tree.alphabet(suffix_tree.count_bytes(texts))
+    counted = pin(suffix_tree.count_windows(texts, symbols), "test-counted")
+    windows = counted.select(F.sum(F.size("steps"))).first()[0]
+    assert counted.count() == counted.select("stem").distinct().count() < windows / 3
+    cut = pin(suffix_tree.count_windows(texts, symbols, record=1), "test-cut")
+    assert cut.count() > counted.count() and cut.select(F.sum(F.size("steps"))).first()[0] == windows
+    whole, parts = (sorted(map(tuple, suffix_tree.grow(c, LEAST).nodes.collect())) for c in (counted, cut))
+    assert whole == parts and len(whole) > 40
