@@ -47,7 +47,10 @@ FREQUENT_SHARE = 1e-6
 FOLDS, HELD_OUT = 5, 1
 MOST_HELD = 2_000_000
 RANKED = 1 << 20
-RECORD = 1 << 20
+RECORD = 1 << 19
+MOST_LEFT = 1 << 19
+#: Bytes of text that are looked at together: the arrays of their windows take some eighty times as much.
+COUNTED_BYTES, SCORED_BYTES = 1 << 20, 1 << 19
 HOMES = 256
 
 BLANK, END = 32, 10
@@ -128,13 +131,22 @@ def _tally(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
         codes = np.sort(codes)
     else:
         order = np.argsort(codes, kind="stable")
-        codes, counts = codes[order], counts[order]
+        codes = codes[order]
+        counts = counts[order]
+        del order
     head = _heads(codes)
     if counts is None:
         return codes[head], np.diff(np.append(head, len(codes)))
     return codes[head], np.add.reduceat(counts, head) if len(head) else counts
 
 
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    """The arrays as one; the list is emptied, so that they need not be held beside it."""
+    out = np.concatenate(parts)
+    parts.clear()
+    return out
+
+
 class _Tallies:
     """Numbers by code, added up whenever ``MOST_HELD`` have come together."""
 
@@ -152,10 +164,11 @@ class _Tallies:
         return self.waiting > MOST_HELD // 2
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
-        parts, self.parts, self.waiting = self.parts, [], 0
-        if not parts:
+        codes, numbers = ([p[k] for p in self.parts] for k in (0, 1))
+        self.parts, self.waiting = [], 0
+        if not codes:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return _tally(*(np.concatenate(p) for p in zip(*parts, strict=True)))
+        return _tally(_joined(codes), _joined(numbers))
 
 
 def _steps(codes: np.ndarray, shift: int) -> tuple[pa.Array, pa.Array, np.ndarray]:
@@ -185,16 +198,22 @@ def _codes(stem: int, steps: np.ndarray, shift: int = _STEM_AT) -> np.ndarray:
     return np.cumsum(steps) + (stem << shift)
 
 
+_COUNTS = "stem int, follow array<long>, steps array<long>, n array<long>, m array<long>"
+_STEMS = f"{_COUNTS}, depth array<int>, context array<long>, held array<long>"
+
+
 def _by_stem(df: DataFrame, *then) -> DataFrame:
     return df.repartition("stem").sortWithinPartitions("stem", *then)
 
 
-def count_windows(texts: DataFrame, symbols: np.ndarray, record: int = RECORD) -> DataFrame:
+def count_windows(texts: DataFrame, symbols: np.ndarray, record: int = RECORD, least: int | None = None) -> DataFrame:
     """How often each window occurs in training and in all rows (``text``, ``train``), added up within tasks first.
 
     A row has a ``stem``, its training counts by next symbol (``follow``), and of
     its windows the codes (``steps``), training counts ``n`` and all counts ``m``.
     A stem of more than ``record`` windows has several rows, cut where its next older symbol changes.
+    With ``least``, the worker that adds up a stem finds its nodes too, and rows are those of :func:`find_nodes`:
+    a second worker a task would hold memory beside it.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +224,7 @@ def count_windows(texts: DataFrame, symbols: np.ndarray, record: int = RECORD) -
             stems, steps, offsets = _steps(marked, _STEM_AT + 1)
             return pa.RecordBatch.from_arrays([stems, steps, _listed(k, offsets)], ["stem", "steps", "k"])
 
-        for piece in pieces(batches, limit=2 << 20):
+        for piece in pieces(batches, limit=COUNTED_BYTES):
             data, bounds = symbol_bytes(texts_of(piece["text"]), DEPTH)
             train = np.repeat(np.asarray(piece["train"]).astype(np.int64), np.diff(bounds) - DEPTH)
             if held.add(*_tally(windows(symbols[data].astype(np.int64), bounds) << 1 | train)):
@@ -241,7 +260,9 @@ def count_windows(texts: DataFrame, symbols: np.ndarray, record: int = RECORD) -
             yield from flush()
 
     found = _by_stem(map_arrow(texts, count, "stem int, steps array<long>, k array<long>"))
-    return map_arrow(found, merge, "stem int, follow array<long>, steps array<long>, n array<long>, m array<long>")
+    if least is not None:
+        return map_arrow(found, lambda batches: find_nodes(merge(batches), least), _STEMS)
+    return map_arrow(found, merge, _COUNTS)
 
 
 class Level(NamedTuple):
@@ -319,30 +340,33 @@ def _upper(stems: np.ndarray, follow: np.ndarray, deep: np.ndarray, least: int)
     return [*out, Upper(contexts, n, np.ones(len(contexts), bool), np.zeros(len(contexts), np.int64))]
 
 
+def find_nodes(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Counted stems with the nodes below them: ``depth``, ``context`` and ``held`` of each."""
+    names = ["stem", "follow", "steps", "n", "m", "depth", "context", "held"]
+    for stem, follow, steps, n, m in _records(batches, *names[:5]):
+        below = levels(_codes(stem, steps), n)
+        shares = [level.n / np.maximum(level.held, 1)[level.of] for level in below[1:]] + [_shares(follow)]
+        depths, contexts, helds, longer = [], [], [], np.zeros(0, np.int64)
+        for depth, level, shorter in zip(range(DEPTH, STEM, -1), below, shares, strict=True):
+            node = diverging(level.n, level.of, level.held, shorter[level.up], least)
+            node[np.searchsorted(level.contexts, longer >> _BITS)] = True
+            longer = level.contexts[node]
+            depths.append(np.full(len(longer), depth, np.int32))
+            contexts.append(longer)
+            helds.append(level.held[node])
+        del below, shares
+        lists = [follow, steps, n, m, *(np.concatenate(x) for x in (depths, contexts, helds))]
+        yield pa.RecordBatch.from_arrays([pa.array([stem], pa.int32()), *map(_listed, lists)], names)
+
+
 def grow(counted: DataFrame, least: int = LEAST_COUNT) -> Tree:
     """From window counts, the nodes (``depth``, ``context``, ``held``), the stored stems with their nodes, and the levels above.
 
-    A context's newest symbol is its highest.
+    A context's newest symbol is its highest. Stems that have their nodes already are taken as they are.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for stem, follow, steps, n, m in _records(batches, "stem", "follow", "steps", "n", "m"):
-            below = levels(_codes(stem, steps), n)
-            shares = [level.n / np.maximum(level.held, 1)[level.of] for level in below[1:]] + [_shares(follow)]
-            depths, contexts, helds, longer = [], [], [], np.zeros(0, np.int64)
-            for depth, level, shorter in zip(range(DEPTH, STEM, -1), below, shares, strict=True):
-                node = diverging(level.n, level.of, level.held, shorter[level.up], least)
-                node[np.searchsorted(level.contexts, longer >> _BITS)] = True
-                longer = level.contexts[node]
-                depths.append(np.full(len(longer), depth, np.int32))
-                contexts.append(longer)
-                helds.append(level.held[node])
-            lists = [follow, steps, n, m, *(np.concatenate(x) for x in (depths, contexts, helds))]
-            yield pa.RecordBatch.from_arrays([pa.array([stem], pa.int32()), *map(_listed, lists)], names)
-
-    names = ["stem", "follow", "steps", "n", "m", "depth", "context", "held"]
-    kinds = "stem int, follow array<long>, steps array<long>, n array<long>, m array<long>, depth array<int>, context array<long>, held array<long>"
-    stems = pin(map_arrow(counted, run, kinds), "suffix-stems")
+    if "depth" not in counted.columns:
+        counted = map_arrow(counted, lambda batches: find_nodes(batches, least), _STEMS)
+    stems = pin(counted, "suffix-stems")
     # rows of one stem agree in what follows it; there are at most as many stems as pairs of symbols
     seen = stems.groupBy("stem").agg(F.first("follow").alias("follow"), F.max(F.size("depth") > 0).alias("deep")).orderBy("stem").toArrow()
     follow = np.array(seen["follow"].to_pylist(), np.int64).reshape(-1, OTHER + 1)
@@ -404,18 +428,20 @@ def score_windows(tree: Tree, symbols: np.ndarray, ranked: int) -> DataFrame:
 
 
 class Lookup:
-    """Values by code in an open table; each code lies at the first free place from its hash on. Sent without the table."""
+    """Values by code. In an open table, the number of each code lies at the first free place from its hash on. Sent without the table."""
 
     def __init__(self, codes: np.ndarray, values: np.ndarray):
-        self.given = codes, values
         self.bits = max(4, (2 * len(codes)).bit_length())
-        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        #: An empty place is -1, the number of what is added here: no code, and no value.
+        self.codes, self.values = np.append(codes, -1), np.append(values, np.nan)
+        self.given = self.codes[:-1], self.values[:-1]
+        self.table = np.full(1 << self.bits, -1, np.int32)
         place, left = self._place(codes), np.arange(len(codes))
         while len(left):
-            free = np.flatnonzero(self.keys[place[left]] < 0)
+            free = np.flatnonzero(self.table[place[left]] < 0)
             _, first = np.unique(place[left[free]], return_index=True)
             put = left[free[first]]
-            self.keys[place[put]], self.values[place[put]] = codes[put], values[put]
+            self.table[place[put]] = put
             left = np.setdiff1d(left, put, assume_unique=True)
             place[left] = (place[left] + 1) & ((1 << self.bits) - 1)
 
@@ -428,16 +454,18 @@ class Lookup:
     def get(self, codes: np.ndarray) -> np.ndarray:
         """The value of each code, nan for others."""
         place = self._place(codes)
-        held = self.keys[place]
-        out = np.where(held == codes, self.values[place], np.nan)
-        left = np.flatnonzero((held != codes) & (held >= 0))
+        at = self.table[place]
+        held = self.codes[at]
+        out = np.where(held == codes, self.values[at], np.nan)
+        left = np.flatnonzero((held != codes) & (at >= 0))
         place = place[left]
         while len(left):
             place = (place + 1) & ((1 << self.bits) - 1)
-            held = self.keys[place]
+            at = self.table[place]
+            held = self.codes[at]
             hit = held == codes[left]
-            out[left[hit]] = self.values[place[hit]]
-            on = ~hit & (held >= 0)
+            out[left[hit]] = self.values[at[hit]]
+            on = ~hit & (at >= 0)
             left, place = left[on], place[on]
         return out
 
@@ -479,10 +507,13 @@ def score_rows(docs: DataFrame, symbols: np.ndarray, scores: Lookup, frequent: d
         left: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush():
-            codes, at = (np.concatenate(x) for x in zip(*left, strict=True))
+            codes, at = ([x[k] for x in left] for k in (0, 1))
             left.clear()
+            codes, at = _joined(codes), _joined(at)
             order = np.lexsort((at, codes))
-            codes, at = codes[order], at[order]
+            codes = codes[order]
+            at = at[order]
+            del order
             heads = np.flatnonzero(np.concatenate(([True], (np.diff(codes) != 0) | (np.diff(at) != 0))))
             stems, steps, offsets = _steps(codes[heads], _STEM_AT)
             times = np.diff(np.append(heads, len(codes))).astype(np.int32)
@@ -490,7 +521,7 @@ def score_rows(docs: DataFrame, symbols: np.ndarray, scores: Lookup, frequent: d
             return pa.RecordBatch.from_arrays([own.get(f.name, pa.nulls(len(stems), f.type)) for f in fields], schema=fields)
 
         fields = None
-        for piece in pieces(batches, limit=1 << 20):
+        for piece in pieces(batches, limit=SCORED_BYTES):
             fields = fields or pa.schema([("row", pa.int64()), ("doc_id", piece["doc_id"].type), *output])
             texts = texts_of(piece["text"])
             data, bounds = symbol_bytes(texts, DEPTH)
@@ -523,7 +554,7 @@ def score_rows(docs: DataFrame, symbols: np.ndarray, scores: Lookup, frequent: d
                 pa.array(numbers, pa.list_(pa.int32())),
             ]
             yield pa.RecordBatch.from_arrays([*own, *(pa.nulls(len(texts), f.type) for f in list(fields)[len(own) :])], schema=fields)
-            if sum(len(c) for c, _ in left) > MOST_HELD // 2:
+            if sum(len(c) for c, _ in left) > MOST_LEFT:
                 yield flush()
         if any(len(c) for c, _ in left):
             yield flush()
@@ -601,7 +632,7 @@ def score_documents(docs: DataFrame, least: int = LEAST_COUNT, ranked: int = RAN
     symbols = alphabet(count_bytes(texts))
     marked = docs.select(text, (fold("doc_id", FOLDS) != HELD_OUT).alias("train"))
     with dropping_pins(docs.sparkSession):
-        tree = grow(count_windows(marked, symbols), least)
+        tree = grow(count_windows(marked, symbols, least=least), least)
         scores = pin(score_windows(tree, symbols, ranked), "suffix-scores", keep=True)
     best = scores.where("frequent").select("stem", "steps", "value").toArrow()
     parts = [(_codes(stem, steps), value) for stem, steps, value in _records(best.to_batches(), "stem", "steps", "value")]

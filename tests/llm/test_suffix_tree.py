@@ -3,6 +3,7 @@
 import pickle
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from math import log, log10
@@ -124,3 +125,43 @@ def test_windows_shuffle_as_arrays(spark, docs):
     assert cut.count() > counted.count() and cut.select(F.sum(F.size("steps"))).first()[0] == windows
     whole, parts = (sorted(map(tuple, suffix_tree.grow(c, LEAST).nodes.collect())) for c in (counted, cut))
     assert whole == parts and len(whole) > 40
+
+
+def test_one_worker_a_task_adds_up_and_grows(spark, docs):
+    """Each Python step of a stage is a worker of its own, and idle ones keep what they hold."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.lit(True).alias("train"))
+    symbols = suffix_tree.alphabet(suffix_tree.count_bytes(texts))
+    apart = suffix_tree.grow(suffix_tree.count_windows(texts, symbols), LEAST)
+    counted = suffix_tree.count_windows(texts, symbols, record=1, least=LEAST)
+    after_shuffle = counted._jdf.queryExecution().optimizedPlan().toString().split("Repartition")[0]
+    assert after_shuffle.count("MapInArrow") == 1
+    together = suffix_tree.grow(counted, LEAST)
+    nodes, same = (sorted(map(tuple, t.nodes.collect())) for t in (apart, together))
+    assert nodes == same and len(nodes) > 40
+    assert all(np.array_equal(x, y) for u, v in zip(apart.upper, together.upper, strict=True) for x, y in zip(u, v, strict=True))
+
+
+def test_a_worker_holds_little_of_the_frequent_windows():
+    """Four bytes a place of the table, not sixteen: each worker of an executor builds one."""
+    codes = np.arange(0, 3 << 18, 3)
+    lookup = suffix_tree.Lookup(codes, codes / 2)
+    held = sum(x.nbytes for x in vars(lookup).values() if isinstance(x, np.ndarray))
+    assert held <= 4 * (4 * len(codes)) + 16 * len(codes) + 1000
+    assert np.array_equal(lookup.get(codes), codes / 2) and np.isnan(lookup.get(codes + 1)).all()
+    assert np.isnan(suffix_tree.Lookup(codes[:0], codes[:0] / 2).get(codes)).all()
+
+
+def test_adding_up_holds_little_beside_the_parts():
+    rng = np.random.default_rng(1)
+    held = suffix_tree._Tallies()
+    for _ in range(10):
+        codes = np.unique(rng.integers(0, 1 << 40, 100_000))
+        held.add(codes, np.ones(len(codes), np.int64))
+    size = 16 * held.waiting
+    tracemalloc.start()
+    try:
+        codes, _ = held.take()
+        most = tracemalloc.get_traced_memory()[1]  # parts made before are not in it
+    finally:
+        tracemalloc.stop()
+    assert len(codes) > 900_000 and most < 2.7 * size
